@@ -113,12 +113,10 @@ def classification_summary(df: DataFrame, label: str = "label", prediction: str
     if score is None:
         auc, ap = None, None
     elif multi:
-        auc = roc_auc_ovr(df, label, score, average="macro")
-        ap = average_precision_ovr(df, label, score)
+        auc, ap = rank_metrics_ovr(df, label, score, average="macro")
     else:
         s = _binary_score(df, score, positive)
-        auc = roc_auc(df.select(F.col(label).alias("_y"), s.alias("_s")), "_y", "_s", positive)
-        ap = average_precision(df.select(F.col(label).alias("_y"), s.alias("_s")), "_y", "_s", positive)
+        auc, ap = rank_metrics(df.select(F.col(label).alias("_y"), s.alias("_s")), "_y", "_s", positive)
     return head.select(F.lit(model_name).alias("Model"), "Accuracy", "Precision", "Recall", "F1",
                        F.lit(auc).cast("double").alias("ROC_AUC"), F.lit(ap).cast("double").alias("PR_AUC"))
 
@@ -150,6 +148,34 @@ def _auc_from_dist(dist: DataFrame, by: list) -> DataFrame:
                                   F.col("u") / (F.col("P") * F.col("N")))))
 
 
+def _rank_from_dist(dist: DataFrame, by: list) -> DataFrame:
+    """ROC-AUC (ties half) and step-wise AP from ONE ascending running sum."""
+    c = ordered_cumsum(dist, "score", ["pos", "neg"], by=by, with_totals=True)
+    tp = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")  # positives scoring >= this score
+    fp = F.col("tot_neg") - F.col("cum_neg") + F.col("neg")
+    g = c.groupBy(*by).agg(
+        F.sum(F.col("pos") * (F.col("cum_neg") - 0.5 * F.col("neg"))).alias("u"),
+        F.sum(F.col("pos") * tp / (tp + fp)).alias("s"),
+        F.max("tot_pos").alias("P"), F.max("tot_neg").alias("N"))
+    return g.select(*by, F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P") * F.col("N"))).alias("auc"),
+                    F.when(F.col("P") > 0, F.col("s") / F.col("P")).alias("ap"), "P")
+
+
+def rank_metrics(df: DataFrame, label: str, score: str, positive=1.0) -> tuple:
+    """(ROC-AUC, average precision) of a binary score in one pass."""
+    r = _rank_from_dist(score_distribution(df, label, score, positive), []).collect()
+    return (r[0]["auc"], r[0]["ap"]) if r else (None, None)
+
+
+def rank_metrics_ovr(df: DataFrame, label: str, prob: str, average: str = "macro") -> tuple:
+    """One-vs-rest (ROC-AUC averaged macro or by prevalence, macro AP)."""
+    dist, _ = _ovr_long(df, label, prob)
+    per = _rank_from_dist(dist, ["cls"])
+    auc = (F.sum(F.col("auc") * F.col("P")) / F.sum("P")) if average == "weighted" else F.avg("auc")
+    r = per.agg(auc.alias("auc"), F.avg("ap").alias("ap")).collect()
+    return (r[0]["auc"], r[0]["ap"]) if r else (None, None)
+
+
 def roc_auc_table(df: DataFrame, label: str, score: str, positive=1.0) -> DataFrame:
     return _auc_from_dist(score_distribution(df, label, score, positive), []).select(F.col("auc").alias("roc_auc"))
 

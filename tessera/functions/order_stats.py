@@ -243,7 +243,7 @@ def _n_buckets(n: int) -> int:
 
 def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | None = None,
                    descending: bool = False, key_range: tuple | None = None,
-                   n_rows: int | None = None) -> DataFrame:
+                   n_rows: int | None = None, with_totals: bool = False) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` of ``value_cols`` along ``order_col``
     within ``by`` groups, plus ``row_in_group`` (1-based row number).
 
@@ -278,6 +278,11 @@ def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | N
                                          for v in vals])
     # offsets has (#groups x #buckets) rows: broadcast is bounded by n / TARGET_ROWS_PER_TASK
     d = d.join(F.broadcast(offsets), on=[*by, "_bk"], how="inner")
+    if with_totals:  # group totals ``tot_<v>``: one row per group, broadcast on the group key
+        gkey = by or ["_g"]
+        gt = totals.withColumn("_g", F.lit(0)).groupBy(*gkey).agg(
+            *[F.sum(f"_t_{v}").alias(f"tot_{v}") for v in value_cols])
+        d = d.withColumn("_g", F.lit(0)).join(F.broadcast(gt), on=gkey, how="inner").drop("_g")
     ordcol = o.desc() if descending else o.asc()
     wi = Window.partitionBy(*by, "_bk").orderBy(ordcol).rowsBetween(Window.unboundedPreceding, 0)
     out = d

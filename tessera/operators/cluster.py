@@ -206,6 +206,34 @@ def vector_to_array_col(c: str) -> Column:
 
 
 # ------------------------------------------------------------------ K5
+def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
+                         checkpoint_every: int = 3) -> DataFrame:
+    """(vid, lab) with lab = smallest vertex id of the component.
+
+    Each round: min-label propagation over the edges, then two pointer
+    jumps (lab <- lab(lab)), so labels move along chains much faster than
+    one hop per round.  Lineage is cut with a reliable checkpoint every few
+    rounds; other rounds are persisted (lost blocks are recomputed)."""
+    lab = vertices.select("vid", F.col("vid").alias("lab")).persist(StorageLevel.MEMORY_AND_DISK)
+    for rnd in range(max_rounds):
+        m = (edges.join(lab.withColumnRenamed("vid", "id_b"), "id_b").groupBy("id_a").agg(F.min("lab").alias("nl"))
+                  .withColumnRenamed("id_a", "vid"))
+        new = lab.join(m, "vid", "left").select("vid", F.least("lab", F.coalesce("nl", "lab")).alias("lab"))
+        for _ in range(2):
+            ptr = new.select(F.col("vid").alias("lab"), F.col("lab").alias("lab2"))
+            new = new.join(ptr, "lab", "left").select("vid", F.coalesce("lab2", "lab").alias("lab"))
+        if (rnd + 1) % checkpoint_every == 0:
+            new = cut_lineage(new)
+        else:
+            new = new.persist(StorageLevel.MEMORY_AND_DISK)
+        changed = new.join(lab.withColumnRenamed("lab", "old"), "vid").filter(F.col("lab") != F.col("old")).count()
+        lab.unpersist()
+        lab = new
+        if changed == 0:
+            break
+    return lab
+
+
 def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samples: int = 5,
            cell_target: int = 4_000, max_rounds: int = 200) -> DataFrame:
     """(id, cluster) with noise = -1.  Identical vectors are collapsed first
@@ -227,16 +255,7 @@ def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samp
     ce = (pairs.join(core.withColumnRenamed("vid", "id_a"), "id_a")
                .join(core.withColumnRenamed("vid", "id_b"), "id_b").filter(F.col("id_a") != F.col("id_b")))
     ce = cut_lineage(ce)
-    lab = core.select("vid", F.col("vid").alias("lab"))
-    for _ in range(max_rounds):
-        m = (ce.join(lab.withColumnRenamed("vid", "id_b"), "id_b").groupBy("id_a").agg(F.min("lab").alias("nl"))
-               .withColumnRenamed("id_a", "vid"))
-        new = (lab.join(m, "vid", "left").select("vid", F.least("lab", F.coalesce("nl", "lab")).alias("lab")))
-        new = cut_lineage(new)
-        changed = new.join(lab.withColumnRenamed("lab", "old"), "vid").filter(F.col("lab") != F.col("old")).count()
-        lab = new
-        if changed == 0:
-            break
+    lab = cut_lineage(connected_components(core.select("vid"), ce, max_rounds))
     # number clusters 0.. by smallest core id (distributed rank over the distinct labels)
     roots = lab.select("lab").distinct()
     nr = roots.count()

@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import metrics as M
 from tessera.operators.neighbors import knn, to_array
-from tessera.operators.sampling import balanced_weights, hash_key, rank_by_hash
+from tessera.operators.sampling import balanced_weights, rank_by_hash
+from tessera.session import cut_lineage, right_size
 
 # ---------------------------------------------------------------- wrappers
 
@@ -66,13 +67,14 @@ def _spark_prob(model, name, classes):
 
 
 # L1
-def fit_logistic(df: DataFrame, C: float = 1.0, max_iter: int = 1000, balanced: bool = True) -> FittedModel:
+def fit_logistic(df: DataFrame, C: float = 1.0, max_iter: int = 1000, balanced: bool = True,
+                 tol: float = 1e-4) -> FittedModel:
     """L2-penalised logistic regression; regParam = 1 / (C * sum of weights)
     reproduces the C-parameterised objective."""
     d, w = _weighted(df, balanced)
     total_w = d.agg(F.sum(w) if w else F.count(F.lit(1))).first()[0]
     lr = LogisticRegression(maxIter=max_iter, regParam=1.0 / (C * float(total_w)), elasticNetParam=0.0,
-                            standardization=False, tol=1e-6)
+                            standardization=False, tol=tol)
     if w:
         lr.setWeightCol(w)
     return _spark_prob(lr.fit(d), "Logistic Regression", _classes(df))
@@ -131,7 +133,7 @@ def fit_boosted_trees(df: DataFrame, n_rounds: int = 200, max_depth: int = 5, st
 
 # L2
 def fit_rbf_svm(df: DataFrame, n_components: int = 200, C: float = 1.0, balanced: bool = True, seed: int = 42,
-                max_iter: int = 100) -> FittedModel:
+                max_iter: int = 100, tol: float = 1e-4) -> FittedModel:
     """RBF-kernel SVM re-aimed for Spark: random Fourier features
     cos(W x + b) with W ~ N(0, 2 gamma), gamma = 1 / (d * Var(X)) ('scale'),
     a weighted LinearSVC on them, and Platt calibration of the margin for
@@ -158,12 +160,13 @@ def fit_rbf_svm(df: DataFrame, n_components: int = 200, C: float = 1.0, balanced
 
     def binary(d):
         dd, w = _weighted(rff(d), balanced)
-        svc = LinearSVC(featuresCol="_rff", regParam=1.0 / (C * max(dd.count(), 1)), maxIter=max_iter)
+        dd = dd.persist(StorageLevel.MEMORY_AND_DISK)
+        svc = LinearSVC(featuresCol="_rff", regParam=1.0 / (C * max(dd.count(), 1)), maxIter=max_iter, tol=tol)
         if w:
             svc.setWeightCol(w)
         sm = svc.fit(dd)
         margin = sm.transform(dd).select("label", vector_to_array("rawPrediction")[1].alias("_m"))
-        cal = LogisticRegression(featuresCol="_mv", maxIter=100).fit(
+        cal = LogisticRegression(featuresCol="_mv", maxIter=100, tol=tol).fit(
             margin.withColumn("_mv", array_to_vector(F.array("_m"))))
 
         def predict(t):
@@ -269,20 +272,19 @@ def _fold_scores(name, fit, data, folds, fold, use_smote, id_col, multi):
     train = data.filter(F.col(folds) != fold).drop(folds)
     test = data.filter(F.col(folds) == fold).drop(folds)
     if use_smote:
-        train = smote(train, id_col)
+        # the SMOTE plan is deep: checkpoint so each training pass plans a scan
+        train = cut_lineage(right_size(smote(train, id_col)))
     model = fit(train)
     pred = model.transform(test).select("label", "prediction", "probability")
     pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
     pc = M.per_class(pred, "label", "prediction")
     if multi:
         f1 = pc.agg(F.avg("f1")).first()[0]
-        auc = M.roc_auc_ovr(pred, "label", "probability", average="weighted")
-        ap = M.average_precision_ovr(pred, "label", "probability")
+        auc, ap = M.rank_metrics_ovr(pred, "label", "probability", average="weighted")
     else:
         f1 = pc.filter(F.col("class") == 1.0).select("f1").first()
         f1 = f1[0] if f1 else 0.0
-        s = pred.select("label", F.element_at("probability", 2).alias("s"))
-        auc, ap = M.roc_auc(s, "label", "s"), M.average_precision(s, "label", "s")
+        auc, ap = M.rank_metrics(pred.select("label", F.element_at("probability", 2).alias("s")), "label", "s")
     pred.unpersist()
     return f1, auc, ap
 
@@ -292,7 +294,7 @@ def cross_validate(data: DataFrame, models: dict, folds: str = "fold", k: int =
     """Per model mean / population std of F1, mean ROC-AUC and PR-AUC over
     the folds (SMOTE inside the training folds only), sorted by PR-AUC."""
     multi = data.select("label").distinct().count() > 2
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = cut_lineage(right_size(data))
     rows = []
     for name, fit in models.items():
         with ThreadPoolExecutor(max_workers=parallelism) as ex:
@@ -300,7 +302,6 @@ def cross_validate(data: DataFrame, models: dict, folds: str = "fold", k: int =
         f1s = np.array([r[0] for r in res], dtype=float)
         rows.append((name, float(f1s.mean()), float(f1s.std()), float(np.mean([r[1] for r in res])),
                      float(np.mean([r[2] for r in res]))))
-    data.unpersist()
     out = data.sparkSession.createDataFrame(rows, "model string, f1_mean double, f1_std double, "
                                                   "roc_auc_mean double, pr_auc_mean double")
     return out.orderBy(F.desc("pr_auc_mean"))
@@ -310,7 +311,7 @@ def cross_validate(data: DataFrame, models: dict, folds: str = "fold", k: int =
 class ModelRegistry(dict):
     def train_final(self, data: DataFrame, name: str = "XGBoost", use_smote: bool = True, id_col: str = "id",
                     **kw) -> FittedModel:
-        train = smote(data, id_col) if use_smote else data
+        train = cut_lineage(right_size(smote(data, id_col))) if use_smote else data
         m = CLASSIFIERS[name](train, **kw)
         self[name] = m
         return m
@@ -333,7 +334,7 @@ def tune(data: DataFrame, name: str, folds: str = "fold", k: int = 5, grid: dict
     keys = list(grid)
     points = [dict(zip(keys, vals)) for vals in _product(*[grid[x] for x in keys])]
     multi = data.select("label").distinct().count() > 2
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = cut_lineage(right_size(data))
 
     def fit_point(p):
         kw = dict(p)
@@ -353,7 +354,6 @@ def tune(data: DataFrame, name: str, folds: str = "fold", k: int = 5, grid: dict
             rows.append((str(p), float(np.mean([r[2] for r in res]))))
     best = max(range(len(points)), key=lambda i: rows[i][1])
     model = fit_point(points[best])(data.drop(folds))
-    data.unpersist()
     table = data.sparkSession.createDataFrame(rows, "params string, mean_average_precision double")
     return points[best], table, model
 

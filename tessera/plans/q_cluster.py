@@ -128,7 +128,7 @@ bd AS (SELECT e.a AS id, min(cc.cid) AS cid FROM e JOIN cc ON e.b = cc.id WHERE
 SELECT p.id AS vec_id, CAST(coalesce(cc.cid, bd.cid, -1) AS INTEGER) AS cluster
 FROM p LEFT JOIN cc ON p.id = cc.id LEFT JOIN bd ON p.id = bd.id""")
 def q_k5(spark, sf):
-    return K.dbscan(emb(spark, sf), "vec_id", "embedding", DB_EPS, DB_MIN, cell_target=100)
+    return K.dbscan(emb(spark, sf), "vec_id", "embedding", DB_EPS, DB_MIN)
 
 
 # ---------------------------------------------------------- model-based (no SQL oracle)

@@ -65,5 +65,17 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
+def right_size(df, n_rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Coalesce a small frame to ceil(n / rows_per_partition) partitions
+    (never raises the count): tiny training sets stop paying per-task
+    overhead, large ones keep their parallelism."""
+    n = df.count() if n_rows is None else n_rows
+    want = max(1, -(-n // rows_per_partition))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -92,10 +92,15 @@ def item_text(df: DataFrame, col: str) -> Column:
 
 def transactions(df: DataFrame, item_columns: dict | None = None, target: str | None = P.TARGET_COL,
                  target_items: dict | None = None, other_item: str = P.TARGET_ITEM_OTHER,
-                 keep: list | None = None, out: str = "items") -> DataFrame:
+                 keep: list | None = None, out: str = "items", bins: dict | None = None) -> DataFrame:
     """One ``array<string>`` of ``prefix=value`` items per row, in the fixed
-    column order, nulls skipped, plus a target item when the target exists."""
-    item_columns = P.ITEM_COLUMNS if item_columns is None else item_columns
+    column order, nulls skipped, plus a target item when the target exists.
+    The reference preset bins the numeric columns first (``bins``)."""
+    if item_columns is None:
+        item_columns = P.ITEM_COLUMNS
+        bins = P.BINS if bins is None else bins
+    if bins:
+        df = discretize_all(df, bins)
     target_items = P.TARGET_ITEMS if target_items is None else target_items
     parts = [F.concat(F.lit(f"{p}="), item_text(df, c)) for c, p in item_columns.items() if c in df.columns]
     if target and target in df.columns:

@@ -296,3 +296,25 @@ def q_c14(spark, sf):
     s = load(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").alias("c_acctbal"),
                                            F.col("s_nationkey").alias("c_nationkey"))
     return r6(model.transform(s))
+
+
+# ------------------------------------------------------------------ sources
+
+@query("s2_rename_columns_customer", """
+SELECT c_custkey AS custkey, c_name, c_nationkey AS nation, c_acctbal, c_mktsegment FROM customer""")
+def q_s2(spark, sf):
+    from tessera.sources.io import rename_columns
+    return rename_columns(load(spark, sf, "customer"),
+                          {"c_custkey": "custkey", "c_nationkey": "nation", "absent_column": "x"})
+
+
+@query("s3_drop_extra_columns_customer", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")
+def q_s3(spark, sf):
+    c = load(spark, sf, "customer")
+    return c.drop(*[x for x in ("c_name", "c_mktsegment", "absent_column") if x in c.columns])
+
+
+@query("s5_parquet_scan_orders", "SELECT * FROM orders")
+def q_s5(spark, sf):
+    from tessera.sources.io import load_processed
+    return load_processed(spark, f"{sf}/orders.parquet")

@@ -49,6 +49,9 @@ class FittedModel:
 
 
 def _weighted(df: DataFrame, balanced: bool, label: str = "label"):
+    """Right-sized (small training sets stop paying per-task overhead on
+    every optimiser iteration) and, if asked, with balanced class weights."""
+    df = right_size(df)
     if not balanced:
         return df, None
     return balanced_weights(df, label, "_w"), "_w"
@@ -120,6 +123,7 @@ def fit_boosted_trees(df: DataFrame, n_rounds: int = 200, max_depth: int = 5, st
     classes = _classes(df)
 
     def binary(d):
+        d = right_size(d)
         g = GBTClassifier(maxIter=n_rounds, maxDepth=max_depth, stepSize=step, subsamplingRate=subsample,
                           seed=seed)
         return _spark_prob(g.fit(d), "GBT", [0.0, 1.0])
@@ -191,7 +195,7 @@ CLASSIFIERS = {
 
 # L10-L12
 def fit_linear(df: DataFrame) -> FittedModel:
-    m = LinearRegression(regParam=0.0, solver="normal").fit(df)
+    m = LinearRegression(regParam=0.0, solver="normal").fit(right_size(df))
     return FittedModel("Linear Regression", None, m.transform, m)
 
 
@@ -200,13 +204,13 @@ def fit_ridge(df: DataFrame, alpha: float = 1.0) -> FittedModel:
     label's std, hence regParam = alpha * std_pop(y) / n."""
     s = df.agg(F.stddev_pop("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
     reg = alpha * (s["s"] or 1.0) / s["n"]
-    m = LinearRegression(regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal").fit(df)
+    m = LinearRegression(regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal").fit(right_size(df))
     return FittedModel("Ridge", None, m.transform, m)
 
 
 def fit_gbt_regressor(df: DataFrame, n_rounds: int = 200, max_depth: int = 5, step: float = 0.1,
                       seed: int = 42) -> FittedModel:
-    m = GBTRegressor(maxIter=n_rounds, maxDepth=max_depth, stepSize=step, seed=seed).fit(df)
+    m = GBTRegressor(maxIter=n_rounds, maxDepth=max_depth, stepSize=step, seed=seed).fit(right_size(df))
     return FittedModel("XGBRegressor", None, m.transform, m)
 
 

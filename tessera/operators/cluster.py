@@ -206,6 +206,9 @@ def vector_to_array_col(c: str) -> Column:
 
 
 # ------------------------------------------------------------------ K5
+CC_ROUNDS: list = []  # rounds used by recent calls (diagnostics)
+
+
 def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
                          checkpoint_every: int = 3) -> DataFrame:
     """(vid, lab) with lab = smallest vertex id of the component.
@@ -231,6 +234,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         lab = new
         if changed == 0:
             break
+    CC_ROUNDS.append(rnd + 1)
     return lab
 
 

@@ -13,8 +13,10 @@ cell id pairs it with their home points.  Every pair within the radius is
 found exactly once, whatever the pivots are; good pivots only make it cheaper.
 Work per cell is bounded by the cell size (``cell_target``), and a hot cell
 left by duplicated rows is avoided by de-duplicating vectors first (the
-operators carry a weight per distinct vector).  Distances are native
-higher-order array expressions, so everything stays in the JVM.
+operators carry a weight per distinct vector).  Inside a cell the distance
+block is computed by a grouped Pandas UDF with numpy in bounded chunks, and
+only the pairs that qualify leave the task: the all-pairs rows of a cell are
+never materialised as Spark rows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,8 +45,17 @@ def sq_dist(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
 
-def dist(a: Column, b: Column) -> Column:
-    return F.sqrt(sq_dist(a, b))
+def dist(a: Column, b: Column, dim: int | None = None) -> Column:
+    """Euclidean distance.  With the dimension known the sum is unrolled
+    into plain arithmetic on array elements, which whole-stage codegen
+    compiles (higher-order lambdas are interpreted row by row)."""
+    if dim is None:
+        return F.sqrt(sq_dist(a, b))
+    terms = [(a[i] - b[i]) * (a[i] - b[i]) for i in range(dim)]
+    acc = terms[0]
+    for t in terms[1:]:
+        acc = acc + t
+    return F.sqrt(acc)
 
 
 def choose_pivots(df: DataFrame, vec: str, n_rows: int, cell_target: int = DEFAULT_CELL_TARGET,
@@ -75,18 +87,97 @@ def assign_cells(df: DataFrame, vec: str, pivots: np.ndarray, radius: Column | f
     return out.withColumn("_cells", cells).drop("_pd")
 
 
+CHUNK = 2048  # query rows per numpy block: bounds per-task memory to CHUNK x cell size
+
+
+def _pairs_within(radius: float):
+    """Grouped-map kernel: one cell's home points vs the query copies sent to
+    it; numpy distance blocks, only pairs within ``radius`` leave the task."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(pdf):
+        home = pdf[pdf["_is_home"]]
+        qry = pdf[pdf["_is_query"]]
+        if home.empty or qry.empty:
+            return pd.DataFrame({"id_a": [], "id_b": [], "dist": []})
+        H = np.stack(home["_v"].to_numpy()).astype(float)
+        hid = home["_id"].to_numpy()
+        hn = (H * H).sum(1)
+        out = []
+        Qall = np.stack(qry["_v"].to_numpy()).astype(float)
+        qid_all = qry["_id"].to_numpy()
+        r2 = radius * radius
+        for s0 in range(0, len(Qall), CHUNK):
+            Q = Qall[s0:s0 + CHUNK]
+            d2 = (Q * Q).sum(1)[:, None] + hn[None, :] - 2.0 * (Q @ H.T)
+            qi, hi = np.nonzero(d2 <= r2 + 1e-9 * (1.0 + r2))  # candidates, then exact distances
+            if len(qi):
+                d = np.sqrt(((Q[qi] - H[hi]) ** 2).sum(1))
+                keep = d <= radius
+                out.append(pd.DataFrame({"id_a": qid_all[s0:s0 + CHUNK][qi[keep]], "id_b": hid[hi[keep]],
+                                         "dist": d[keep]}))
+        if not out:
+            return pd.DataFrame({"id_a": [], "id_b": [], "dist": []})
+        return pd.concat(out, ignore_index=True)
+    return fn
+
+
+def _cell_frame(a: DataFrame, part: list, cells_col: str | None) -> DataFrame:
+    """Home rows and query copies of every point, keyed by (partition, cell)."""
+    home = a.select(*part, "_id", "_v", F.col("_home").alias("cell"),
+                    F.lit(True).alias("_is_home"), F.lit(cells_col is None).alias("_is_query"))
+    if cells_col is None:
+        return home
+    qry = a.select(*part, "_id", "_v", F.explode(cells_col).alias("cell"),
+                   F.lit(False).alias("_is_home"), F.lit(True).alias("_is_query"))
+    return home.unionByName(qry)
+
+
 def radius_pairs(df: DataFrame, id_col: str, vec: str, eps: float, pivots: np.ndarray | None = None,
                  n_rows: int | None = None, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42) -> DataFrame:
     """All ordered pairs (id_a, id_b, dist) with dist <= eps, self pairs included."""
-    base = df.select(F.col(id_col).alias("_id"), to_array(df, vec).alias("_v"))
+    base = df.select(F.col(id_col).cast("long").alias("_id"), to_array(df, vec).alias("_v"))
     if pivots is None:
         n_rows = n_rows if n_rows is not None else base.count()
         pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
     a = assign_cells(base, "_v", pivots, eps)
-    home = a.select(F.col("_id").alias("id_b"), F.col("_v").alias("v_b"), F.col("_home").alias("cell"))
-    query = a.select(F.col("_id").alias("id_a"), F.col("_v").alias("v_a"), F.explode("_cells").alias("cell"))
-    j = query.join(home, "cell").withColumn("dist", dist(F.col("v_a"), F.col("v_b")))
-    return j.filter(F.col("dist") <= F.lit(float(eps))).select("id_a", "id_b", "dist")
+    both = _cell_frame(a, [], "_cells")
+    return both.groupBy("cell").applyInPandas(_pairs_within(float(eps)), "id_a long, id_b long, dist double")
+
+
+def _knn_within(k: int, part: list):
+    """Grouped-map kernel: for every query row of the cell, its k nearest
+    home rows (ties by id)."""
+    import numpy as np
+    import pandas as pd
+
+    def fn(pdf):
+        home = pdf[pdf["_is_home"]]
+        qry = pdf[pdf["_is_query"]]
+        cols = {**{c: [] for c in part}, "id_a": [], "id_b": [], "dist": []}
+        if home.empty or qry.empty:
+            return pd.DataFrame(cols)
+        H = np.stack(home["_v"].to_numpy()).astype(float)
+        hid = home["_id"].to_numpy()
+        out = []
+        Qall = np.stack(qry["_v"].to_numpy()).astype(float)
+        qid_all = qry["_id"].to_numpy()
+        kk = min(k, len(H))
+        for s0 in range(0, len(Qall), CHUNK):
+            Q = Qall[s0:s0 + CHUNK]
+            d = np.sqrt(((Q[:, None, :] - H[None, :, :]) ** 2).sum(-1)) if len(H) * len(Q) <= 4_000_000 else \
+                np.sqrt(np.maximum((Q * Q).sum(1)[:, None] + (H * H).sum(1)[None, :] - 2.0 * (Q @ H.T), 0.0))
+            order = np.lexsort((np.broadcast_to(hid, d.shape), d), axis=1)[:, :kk]
+            rows = np.repeat(np.arange(len(Q)), kk)
+            idx = order.reshape(-1)
+            frame = pd.DataFrame({"id_a": qid_all[s0:s0 + CHUNK][rows], "id_b": hid[idx],
+                                  "dist": d[rows, idx]})
+            for c in part:
+                frame[c] = pdf[c].iloc[0]
+            out.append(frame)
+        return pd.concat(out, ignore_index=True)[[*part, "id_a", "id_b", "dist"]]
+    return fn
 
 
 def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False,
@@ -97,28 +188,32 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False
     ``partition_cols`` restricts neighbours to rows with equal values there
     (e.g. the class, for SMOTE): the cell key becomes (partition, cell)."""
     part = list(partition_cols or [])
-    base = df.select(*[F.col(c) for c in part], F.col(id_col).alias("_id"), to_array(df, vec).alias("_v"))
+    base = df.select(*[F.col(c) for c in part], F.col(id_col).cast("long").alias("_id"),
+                     to_array(df, vec).alias("_v"))
     kk = k + (0 if include_self else 1)
     if pivots is None:
         pivots = choose_pivots(base, "_v", base.count(), cell_target, seed)
     a = assign_cells(base, "_v", pivots, None)
-    home = a.select(*part, F.col("_id").alias("id_b"), F.col("_v").alias("v_b"), F.col("_home").alias("cell"))
-    q1 = a.select(*part, F.col("_id").alias("id_a"), F.col("_v").alias("v_a"), F.col("_home").alias("cell"))
-    w = Window.partitionBy(*part, "id_a").orderBy("dist", "id_b")
-    # step 1: k-th nearest inside the home cell bounds the search radius
-    own = (q1.join(home, [*part, "cell"]).withColumn("dist", dist(F.col("v_a"), F.col("v_b")))
-             .withColumn("rk", F.row_number().over(w)))
-    radius = (own.filter(F.col("rk") <= kk).groupBy(*part, "id_a")
-                 .agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("found")))
-    radius = radius.select(*part, F.col("id_a").alias("_id"),
-                           F.when(F.col("found") >= kk, F.col("r")).otherwise(F.lit(float("inf"))).alias("_r"))
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields if f.name in part]
+                       + ["id_a long", "id_b long", "dist double"])
+    # step 1: the kk nearest inside the home cell bound the search radius
+    own = _cell_frame(a, part, None).groupBy(*part, "cell").applyInPandas(_knn_within(kk, part), schema)
+    own = own.persist(StorageLevel.MEMORY_AND_DISK)
+    radius = (own.groupBy(*part, "id_a").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("found"))
+                 .select(*part, F.col("id_a").alias("_id"),
+                         F.when(F.col("found") >= kk, F.col("r")).otherwise(F.lit(float("inf"))).alias("_r")))
     # step 2: probe the other cells whose bisector bound is within that radius
     a2 = assign_cells(a.drop("_home").join(radius, [*part, "_id"]), "_v", pivots, F.col("_r"))
-    q2 = a2.select(*part, F.col("_id").alias("id_a"), F.col("_v").alias("v_a"),
-                   F.explode(F.filter("_cells", lambda c: c != F.col("_home"))).alias("cell"))
-    other = q2.join(home, [*part, "cell"]).withColumn("dist", dist(F.col("v_a"), F.col("v_b")))
-    cand = own.select(*part, "id_a", "id_b", "dist").unionByName(other.select(*part, "id_a", "id_b", "dist"))
+    a2 = a2.withColumn("_cells", F.filter("_cells", lambda c: c != F.col("_home")))
+    home = a.select(*part, "_id", "_v", F.col("_home").alias("cell"), F.lit(True).alias("_is_home"),
+                    F.lit(False).alias("_is_query"))
+    probes = a2.select(*part, "_id", "_v", F.explode("_cells").alias("cell"), F.lit(False).alias("_is_home"),
+                       F.lit(True).alias("_is_query"))
+    other = home.join(probes.select(*part, "cell").distinct(), [*part, "cell"], "left_semi").unionByName(probes)
+    other = other.groupBy(*part, "cell").applyInPandas(_knn_within(kk, part), schema)
+    cand = own.unionByName(other)
     if not include_self:
         cand = cand.filter(F.col("id_a") != F.col("id_b"))
+    w = Window.partitionBy(*part, "id_a").orderBy("dist", "id_b")  # per row: its bounded candidate list
     ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return ranked.select(*part, F.col("id_a").alias("id"), F.col("id_b").alias("nbr_id"), "dist", "rank")

@@ -169,3 +169,13 @@ def q_k10(spark, sf):
     m = K.fit_kmeans(e, "embedding", k=10, n_init=2)
     lab = K.kmeans_labels(m, e, "embedding", ["vec_id", "embedding"])
     return K.clustering_summary(lab, "embedding", "cluster", "KMeans")
+
+
+@query("t7_profile_long_lineitem", f"""WITH {PROFILE_SQL}
+SELECT cluster, 'count' AS metric, CAST(count AS DOUBLE) AS value FROM prof
+UNION ALL SELECT cluster, 'target_rate', target_rate FROM prof
+{''.join(f"UNION ALL SELECT cluster, '{c}_mean', {c}_mean FROM prof " for c in LI_NUM)}
+UNION ALL SELECT cluster, 'l_discount_rate', l_discount_rate FROM prof""")
+def q_t7b(spark, sf):
+    from tessera.plans.report import profile_long
+    return profile_long(_profile(spark, sf))

@@ -266,3 +266,26 @@ def q_a11(spark, sf):
     # lineitem columns are independent: no rule reaches lift 1.2 (empty, fixed schema)
     _, rules = A.mine_rules(li_tx(spark, sf), min_support=0.05, min_confidence=0.6, min_lift=1.2)
     return r6(rules)
+
+
+# ------------------------------------------------------------- result tables / chart data
+
+@query("t5_top_target_rules_documents", f"""WITH {itemsets_cte(DOC_TX_SQL, 0.02)}, {rules_cte(0.6)}
+SELECT array_to_string(list_sort(antecedents), ', ') AS antecedents,
+       array_to_string(list_sort(consequents), ', ') AS consequents,
+       round(support, 4) AS support, round(confidence, 4) AS confidence, round(lift, 4) AS lift
+FROM rules WHERE lift >= 1.2 AND list_contains(consequents, 'quality=0')
+ORDER BY rules.lift DESC, rules.antecedents, rules.consequents LIMIT 20""")
+def q_t5(spark, sf):
+    from tessera.plans.report import top_target_rules
+    _, rules = A.mine_rules(doc_tx(spark, sf), min_support=0.02, min_confidence=0.6, min_lift=1.2)
+    return top_target_rules(rules, "quality=0", 20)
+
+
+@query("t7_rule_bars_conversations", f"""WITH {itemsets_cte(CONV_TX_SQL, 0.02)}, {rules_cte(0.6)}
+SELECT array_to_string(antecedents, ', ') || ' → ' || array_to_string(consequents, ', ') AS rule, round(lift, 6) AS lift
+FROM rules WHERE lift >= 1.2 ORDER BY lift DESC, antecedents, consequents LIMIT 10""")
+def q_t7(spark, sf):
+    from tessera.plans.report import rule_bars
+    _, rules = A.mine_rules(conv_tx(spark, sf), min_support=0.02, min_confidence=0.6, min_lift=1.2)
+    return r6(rule_bars(rules, 10))

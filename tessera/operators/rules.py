@@ -37,7 +37,7 @@ def _key(s: Column) -> Column:
 
 def prepare_transactions(tx: DataFrame, items: str = "items") -> DataFrame:
     """Distinct, sorted, non-null items per row (duplicates in a row collapse)."""
-    return tx.select(F.array_sort(F.array_distinct(F.filter(F.col(items), lambda x: x.isNotNull()))).alias("items"))
+    return tx.select(F.sort_array(F.array_distinct(F.filter(F.col(items), lambda x: x.isNotNull()))).alias("items"))
 
 
 def _apriori_gen(prev: list) -> list:

@@ -102,3 +102,15 @@ def test_missing_column_validation(spark):
     from tessera.sources.io import validate_schema
     with pytest.raises(ValueError, match="missing columns"):
         validate_schema(spark.createDataFrame([(1,)], "a int"), ["a", "b"])
+
+
+def test_e4_types_and_f7_xy(spark):
+    df = spark.createDataFrame([(63, 1, 145.0, 1), (40, 0, 120.0, 0)], "age int, sex int, trestbps double, target int")
+    types = {r["column"]: r["dtype"] for r in E.column_types(df).collect()}
+    assert types == {"age": "int", "sex": "int", "trestbps": "double", "target": "int"}
+    xy = FE.get_X_y(df).collect()
+    assert len(xy[0]["features"]) == 3 and xy[0]["label"] == 1.0  # absent preset columns are skipped
+    assert "label" not in FE.get_X_y(df.drop("target")).columns
+    ex = FE.get_X_y(df.withColumns({c: df["age"] for c in ["cp", "chol", "thalach", "exang", "oldpeak"]}),
+                    extra_features=True).first()
+    assert len(ex["features"]) == 13

@@ -256,6 +256,7 @@ def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | N
     n = n_rows if n_rows is not None else df.count()
     nb = _n_buckets(n)
     o = F.col(order_col)
+    d = df
     if nb == 1:
         bucket = F.lit(0)
     elif key_range is not None:
@@ -263,14 +264,21 @@ def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | N
         bucket = F.least(F.lit(nb - 1), F.floor((o.cast("double") - F.lit(float(lo)))
                                                  / F.lit((float(hi) - float(lo)) / nb)).cast("int"))
     else:
+        from pyspark.ml.feature import Bucketizer
         cuts = df.agg(F.percentile_approx(o.cast("double"), [i / nb for i in range(1, nb)],
                                           DEFAULT_ACCURACY)).collect()[0][0]
-        cuts = sorted(set(cuts))
-        bucket = F.size(F.filter(F.lit(cuts), lambda c: c < o.cast("double")))
-        nb = len(cuts) + 1
+        # any monotone bucketing keeps the running sums exact; Bucketizer does a
+        # binary search per row in the JVM (NaN keys: an extra last bucket)
+        splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
+        nb = len(splits)
+        d = Bucketizer(splits=splits, inputCol="_key", outputCol="_bkd", handleInvalid="keep").transform(
+            df.withColumn("_key", o.cast("double"))).drop("_key")
+        bucket = F.col("_bkd").cast("int")
     if descending:
         bucket = F.lit(nb - 1) - bucket
-    d = df.withColumn("_bk", bucket).withColumn("_one", F.lit(1))
+    d = d.withColumn("_bk", bucket).withColumn("_one", F.lit(1))
+    if "_bkd" in d.columns:
+        d = d.drop("_bkd")
     vals = list(value_cols) + ["_one"]
     totals = d.groupBy(*by, "_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in vals])
     wt = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)

@@ -179,3 +179,15 @@ UNION ALL SELECT cluster, 'l_discount_rate', l_discount_rate FROM prof""")
 def q_t7b(spark, sf):
     from tessera.plans.report import profile_long
     return profile_long(_profile(spark, sf))
+
+
+@query("t3_clustering_comparison_embeddings")
+def q_t3(spark, sf):
+    from tessera.plans.report import summarize_clustering
+    e = emb(spark, sf)
+    km = K.kmeans_labels(K.fit_kmeans(e, "embedding", k=10, n_init=2), e, "embedding", ["vec_id", "embedding"])
+    hac, _, _ = K.fit_hac(e, "vec_id", "embedding", k=10)
+    db = K.dbscan(e, "vec_id", "embedding", DB_EPS, DB_MIN)
+    return summarize_clustering([K.clustering_summary(km, "embedding", "cluster", "KMeans"),
+                                 K.clustering_summary(e.join(hac, "vec_id"), "embedding", "cluster", "HAC"),
+                                 K.clustering_summary(e.join(db, "vec_id"), "embedding", "cluster", "DBSCAN")])

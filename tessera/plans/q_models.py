@@ -114,7 +114,8 @@ def q_l13(spark, sf):
     d = VectorAssembler(inputCols=["n_words", "n_bang", "n_lines"], outputCol="rfeat").transform(d)
     d = d.select("id", F.col("rfeat").alias("features"), F.col("n_chars").alias("label"), F.col("label").alias("cls"))
     tr, te = S.train_test(S.stratified_split(d, "id", "cls", 0.2))
-    return r6(L.regression_comparison(tr.drop("cls"), te.drop("cls"), gbt_rounds=20))
+    from tessera.plans.report import summarize_regression
+    return summarize_regression(L.regression_comparison(tr.drop("cls"), te.drop("cls"), gbt_rounds=20))
 
 
 @query("l14_feature_importance_documents")

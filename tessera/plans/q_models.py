@@ -17,6 +17,7 @@ from tessera.operators import models as L
 from tessera.operators import sampling as S
 from tessera.operators import semi as P
 from tessera.plans.catalog import load, query, r6
+from tessera.session import cut_lineage
 
 DOC_FEATS = ["n_chars", "n_words", "n_bang", "n_lines"]
 
@@ -32,7 +33,8 @@ def doc_stats(spark, sf, how="inner"):
     d = C.scale(d, DOC_FEATS, "standard")
     asm = VectorAssembler(inputCols=DOC_FEATS, outputCol="features")
     out = asm.transform(d).withColumn("label", F.col("quality").cast("double"))
-    return out.select(F.col("doc_id").alias("id"), "features", "label", *DOC_FEATS)
+    # text parsing and scaling feed many small model jobs: cut the plan once
+    return cut_lineage(out.select(F.col("doc_id").alias("id"), "features", "label", *DOC_FEATS))
 
 
 def doc_split(spark, sf):

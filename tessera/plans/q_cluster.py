@@ -191,3 +191,23 @@ def q_t3(spark, sf):
     return summarize_clustering([K.clustering_summary(km, "embedding", "cluster", "KMeans"),
                                  K.clustering_summary(e.join(hac, "vec_id"), "embedding", "cluster", "HAC"),
                                  K.clustering_summary(e.join(db, "vec_id"), "embedding", "cluster", "DBSCAN")])
+
+
+@query("k1_radius_pairs_embeddings", f"""
+WITH p AS {EMB}
+SELECT a.id AS id_a, b.id AS id_b, round(list_distance(a.v, b.v), 6) AS dist
+FROM p a JOIN p b ON list_distance(a.v, b.v) <= 1.15""")
+def q_k1(spark, sf):
+    from tessera.operators.neighbors import radius_pairs
+    return r6(radius_pairs(emb(spark, sf), "vec_id", "embedding", 1.15))
+
+
+@query("k1_knn_embeddings", f"""
+WITH p AS {EMB},
+d AS (SELECT a.id AS id, b.id AS nbr_id, list_distance(a.v, b.v) AS dist FROM p a JOIN p b ON a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nbr_id) AS rank FROM d)
+SELECT id, nbr_id, round(dist, 6) AS dist, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
+def q_k1b(spark, sf):
+    from tessera.operators.neighbors import knn
+    out = knn(emb(spark, sf), "vec_id", "embedding", 5)
+    return r6(out.withColumn("rank", F.col("rank").cast("int")))

@@ -131,6 +131,17 @@ def _seed_from_sketch(df, targets, counts, accuracy):
             t["value"] = t["lo"]
 
 
+def _any_inside(brackets) -> Column:
+    """Plain range predicate (codegen'd, pushed to the scan): only rows inside
+    some bracket reach the per-row array expressions."""
+    cond = None
+    for c, lo, hi in brackets:
+        x = _num(c)
+        one = (x >= F.lit(lo)) & (x <= F.lit(hi))
+        cond = one if cond is None else cond | one
+    return cond
+
+
 def _histogram_pass(df, targets, bins):
     brackets = {}
     for t in targets:
@@ -144,7 +155,7 @@ def _histogram_pass(df, targets, bins):
         items.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
                             F.struct(F.lit(b).alias("b"), bucket.alias("k"), x.alias("x"))))
     arr = F.filter(F.array(*items), lambda s: s.isNotNull())
-    hist = (df.select(F.explode(arr).alias("s"))
+    hist = (df.filter(_any_inside([(c, lo, hi) for c, lo, hi in keys])).select(F.explode(arr).alias("s"))
               .groupBy(F.col("s.b").alias("b"), F.col("s.k").alias("k"))
               .agg(F.count("*").alias("cnt"), F.min("s.x").alias("mn"), F.max("s.x").alias("mx"))
               .collect())
@@ -180,7 +191,8 @@ def _final_pass(df, targets):
     arr = F.filter(F.array(*items), lambda s: s.isNotNull())
     want = F.create_map(*[F.lit(v) for kv in offs.items() for v in kv])
     w = Window.partitionBy("t").orderBy("x")
-    rows = (df.select(F.explode(arr).alias("s")).select("s.t", "s.x")
+    inside = _any_inside([(t["col"], t["lo"], t["hi"]) for t in targets])
+    rows = (df.filter(inside).select(F.explode(arr).alias("s")).select("s.t", "s.x")
               .withColumn("rn", F.row_number().over(w))
               .filter(F.col("rn") == F.element_at(want, F.col("t")))
               .collect())

@@ -234,16 +234,27 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list, **kw) -> dict:
 def grouped_quantiles(df: DataFrame, by: str, cols: list, probs: list, max_groups: int = 256, **kw) -> dict:
     """Exact quantiles per value of a low-cardinality column (e.g. a class).
 
-    One bounded run of :func:`exact_quantiles` per group (filter pushed to the
-    scan).  Returns ``{group: {(col, p): value}}``.
-    """
+    Every (group, column) pair becomes one masked column
+    ``CASE WHEN by = g THEN col END`` (nulls are ignored by the quantile), so
+    one run of :func:`exact_quantiles` answers all groups with the same
+    number of passes as an ungrouped call.  Returns ``{group: {(col, p): value}}``."""
     groups = [r[0] for r in df.select(by).distinct().limit(max_groups + 1).collect()]
     if len(groups) > max_groups:
         raise ValueError(f"{by} has more than {max_groups} values; grouped quantiles need a class column")
-    out = {}
-    for g in groups:
-        sub = df.filter(F.col(by).isNull() if g is None else F.col(by) == F.lit(g))
-        out[g] = exact_quantiles(sub, cols, probs, **kw)
+    groups = [g for g in groups if g is not None]
+    names, sel = {}, []
+    for gi, g in enumerate(groups):
+        for ci, c in enumerate(cols):
+            n = f"_q{gi}_{ci}"
+            names[n] = (g, c)
+            sel.append(F.when(F.col(by) == F.lit(g), F.col(c)).alias(n))
+    if not sel:
+        return {}
+    q = exact_quantiles(df.select(*sel), list(names), probs, **kw)
+    out: dict = {g: {} for g in groups}
+    for n, (g, c) in names.items():
+        for p in probs:
+            out[g][(c, p)] = q[(n, p)]
     return out
 
 

@@ -218,3 +218,12 @@ FROM labels""")
 def q_f13(spark, sf):
     lab = load(spark, sf, "labels").select("doc_id", "quality")
     return S.partial_labels(lab, "doc_id", "quality", 0.1)
+
+
+@query("m4_summary_without_scores_lineitem", f"""
+WITH {PC_SQL}
+SELECT 'lineitem' AS Model, round(sum(tp) / sum(nt), 6) AS Accuracy, round(avg(pr), 6) AS Precision,
+       round(avg(rc), 6) AS Recall, round(avg(f1), 6) AS F1,
+       CAST(NULL AS DOUBLE) AS ROC_AUC, CAST(NULL AS DOUBLE) AS PR_AUC FROM pf""")
+def q_m4(spark, sf):
+    return r6(M.classification_summary(li_scored(spark, sf), "y", "p", None, model_name="lineitem"))

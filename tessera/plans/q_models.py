@@ -70,7 +70,7 @@ def q_l4(spark, sf):
     return _pred(L.fit_boosted_trees(tr, n_rounds=20), te)
 
 
-@query("l4_boosted_trees_multiclass_lineitem_status")
+@query("l4_boosted_trees_multiclass_orders")
 def q_l4b(spark, sf):
     o = load(spark, sf, "orders")
     d = o.select(F.col("o_orderkey").alias("id"),

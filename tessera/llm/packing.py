@@ -22,7 +22,10 @@ Null texts are empty documents (their one token is the end id).
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -33,7 +36,8 @@ from pyspark.sql import types as T
 from .common import gapless_rank, staged, with_row_id
 
 END_ID = 1
-WORD_CACHE = 300_000
+WORD_CACHE = 400_000
+TEXTS_AT_ONCE = 500
 
 
 def public_vocabulary(name: str) -> str:
@@ -43,36 +47,73 @@ def public_vocabulary(name: str) -> str:
 
 
 class WordTokenizer:
-    """Packed uint32 ids of a text, word by word with a bounded cache.
+    """Packed uint32 ids of texts, through bounded caches of words.
 
-    ``word_bpe`` drops white space and never merges across it, so the ids of a
-    text are those of its white-space separated words in order.  Texts with
-    control separators, which Python splits at and the tokenizer does not, go
-    through the tokenizer whole."""
+    ``word_bpe`` normalises (NFC, white space, lower case) and cuts a text into
+    letter runs, single digits and other runs before merging; it never merges
+    across white space or across those cuts.  So the ids of a text are those
+    of its white-space separated words in order, and those of a plain word
+    (``PLAIN``: ASCII or Latin letters and simple signs, where Python's lower
+    case and NFC are the tokenizer's) are those of its cuts.  Every other word
+    goes to the tokenizer as it is; texts with control separators, which
+    Python splits at and the tokenizer does not, go there whole."""
+
+    PLAIN = re.compile(r"[A-Za-z0-9.,;:!?#$%&*()\[\]\-+=/_@\"\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+    CUTS = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+").findall
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-
-    def _raw(self, text: str) -> bytes:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self._raw(text)
-        words = text.split()
-        cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        if len(cache) > WORD_CACHE:
-            cache.clear()
-        new = list({w for w in words if w not in cache})
-        for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-            cache[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return b"".join([cache[w] for w in words])
+        self.words: dict[str, bytes] = {}
+        self.cuts: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        encoded = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in encoded]
+
+    def _learn(self, words) -> None:
+        """Cache the ids of new words; only cuts not seen before reach the tokenizer."""
+        whole, parts = [], {}
+        for w in words:
+            if self.PLAIN(w):
+                parts[w] = self.CUTS(w.lower())
+            else:
+                whole.append(w)
+        new = list({c for p in parts.values() for c in p if c not in self.cuts})
+        self.cuts.update(zip(new, self._ids(new)))
+        self.words.update(zip(whole, self._ids(whole)))
+        cuts = self.cuts
+        self.words.update((w, b"".join([cuts[c] for c in p])) for w, p in parts.items())
+
+    def encode_all(self, texts) -> list[bytes]:
+        """Ids of each text, packed; None counts as empty."""
+        if len(self.words) > WORD_CACHE:
+            self.words.clear()
+        if len(self.cuts) > WORD_CACHE:
+            self.cuts.clear()
+        split, out = [], []
+        for t in texts:
+            odd = t is not None and any(c in t for c in "\x1c\x1d\x1e\x1f")
+            split.append(None if odd else t.split() if t else [])
+        known = self.words
+        unseen: set[str] = set()
+        for ws in split:
+            unseen.update(w for w in ws or () if w not in known)
+        self._learn(unseen)
+        for t, ws in zip(texts, split):
+            out.append(self._ids([t])[0] if ws is None else b"".join([known[w] for w in ws]))
+        return out
+
+
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def worker_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer and word cache per Python worker, kept between tasks."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 PIECES = T.StructType([
@@ -85,19 +126,22 @@ PIECES = T.StructType([
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     def run(batches):
-        tok = WordTokenizer(tokenizer_path)
+        tok = worker_tokenizer(tokenizer_path)
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         for pdf in batches:
-            out = []
-            for doc, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
-                ids = (tok.encode(text) if isinstance(text, str) else b"") + end
-                n = len(ids) // 4
-                for k, s in enumerate(range(0, n, capacity)):
-                    part = ids[4 * s:4 * (s + capacity)]
-                    out.append((doc, k, s, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(out, columns=PIECES.fieldNames())
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+            texts = [t if isinstance(t, str) else None for t in pdf["text"]]
+            docs_ids = pdf["doc_id"].astype("Int64").tolist()
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                out = []
+                for doc, ids in zip(docs_ids[at:], tok.encode_all(texts[at:at + TEXTS_AT_ONCE])):
+                    ids += end
+                    n = len(ids) // 4
+                    for k, s in enumerate(range(0, n, capacity)):
+                        part = ids[4 * s:4 * (s + capacity)]
+                        out.append((doc, k, s, len(part) // 4, zlib.crc32(part)))
+                frame = pd.DataFrame(out, columns=PIECES.fieldNames())
+                frame["doc_id"] = frame["doc_id"].astype("Int64")
+                yield frame
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, PIECES)
 
 

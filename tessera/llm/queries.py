@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.session import load
 
-from . import decontaminate, packing, sharding
+from . import decontaminate, html_render, packing, quality_cnn, sharding, topk, toxicity, url_reputation
 
 QUERIES = {}
 ORACLES = {}
@@ -25,6 +25,30 @@ def op1(spark, sf_dir):
     return sharding.reshard_documents(load(spark, sf_dir, "documents"), n_shards=16, n_old=12)
 
 
+TOP_K_SQL = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 20 = 0),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20
+"""
+
+
+@query("op4_block_top_k", TOP_K_SQL)
+def op4(spark, sf_dir):
+    """The 20 best integer inner products of every 20th vector among all others."""
+    return topk.top_k(load(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+@query("op5_byte_cnn_quality")
+def op5(spark, sf_dir):
+    """Quality probability of every document."""
+    return quality_cnn.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), threshold=0.3)
+
+
 DECONTAMINATION_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS k, doc_id,
                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -59,3 +83,58 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     """All documents in sequences of at most 4096 tokens of the word BPE vocabulary."""
     return packing.pack_documents(load(spark, sf_dir, "documents"), packing.public_vocabulary("word_bpe_49k.json"), capacity=4096)
+
+
+@query("op8_toxicity")
+def op8(spark, sf_dir):
+    """Toxicity of every document after noisy-channel deobfuscation."""
+    return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), threshold=0.5)
+
+
+URL_SQL = r"""
+WITH u AS (SELECT page_id, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+p AS (SELECT *, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+             list_extract(string_split(host, '.'), -1) AS suffix FROM h),
+o AS (SELECT host, domain, suffix, y FROM p
+      JOIN (SELECT doc_id, max(quality) AS y FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id) l ON p.page_id = l.doc_id),
+hh AS (SELECT host, count(*) AS n, sum(y) AS y FROM o GROUP BY host),
+dd AS (SELECT domain, count(*) AS n, sum(y) AS y FROM o GROUP BY domain),
+ss AS (SELECT suffix, count(*) AS n, sum(y) AS y FROM o GROUP BY suffix),
+g AS (SELECT coalesce(sum(y) / CAST(nullif(count(*), 0) AS DOUBLE), 0.5) AS p0 FROM o),
+lv AS (SELECT 'h' AS l, n, y FROM hh UNION ALL SELECT 'd', n, y FROM dd UNION ALL SELECT 's', n, y FROM ss),
+m AS (SELECT l, count(*) - 1 AS free, sum(n) - sum(n * n) / CAST(sum(n) AS DOUBLE) - (count(*) - 1) AS room,
+             sum((y - n * p0) * (y - n * p0) / n) AS s, any_value(p0) AS p0 FROM lv, g GROUP BY l),
+kk AS (SELECT l, CASE WHEN free < 1 OR room <= 0 OR p0 <= 0 OR p0 >= 1 THEN 20.0
+                      ELSE 1 / least(greatest((s / (p0 * (1 - p0)) - free) / room, 1.0 / 201), 1.0 / 3) - 1 END AS k FROM m),
+c AS (SELECT coalesce((SELECT k FROM kk WHERE l = 'h'), 20.0) AS kh, coalesce((SELECT k FROM kk WHERE l = 'd'), 20.0) AS kd,
+             coalesce((SELECT k FROM kk WHERE l = 's'), 20.0) AS ks, (SELECT p0 FROM g) AS p0),
+f AS (SELECT p.page_id, p.host, p.path, coalesce(hh.n, 0) + kh AS w,
+             (coalesce(hh.y, 0) + kh * ((coalesce(dd.y, 0) + kd * ((coalesce(ss.y, 0) + ks * p0) / (coalesce(ss.n, 0) + ks)))
+                                        / (coalesce(dd.n, 0) + kd))) / (coalesce(hh.n, 0) + kh) AS mean
+      FROM p CROSS JOIN c LEFT JOIN hh ON p.host = hh.host LEFT JOIN dd ON p.domain = dd.domain LEFT JOIN ss ON p.suffix = ss.suffix),
+r AS (SELECT *, mean - 1.645 * sqrt(mean * (1 - mean) / (w + 1)) AS bound,
+             CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                  WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+                  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+                  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+                  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM f)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN bound >= 0.7 THEN 'allow' ELSE 'block' END AS verdict,
+       round(mean, 6) AS mean, round(bound, 6) AS bound
+FROM r
+"""
+
+
+@query("op9_url_reputation", URL_SQL)
+def op9(spark, sf_dir):
+    """Verdict on every page url by rules, else by shrunken host reputation."""
+    return url_reputation.judge(load(spark, sf_dir, "pages"), load(spark, sf_dir, "labels"))
+
+
+@query("op10_html_rendering")
+def op10(spark, sf_dir):
+    """All visible text of every page, laid out as plain text."""
+    return html_render.extract_text(load(spark, sf_dir, "pages"))

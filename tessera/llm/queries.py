@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.session import load
 
-from . import decontaminate, html_render, packing, quality_cnn, sharding, topk, toxicity, url_reputation
+from . import decontaminate, html_render, ngram_join, packing, quality_cnn, sharding, topk, toxicity, url_reputation
 
 QUERIES = {}
 ORACLES = {}
@@ -25,6 +25,36 @@ def op1(spark, sf_dir):
     return sharding.reshard_documents(load(spark, sf_dir, "documents"), n_shards=16, n_old=12)
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS g
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+c AS (SELECT r, list_aggregate(list_sort(list(g)), 'string_agg', '|') AS sig FROM s GROUP BY r),
+k AS (SELECT c.r, d.doc_id, min(c.r) OVER (PARTITION BY sig) AS rep, min(d.doc_id) OVER (PARTITION BY sig) AS low FROM c JOIN d ON c.r = d.r),
+t AS (SELECT s.r, s.g FROM s WHERE s.r IN (SELECT rep FROM k)),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS i FROM t a JOIN t b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON p.a = x.r JOIN n y ON p.b = y.r WHERE 100 * i >= 80 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach(a, b) AS (SELECT rep, rep FROM k GROUP BY rep UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+comp AS (SELECT reach.a AS rep, min(low) AS component_id FROM reach JOIN (SELECT DISTINCT rep, low FROM k) m ON reach.b = m.rep GROUP BY reach.a),
+cnt AS (SELECT rep, min(doc_id) AS low, count(*) AS copies FROM k GROUP BY rep),
+deg AS (SELECT e.a AS rep, sum(copies) AS links FROM e JOIN cnt ON e.b = cnt.rep GROUP BY e.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(comp.component_id, d.doc_id) AS component_id,
+       CAST(coalesce(deg.links, 0) + coalesce(cnt.copies - 1, 0) AS BIGINT) AS n_links, coalesce(cnt.low, d.doc_id) AS class_id
+FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN k ON d.r = k.r LEFT JOIN comp ON k.rep = comp.rep
+LEFT JOIN cnt ON k.rep = cnt.rep LEFT JOIN deg ON k.rep = deg.rep
+"""
+
+
+@query("op2_ngram_jaccard_join", JACCARD_SQL)
+def op2(spark, sf_dir):
+    """Near-duplicate groups of all documents: five-word shingles, Jaccard 0.8."""
+    return ngram_join.jaccard_components(load(spark, sf_dir, "documents"), num=80, den=100)
+
+
 TOP_K_SQL = """
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
            FROM embeddings

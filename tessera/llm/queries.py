@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.session import load
 
-from . import decontaminate, html_render, ngram_join, packing, quality_cnn, sharding, topk, toxicity, url_reputation
+from . import decontaminate, html_render, ngram_join, packing, quality_cnn, sharding, substring_dedup, topk, toxicity, url_reputation
 
 QUERIES = {}
 ORACLES = {}
@@ -55,6 +55,12 @@ def op2(spark, sf_dir):
     return ngram_join.jaccard_components(load(spark, sf_dir, "documents"), num=80, den=100)
 
 
+@query("op3_compact_window_dedup")
+def op3(spark, sf_dir):
+    """Passages of at least 50 words that repeat across documents, one row per occurrence."""
+    return substring_dedup.repeated_passages(load(spark, sf_dir, "documents"), min_words=50)
+
+
 TOP_K_SQL = """
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
            FROM embeddings

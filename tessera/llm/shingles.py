@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -45,10 +44,11 @@ def shingle_hashes(words: np.ndarray, size: int = SIZE) -> np.ndarray:
     n = len(words) - size + 1
     if n <= 0:
         return np.empty(0, "u8")
-    h = np.zeros(n, "u8")
-    for o in range(size):
-        h = mix((h * MIX[4]) ^ (words[o:o + n] + MIX[o % len(MIX)]))
-    return h
+    h = words[:n].copy()
+    for o in range(1, size):
+        h *= MIX[4]
+        h += words[o:o + n]
+    return mix(h)
 
 
 def shingle_set(words: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -59,16 +59,16 @@ def shingle_set(words: np.ndarray, size: int = SIZE) -> np.ndarray:
     return np.unique(h.view("i8"))
 
 
-def shingle_sets(batches):
-    """(doc_id, text) -> (doc_id, n, sig, toks): distinct shingles, packed; sig is equal for equal sets."""
+def set_name(tokens: np.ndarray) -> int:
+    """64-bit name of a set (equal sets, equal names)."""
+    import xxhash
+    return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
+
+
+def full_sets(batches):
+    """text -> (sid, n, toks): the distinct shingles of whole texts, packed; empty sets are left out."""
     import pyarrow as pa
     for rb in batches:
-        n, sig, toks = [], [], []
-        for text in rb.column("text").to_pylist():
-            s = shingle_set(word_hashes(text))
-            raw = s.astype("<i8").tobytes()
-            n.append(len(s))
-            toks.append(raw)
-            sig.append(hashlib.blake2b(raw, digest_size=16).hexdigest() if len(s) else None)
-        yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.string()), pa.array(toks, pa.binary())],
-                                         names=["doc_id", "n", "sig", "toks"])
+        sets = [x for x in (shingle_set(word_hashes(t)) for t in rb.column("text").to_pylist()) if len(x)]
+        yield pa.RecordBatch.from_arrays([pa.array([set_name(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int64()),
+                                          pa.array([x.tobytes() for x in sets], pa.binary())], names=["sid", "n", "toks"])

@@ -234,6 +234,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         lab = new
         if changed == 0:
             break
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     CC_ROUNDS.append(rnd + 1)
     return lab
 

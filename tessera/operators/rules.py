@@ -16,6 +16,7 @@ most ``C(w, k) / min_support`` frequent k-sets whatever ``n`` is.  Above
 
 from __future__ import annotations
 
+import math
 import itertools
 
 from pyspark import StorageLevel
@@ -64,6 +65,15 @@ def _member_of(keys: list):
     return lambda s: _key(s).isin(keys)
 
 
+def least_count(min_support: float, n: int) -> int:
+    """Smallest count whose support ``count / n`` reaches ``min_support``
+    (the product ``min_support * n`` may round above it)."""
+    c = max(0, math.floor(min_support * n) - 1)
+    while c / n < min_support:
+        c += 1
+    return c
+
+
 def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float = 0.1,
                       max_len: int | None = 4, persist: bool = True) -> DataFrame:
     """Level-wise (Apriori) frequent itemsets: ``support = freq / n >= min_support``
@@ -75,7 +85,7 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
     n = t.count()
     if n == 0:
         return spark.createDataFrame([], ITEMSET_SCHEMA)
-    min_count = min_support * n
+    min_count = least_count(min_support, n)
     l1 = (t.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
             .filter(F.col("freq") >= F.lit(min_count)).collect())
     levels = {1: {(r["item"],): int(r["freq"]) for r in l1}}
@@ -94,7 +104,7 @@ def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float =
     return spark.createDataFrame(rows, ITEMSET_SCHEMA)
 
 
-def _count_level(t: DataFrame, singles: list, levels: dict, cands: list, k: int, min_count: float) -> dict:
+def _count_level(t: DataFrame, singles: list, levels: dict, cands: list, k: int, min_count: int) -> dict:
     inline = len(cands) + sum(len(v) for v in levels.values()) <= MAX_INLINE_CANDIDATES
     f = F.filter("items", lambda x: x.isin(singles))
     sets = F.transform(f, lambda x: F.array(x))
@@ -125,7 +135,7 @@ def fpgrowth_itemsets(tx: DataFrame, items: str = "items", min_support: float =
     n = t.count()
     if n == 0:
         return tx.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(t)
+    model = FPGrowth(itemsCol="items", minSupport=max(0.0, (least_count(min_support, n) - 0.5) / n), minConfidence=1.0).fit(t)
     fi = model.freqItemsets
     if max_len is not None:
         fi = fi.filter(F.size("items") <= max_len)

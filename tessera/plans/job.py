@@ -49,6 +49,12 @@ class JobSettings:
     seed: int = P.SEED
 
 
+def distinct_rows(raw: DataFrame, id_col: str) -> DataFrame:
+    """Duplicate rows removed whatever their ids; the smallest id stays."""
+    others = [c for c in raw.columns if c != id_col]
+    return raw.groupBy(*[F.col(f"`{c}`") for c in others]).agg(F.min(id_col).alias(id_col)).select(*[F.col(f"`{c}`") for c in raw.columns])
+
+
 def run(spark: SparkSession, raw: DataFrame, s: JobSettings | None = None, skip_semi: bool = False,
         skip_regression: bool = False) -> dict:
     s = s or JobSettings()
@@ -57,7 +63,7 @@ def run(spark: SparkSession, raw: DataFrame, s: JobSettings | None = None, skip_
         raw = raw.withColumn(s.id_col, F.monotonically_increasing_id())
         raw = cut_lineage(raw)  # pin the generated ids
     pp = s.preprocessing
-    processed, cleaner = C.fit_transform(raw, s.numeric, s.categorical, s.sentinels, pp["handle_missing"],
+    processed, cleaner = C.fit_transform(distinct_rows(raw, s.id_col), s.numeric, s.categorical, s.sentinels, pp["handle_missing"],
                                          pp["outlier_method"], pp["outlier_threshold"], pp["scaling_method"])
     processed = cut_lineage(processed)
     out["processed"] = processed

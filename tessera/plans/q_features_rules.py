@@ -67,7 +67,7 @@ t AS (SELECT row_number() OVER () AS tid,
              list_sort(list_distinct(list_filter(items, lambda x: x IS NOT NULL))) AS items FROM tx),
 nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM t),
 e AS (SELECT tid, unnest(items) AS item FROM t),
-l1 AS (SELECT item AS i1, count(*) AS freq FROM e GROUP BY 1 HAVING count(*) >= {ms} * (SELECT n FROM nn)),
+l1 AS (SELECT item AS i1, count(*) AS freq FROM e GROUP BY 1 HAVING count(*) / (SELECT n FROM nn) >= {ms}),
 e1 AS (SELECT e.tid, e.item FROM e JOIN l1 ON e.item = l1.i1)"""
     names = ["i1"]
     unions = ["SELECT [i1] AS items, freq FROM l1"]
@@ -79,7 +79,7 @@ e1 AS (SELECT e.tid, e.item FROM e JOIN l1 ON e.item = l1.i1)"""
         grp = ", ".join(str(j + 1) for j in range(k))
         cte += f""",
 l{k} AS (SELECT {cols}, count(*) AS freq FROM e1 x1 {joins} GROUP BY {grp}
-        HAVING count(*) >= {ms} * (SELECT n FROM nn))"""
+        HAVING count(*) / (SELECT n FROM nn) >= {ms})"""
         unions.append(f"SELECT [{', '.join(f'i{j}' for j in range(1, k + 1))}] AS items, freq FROM l{k}")
     cte += f""",
 fi0 AS ({' UNION ALL '.join(unions)}),

@@ -4,7 +4,7 @@ Two documents link when their sets of distinct five-word shingles have a
 Jaccard similarity of at least ``num / den`` (0.8).  Steps:
 
 1. Sets.  Each whole text becomes a sorted array of 64-bit shingle hashes.
-   Documents with equal sets form a class; one representative goes on.
+   Documents with equal sets form a class, which goes on as one set.
 2. Live tokens.  In hash order, linked sets of n tokens must share ``k`` tokens
    of their first ``n - c + k`` (c: least overlap; k a twentieth of n).  Tokens
    that only one set has cannot be shared, so sets with fewer than k tokens
@@ -36,9 +36,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import drop_staged, staged
 from .components import connected_components
-from .shingles import shingle_sets
+from .shingles import full_sets, set_name, shingle_set, word_hashes
 
 BLOCK_TOKENS = 262_144    # tokens of the sets in one verification block
 PREFIX_SHARE = 20         # k = n // PREFIX_SHARE + 1 shared prefix tokens in step 2
@@ -50,58 +50,57 @@ def least_overlap(n, num: int, den: int):
     return F.ceil(n * num / den).cast("long")
 
 
-def set_classes(docs: DataFrame) -> DataFrame:
-    """Staged (doc_id, n, sig, toks): whole documents with their sets; sig names the class."""
-    sets = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        shingle_sets, "doc_id long, n long, sig string, toks binary")
-    return staged(sets, "join-sets")
-
+def set_table(docs: DataFrame, num: int, den: int) -> DataFrame:
+    """Staged (doc_id, n, sid, pre): size and name of every document's set and its prefix in hash order.
 
-def prefix_tokens(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """(id, k, tok): the first n - c + k tokens of every set in hash order."""
+    Only prefixes (about a quarter of the tokens) are written; whole sets are
+    made again for the few sets that may have a partner."""
     def run(batches):
         import pyarrow as pa
         for rb in batches:
-            ids, toks = rb.column("id").to_pylist(), rb.column("toks").to_pylist()
-            out_id, out_k, out = [], [], []
-            for i, raw in zip(ids, toks):
-                t = np.frombuffer(raw, "<i8")
-                n = len(t)
-                k = n // PREFIX_SHARE + 1
-                p = min(n, n - -(-n * num // den) + k)
-                out_id.append(np.full(p, i, "i8"))
-                out_k.append(np.full(p, k, "i4"))
-                out.append(t[:p])
-            cat = np.concatenate if out else (lambda _: np.empty(0, "i8"))
-            yield pa.RecordBatch.from_arrays([pa.array(cat(out_id), pa.int64()), pa.array(cat(out_k).astype("i4"), pa.int32()), pa.array(cat(out), pa.int64())],
-                                             names=["id", "k", "tok"])
-    return reps.select("id", "toks").mapInArrow(run, "id long, k int, tok long")
-
-
-def all_tokens(reps: DataFrame) -> DataFrame:
-    """(id, tok) of whole sets."""
+            n, sid, pre = [], [], []
+            for text in rb.column("text").to_pylist():
+                s = shingle_set(word_hashes(text))
+                m = len(s)
+                n.append(m)
+                sid.append(set_name(s) if m else None)
+                pre.append(s[:m - -(-m * num // den) + m // PREFIX_SHARE + 1].tobytes())
+            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(pre, pa.binary())],
+                                             names=["doc_id", "n", "sid", "pre"])
+    sets = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, sid long, pre binary")
+    return staged(sets, "join-sets")
+
+
+def tokens_of(rows: DataFrame, column: str) -> DataFrame:
+    """(sid, tok): one row per token of the packed ``column``."""
     def run(batches):
         import pyarrow as pa
         for rb in batches:
-            ids = rb.column("id").to_numpy(zero_copy_only=False)
-            toks = [np.frombuffer(x, "<i8") for x in rb.column("toks").to_pylist()]
+            sid = rb.column("sid").to_numpy(zero_copy_only=False)
+            toks = [np.frombuffer(x, "<i8") for x in rb.column(column).to_pylist()]
             flat = np.concatenate(toks) if toks else np.empty(0, "i8")
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, [len(t) for t in toks]), pa.int64()), pa.array(flat, pa.int64())], names=["id", "tok"])
-    return reps.select("id", "toks").mapInArrow(run, "id long, tok long")
-
-
-def live_sets(reps: DataFrame, num: int, den: int) -> DataFrame:
-    """Sets that may have a partner: (id, n, toks, rare) with their shared tokens, rarest first."""
-    pre = prefix_tokens(reps, num, den)
-    shared = pre.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1").select("tok")
-    survivors = (pre.join(shared, "tok").groupBy("id", "k").agg(F.count("*").alias("live")).filter(F.col("live") >= F.col("k")).select("id"))
-    kept = staged(reps.join(survivors, "id"), "join-kept")
-    tokens = all_tokens(kept)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(sid, [len(t) for t in toks]), pa.int64()), pa.array(flat, pa.int64())], names=["sid", "tok"])
+    return rows.select("sid", column).mapInArrow(run, "sid long, tok long")
+
+
+def live_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int):
+    """Staged sets that may have a partner: (sid, n, n_live, rare) with their rarest shared tokens, and (sid, n, copies, toks)."""
+    pre = tokens_of(sets.filter("n > 0"), "pre")       # copies repeat the rows of their set
+    shared = pre.groupBy("tok").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).filter("x < y").select("tok")
+    live = pre.join(shared, "tok").groupBy("sid").agg(F.count("*").alias("live"))
+    k = F.floor(F.col("n") / PREFIX_SHARE) + 1
+    survivors = staged(classes.join(live, "sid").filter(F.col("live") >= k * F.col("copies")).select("sid", "id", "copies"), "join-survivors")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(survivors.select("id").distinct(), "id", "left_semi")
+    kept = staged(texts.select("text").mapInArrow(full_sets, "sid long, n long, toks binary").dropDuplicates(["sid"]).join(survivors, "sid"), "join-kept")
+    tokens = tokens_of(kept, "toks")
     df = tokens.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
-    ranked = (tokens.join(df, "tok").groupBy("id")
+    ranked = (tokens.join(df, "tok").groupBy("sid")
               .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("rare")))   # one set's tokens: bounded by its text
-    out = kept.join(ranked, "id").filter(F.size("rare") >= least_overlap(F.col("n"), num, den))
-    return staged(out, "join-live")
+    need = least_overlap(F.col("n"), num, den)
+    live = F.size("rare").cast("long")
+    out = (kept.select("sid", "n").join(ranked, "sid").filter(live >= need).withColumn("n_live", live)
+           .withColumn("rare", F.slice("rare", 1, (F.col("n_live") - need + 2).cast("int"))))    # all that signatures need
+    return staged(out, "join-live"), kept
 
 
 def boundary(live: DataFrame, num: int, den: int) -> float:
@@ -110,7 +109,7 @@ def boundary(live: DataFrame, num: int, den: int) -> float:
     Costs are summed per size class (a quarter octave), so the table that
     reaches the driver is bounded by the logarithm of the longest text."""
     n, c = F.col("n"), least_overlap(F.col("n"), num, den)
-    dead = n - F.size("rare")
+    dead = n - F.col("n_live")
     q2 = F.greatest(F.lit(0), n - c + 2 - dead)
     q1 = F.greatest(F.lit(0), n - c + 1 - dead)
     scans = F.aggregate(F.slice("rare", 1, F.greatest(q1, F.lit(1)).cast("int")), F.lit(0).cast("long"), lambda a, x: a + x["df"])
@@ -127,14 +126,14 @@ def boundary(live: DataFrame, num: int, den: int) -> float:
 def signatures(live: DataFrame, cut: float, num: int, den: int) -> DataFrame:
     """(id, sig): 2-subsets of small sets, list tokens of large sets and of small sets near the boundary."""
     n, c = F.col("n"), least_overlap(F.col("n"), num, den)
-    dead = n - F.size("rare")
+    dead = n - F.col("n_live")
     toks = F.transform("rare", lambda x: x["tok"])
     first2 = F.slice(toks, 1, F.greatest(F.lit(0), n - c + 2 - dead).cast("int"))
     first1 = F.slice(toks, 1, F.greatest(F.lit(0), n - c + 1 - dead).cast("int"))
     pairs = F.flatten(F.transform(first2, lambda x, i: F.transform(
         F.slice(first2, i + 2, F.size(first2)), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y)))))
-    small = live.filter(n < cut).select("id", F.explode(pairs).alias("sig"), F.lit(2).alias("kind"))
-    large = live.filter(n >= cut * num / den).select("id", F.explode(first1).alias("sig"), F.lit(1).alias("kind"))
+    small = live.filter(n < cut).select(F.col("sid").alias("id"), F.explode(pairs).alias("sig"), F.lit(2).alias("kind"))
+    large = live.filter(n >= cut * num / den).select(F.col("sid").alias("id"), F.explode(first1).alias("sig"), F.lit(1).alias("kind"))
     return small.union(large)
 
 
@@ -201,10 +200,10 @@ def _forest(i, j, n):
     return keep
 
 
-def verified(live: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
+def verified(kept: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """(id, other, links): exact link counts (other null) and forest edges (links null) of block pairs."""
-    sets = live.select("id", "n", "toks", "copies").join(groups.select(F.col("node").alias("id"), "component"), "id")
-    total = groups.join(live.select(F.col("id").alias("node"), "n"), "node").groupBy("component").agg(
+    sets = kept.select(F.col("sid").alias("id"), "n", "toks", "copies").join(groups.select(F.col("node").alias("id"), "component"), "id")
+    total = groups.join(kept.select(F.col("sid").alias("node"), "n"), "node").groupBy("component").agg(
         F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("blocks"))
     sets = sets.join(total, "component").withColumn("blk", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")).cast("int"))
     sets = sets.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -236,18 +235,22 @@ def verified(live: DataFrame, groups: DataFrame, num: int, den: int) -> DataFram
 
 def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links, class_id of every document."""
-    sets = set_classes(docs)
-    reps = staged(sets.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"),
-                                                          F.first("toks").alias("toks")), "join-classes")
-    live = live_sets(reps, num, den)
+    sets = set_table(docs, num, den)
+    classes = staged(sets.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n")), "join-classes")
+    live, kept = live_sets(docs, sets, classes, num, den)
+    slim = staged(sets.select("doc_id", "n", "sid"), "join-names")
+    drop_staged(sets)       # no later step reads the prefixes
     cut = boundary(live, num, den)
-    found = staged(verified(live, candidate_groups(live, cut, num, den), num, den), "join-links")
+    found = staged(verified(kept, candidate_groups(live, cut, num, den), num, den), "join-links")
     comps = connected_components(found.filter("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")))
     links = found.filter("links IS NOT NULL").groupBy("id").agg(F.sum("links").alias("links"))
-    per_class = (reps.select("sig", "id", "copies").join(comps.select(F.col("node").alias("id"), "component"), "id", "left").join(links, "id", "left")
-                 .select("sig", F.col("id").alias("class_id"), F.coalesce("component", "id").alias("component_id"),
-                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    out = sets.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(per_class, "sig", "left")
+    # sets are named by sid from here; a component's id is the smallest doc_id of its classes
+    ids = classes.select("sid", "id", "copies").join(comps.select(F.col("node").alias("sid"), "component"), "sid", "left")
+    ids = ids.withColumn("component", F.coalesce("component", "sid"))
+    low = ids.groupBy("component").agg(F.min("id").alias("component_id"))
+    per_class = (ids.join(low, "component").join(links.withColumnRenamed("id", "sid"), "sid", "left")
+                 .select("sid", F.col("id").alias("class_id"), "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    out = slim.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(per_class, "sid", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("class_id", "doc_id").alias("class_id"))
 

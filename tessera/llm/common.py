@@ -10,6 +10,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,11 +21,31 @@ ROWS_PER_BUCKET = 50_000
 MIN_BUCKETS = 256
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def session_settings(spark, settings: dict):
+    """SQL settings that hold inside the block and are put back after it."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder of ``spark.checkpoint.dir`` and read it back."""
+    """Write ``df`` as Parquet in the shared folder of ``spark.checkpoint.dir`` and read it back.
+
+    No later step reads the shuffle files of the write, so Spark deletes them
+    when it ends instead of at some later collection of the driver's heap."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    with session_settings(spark, {SHUFFLE_CLEANUP: "true"}):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

@@ -36,13 +36,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_staged, staged
+from .common import drop_staged, session_settings, staged
 from .components import connected_components
 from .shingles import full_sets, set_name, shingle_set, word_hashes
 
 BLOCK_TOKENS = 262_144    # tokens of the sets in one verification block
 PREFIX_SHARE = 20         # k = n // PREFIX_SHARE + 1 shared prefix tokens in step 2
 SIZE_CLASSES_PER_OCTAVE = 4
+#: Spark's runtime filter of a join, whatever the size of its sides (at most 8 MB of bits; a full filter passes all rows on).
+BLOOM_JOIN = {"spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+              "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+              "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB"}
 
 
 def least_overlap(n, num: int, den: int):
@@ -90,8 +94,10 @@ def live_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, num: int, de
     live = pre.join(shared, "tok").groupBy("sid").agg(F.count("*").alias("live"))
     k = F.floor(F.col("n") / PREFIX_SHARE) + 1
     survivors = staged(classes.join(live, "sid").filter(F.col("live") >= k * F.col("copies")).select("sid", "id", "copies"), "join-survivors")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(survivors.select("id").distinct(), "id", "left_semi")
-    kept = staged(texts.select("text").mapInArrow(full_sets, "sid long, n long, toks binary").dropDuplicates(["sid"]).join(survivors, "sid"), "join-kept")
+    # most documents have no partner: a Bloom filter of the survivors keeps their texts out of the shuffle
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(survivors.filter("copies > 0").select("id"), "id", "left_semi")
+    with session_settings(docs.sparkSession, BLOOM_JOIN):
+        kept = staged(texts.select("text").mapInArrow(full_sets, "sid long, n long, toks binary").dropDuplicates(["sid"]).join(survivors, "sid"), "join-kept")
     tokens = tokens_of(kept, "toks")
     df = tokens.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
     ranked = (tokens.join(df, "tok").groupBy("sid")

@@ -8,15 +8,16 @@ bisecting hyperplane of h and q::
     lb(x, q) = (|x - q|^2 - |x - h|^2) / (2 |h - q|)
 
 So x only needs to be compared with the points of the cells where
-``lb(x, q) <= radius``: x is copied into those cells and an equi-join on the
-cell id pairs it with their home points.  Every pair within the radius is
-found exactly once, whatever the pivots are; good pivots only make it cheaper.
-Work per cell is bounded by the cell size (``cell_target``), and a hot cell
-left by duplicated rows is avoided by de-duplicating vectors first (the
-operators carry a weight per distinct vector).  Inside a cell the distance
-block is computed by a grouped Pandas UDF with numpy in bounded chunks, and
-only the pairs that qualify leave the task: the all-pairs rows of a cell are
-never materialised as Spark rows.
+``lb(x, q) <= radius``: x is copied into those cells and meets their home
+points there.  Every pair within the radius is found exactly once, whatever
+the pivots are; good pivots only make it cheaper.
+
+A cell may hold any share of the rows, so it is not the unit of work.  Its home
+points and its query copies are cut into tiles of about ``cell_target`` rows
+(by a hash of the id), and every (home tile, query tile) of a cell is its own
+group: a task never holds more than two tiles, and a hot cell spreads over as
+many tasks as it has tile pairs.  A tile pair is one numpy distance block, worked
+off in row chunks of bounded size; only the pairs that qualify leave the task.
 """
 
 from __future__ import annotations
@@ -24,14 +25,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import cut_lineage
+
 DEFAULT_CELL_TARGET = 4_000
-MAX_PIVOTS = 4_096
+BLOCK_CELLS = 4_000_000  # distances (and vector components) held at once by a task
 
 
 def to_array(df: DataFrame, col: str) -> Column:
@@ -60,7 +62,9 @@ def dist(a: Column, b: Column, dim: int | None = None) -> Column:
 
 def choose_pivots(df: DataFrame, vec: str, n_rows: int, cell_target: int = DEFAULT_CELL_TARGET,
                   seed: int = 42) -> np.ndarray:
-    m = max(1, min(MAX_PIVOTS, math.ceil(n_rows / cell_target)))
+    """About one pivot per ``cell_target`` rows, and never more than sqrt(n):
+    beyond that, finding a row's pivot would cost more than the pairs it saves."""
+    m = max(1, min(math.ceil(n_rows / cell_target), math.ceil(math.sqrt(n_rows))))
     if m == 1:
         row = df.select(vec).first()
         return np.array([row[0]], dtype=float)
@@ -72,112 +76,155 @@ def choose_pivots(df: DataFrame, vec: str, n_rows: int, cell_target: int = DEFAU
 def assign_cells(df: DataFrame, vec: str, pivots: np.ndarray, radius: Column | float | None) -> DataFrame:
     """Adds ``_home`` (nearest pivot) and ``_cells`` (cells to probe for ``radius``;
     ``radius`` may be a column).  With ``radius=None`` only ``_home``."""
-    P = F.lit(pivots.tolist())
-    d = F.transform(P, lambda p: sq_dist(F.col(vec), p))
-    out = df.withColumn("_pd", d).withColumn("_home", F.array_position(F.col("_pd"), F.array_min("_pd")).cast("int") - 1)
-    if radius is None:
-        return out.drop("_pd")
-    m = len(pivots)
-    gap = np.sqrt(((pivots[:, None, :] - pivots[None, :, :]) ** 2).sum(-1))
-    G = F.lit(gap.tolist())
-    r = radius if isinstance(radius, Column) else F.lit(float(radius))
-    dh = F.element_at("_pd", F.col("_home") + 1)
-    cells = F.filter(F.sequence(F.lit(0), F.lit(m - 1)), lambda q: (q == F.col("_home")) | (
-        (F.element_at("_pd", q + 1) - dh) / (2 * F.element_at(F.element_at(G, F.col("_home") + 1), q + 1)) <= r))
-    return out.withColumn("_cells", cells).drop("_pd")
+    src = df
+    if radius is not None:
+        src = df.withColumn("_rad", radius if isinstance(radius, Column) else F.lit(float(radius)))
+    fields = [f for f in df.schema.fields if f.name not in ("_home", "_cells")]
+    schema = T.StructType(fields + [T.StructField("_home", T.IntegerType())]
+                          + ([T.StructField("_cells", T.ArrayType(T.IntegerType()))] if radius is not None else []))
+    norms = (pivots * pivots).sum(1)
+    probe = radius is not None
+    names = [f.name for f in fields]
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            home, cells = [], []
+            X = np.stack(pdf[vec].to_numpy()).astype(float)
+            step = max(1, BLOCK_CELLS // len(pivots))
+            for lo in range(0, len(X), step):
+                x = X[lo:lo + step]
+                d = np.maximum((x * x).sum(1)[:, None] + norms[None, :] - 2.0 * (x @ pivots.T), 0.0)
+                h = d.argmin(1)
+                home.append(h)
+                if not probe:
+                    continue
+                slack = _rounding(x.shape[1], (x * x).sum(1), norms.max())
+                for i, r in enumerate(pdf["_rad"].to_numpy()[lo:lo + step]):
+                    gap = np.sqrt(((pivots - pivots[h[i]]) ** 2).sum(1))
+                    # pivots that coincide cannot be told apart: probe both
+                    near = d[i] - d[i, h[i]] <= 2.0 * gap * r + 2.0 * slack[i]
+                    near[h[i]] = True
+                    cells.append(np.nonzero(near)[0].astype("i4"))
+            out = pdf[names].assign(_home=np.concatenate(home).astype("i4"))
+            if probe:
+                out["_cells"] = cells
+            yield out
+    return src.mapInPandas(run, schema)
+
+
+def _rounding(dim: int, qn, hn):
+    """Bound of the rounding error of |q|^2 + |h|^2 - 2 q.h."""
+    return 8.0 * (dim + 2) * np.finfo(float).eps * (qn + hn)
+
+
+def _exact(Q, H, qi, hi):
+    """Distances of the listed pairs from their differences, in bounded slices."""
+    out = np.empty(len(qi))
+    step = max(1, BLOCK_CELLS // Q.shape[1])
+    for lo in range(0, len(qi), step):
+        s = slice(lo, lo + step)
+        out[s] = np.sqrt(((Q[qi[s]] - H[hi[s]]) ** 2).sum(1))
+    return out
+
+
+def _blocks(pdf):
+    """Home rows of a tile pair and its query rows in chunks of bounded size:
+    (home ids, H, query ids, Q, approximate squared distances, their error)."""
+    home, qry = pdf[pdf["_is_home"]], pdf[~pdf["_is_home"]]
+    if home.empty or qry.empty:
+        return
+    H = np.stack(home["_v"].to_numpy()).astype(float)
+    hid = home["_id"].to_numpy()
+    hn = (H * H).sum(1)
+    Qall = np.stack(qry["_v"].to_numpy()).astype(float)
+    qid = qry["_id"].to_numpy()
+    step = max(1, BLOCK_CELLS // len(H))
+    for lo in range(0, len(Qall), step):
+        Q = Qall[lo:lo + step]
+        qn = (Q * Q).sum(1)
+        yield hid, H, qid[lo:lo + step], Q, qn[:, None] + hn[None, :] - 2.0 * (Q @ H.T), _rounding(H.shape[1], qn, hn.max())
 
 
-CHUNK = 2048  # query rows per numpy block: bounds per-task memory to CHUNK x cell size
+def _pairs_within(radius: float):
+    """Kernel of a tile pair: candidates from the matrix product, kept by their exact distance."""
+    import pandas as pd
 
+    def fn(pdf):
+        out = [pd.DataFrame({"id_a": np.empty(0, "i8"), "id_b": np.empty(0, "i8"), "dist": np.empty(0)})]
+        for hid, H, qid, Q, d2, err in _blocks(pdf):
+            qi, hi = np.nonzero(d2 <= radius * radius * (1 + 1e-9) + err[:, None])
+            d = _exact(Q, H, qi, hi)
+            keep = d <= radius
+            out.append(pd.DataFrame({"id_a": qid[qi[keep]], "id_b": hid[hi[keep]], "dist": d[keep]}))
+        return pd.concat(out, ignore_index=True)
+    return fn
 
-def _pairs_within(radius: float):
-    """Grouped-map kernel: one cell's home points vs the query copies sent to
-    it; numpy distance blocks, only pairs within ``radius`` leave the task."""
-    import numpy as np
+
+def _knn_within(k: int, part: list):
+    """Kernel of a tile pair: the k nearest home rows of every query row (exact distance, ties by id)."""
     import pandas as pd
 
     def fn(pdf):
-        home = pdf[pdf["_is_home"]]
-        qry = pdf[pdf["_is_query"]]
-        if home.empty or qry.empty:
-            return pd.DataFrame({"id_a": [], "id_b": [], "dist": []})
-        H = np.stack(home["_v"].to_numpy()).astype(float)
-        hid = home["_id"].to_numpy()
-        hn = (H * H).sum(1)
         out = []
-        Qall = np.stack(qry["_v"].to_numpy()).astype(float)
-        qid_all = qry["_id"].to_numpy()
-        r2 = radius * radius
-        for s0 in range(0, len(Qall), CHUNK):
-            Q = Qall[s0:s0 + CHUNK]
-            d2 = (Q * Q).sum(1)[:, None] + hn[None, :] - 2.0 * (Q @ H.T)
-            qi, hi = np.nonzero(d2 <= r2 + 1e-9 * (1.0 + r2))  # candidates, then exact distances
-            if len(qi):
-                d = np.sqrt(((Q[qi] - H[hi]) ** 2).sum(1))
-                keep = d <= radius
-                out.append(pd.DataFrame({"id_a": qid_all[s0:s0 + CHUNK][qi[keep]], "id_b": hid[hi[keep]],
-                                         "dist": d[keep]}))
-        if not out:
-            return pd.DataFrame({"id_a": [], "id_b": [], "dist": []})
-        return pd.concat(out, ignore_index=True)
+        for hid, H, qid, Q, d2, err in _blocks(pdf):
+            kk = min(k, len(H))
+            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+            qi, hi = np.nonzero(d2 <= (kth + 2.0 * err)[:, None])
+            d = _exact(Q, H, qi, hi)
+            o = np.lexsort((hid[hi], d, qi))
+            qi, hi, d = qi[o], hi[o], d[o]
+            first = np.searchsorted(qi, np.arange(len(Q)))
+            keep = np.arange(len(qi)) - first[qi] < kk
+            frame = pd.DataFrame({"id_a": qid[qi[keep]], "id_b": hid[hi[keep]], "dist": d[keep]})
+            for c in part:
+                frame[c] = pdf[c].iloc[0]
+            out.append(frame)
+        cols = [*part, "id_a", "id_b", "dist"]
+        return pd.concat(out, ignore_index=True)[cols] if out else pd.DataFrame({c: [] for c in cols})
     return fn
 
 
-def _cell_frame(a: DataFrame, part: list, cells_col: str | None) -> DataFrame:
-    """Home rows and query copies of every point, keyed by (partition, cell)."""
-    home = a.select(*part, "_id", "_v", F.col("_home").alias("cell"),
-                    F.lit(True).alias("_is_home"), F.lit(cells_col is None).alias("_is_query"))
-    if cells_col is None:
-        return home
-    qry = a.select(*part, "_id", "_v", F.explode(cells_col).alias("cell"),
-                   F.lit(False).alias("_is_home"), F.lit(True).alias("_is_query"))
-    return home.unionByName(qry)
+def tile_pairs(home: DataFrame, probes: DataFrame, part: list, tile_rows: int) -> DataFrame:
+    """Rows keyed by (part, cell, ht, qt): every home tile of a cell with every query tile of it.
+
+    ``home`` and ``probes`` hold (part, _id, _v, cell).  A tile has about
+    ``tile_rows`` rows, so a group's size does not depend on the cell's."""
+    key = [*part, "cell"]
+
+    def tiles(n):
+        return F.ceil(F.col(n) / F.lit(tile_rows)).cast("int")
+    sizes = (home.groupBy(*key).agg(F.count(F.lit(1)).alias("_nh"))
+                 .join(probes.groupBy(*key).agg(F.count(F.lit(1)).alias("_nq")), key)
+                 .select(*key, tiles("_nh").alias("_th"), tiles("_nq").alias("_tq")))
+    own = F.xxhash64("_id", F.lit(17))
+
+    def spread(rows, mine, n_mine, other, n_other, is_home):
+        return (rows.join(sizes, key).withColumn(mine, F.pmod(own, F.col(n_mine)).cast("int"))
+                    .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)))
+                    .select(*key, "ht", "qt", "_id", "_v", F.lit(is_home).alias("_is_home")))
+    return (spread(home, "ht", "_th", "qt", "_tq", True)
+            .unionByName(spread(probes, "qt", "_tq", "ht", "_th", False)))
+
+
+def _homes(a: DataFrame, part: list) -> DataFrame:
+    return a.select(*part, "_id", "_v", F.col("_home").alias("cell"))
 
 
 def radius_pairs(df: DataFrame, id_col: str, vec: str, eps: float, pivots: np.ndarray | None = None,
                  n_rows: int | None = None, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42) -> DataFrame:
     """All ordered pairs (id_a, id_b, dist) with dist <= eps, self pairs included."""
-    base = df.select(F.col(id_col).cast("long").alias("_id"), to_array(df, vec).alias("_v"))
+    base = df.select(F.col(id_col).cast("long").alias("_id"), to_array(df, vec).alias("_v")).filter("_v IS NOT NULL")
+    schema = "id_a long, id_b long, dist double"
     if pivots is None:
         n_rows = n_rows if n_rows is not None else base.count()
+        if n_rows == 0:
+            return df.sparkSession.createDataFrame([], schema)
         pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
     a = assign_cells(base, "_v", pivots, eps)
-    both = _cell_frame(a, [], "_cells")
-    return both.groupBy("cell").applyInPandas(_pairs_within(float(eps)), "id_a long, id_b long, dist double")
-
-
-def _knn_within(k: int, part: list):
-    """Grouped-map kernel: for every query row of the cell, its k nearest
-    home rows (ties by id)."""
-    import numpy as np
-    import pandas as pd
-
-    def fn(pdf):
-        home = pdf[pdf["_is_home"]]
-        qry = pdf[pdf["_is_query"]]
-        cols = {**{c: [] for c in part}, "id_a": [], "id_b": [], "dist": []}
-        if home.empty or qry.empty:
-            return pd.DataFrame(cols)
-        H = np.stack(home["_v"].to_numpy()).astype(float)
-        hid = home["_id"].to_numpy()
-        out = []
-        Qall = np.stack(qry["_v"].to_numpy()).astype(float)
-        qid_all = qry["_id"].to_numpy()
-        kk = min(k, len(H))
-        for s0 in range(0, len(Qall), CHUNK):
-            Q = Qall[s0:s0 + CHUNK]
-            d = np.sqrt(((Q[:, None, :] - H[None, :, :]) ** 2).sum(-1)) if len(H) * len(Q) <= 4_000_000 else \
-                np.sqrt(np.maximum((Q * Q).sum(1)[:, None] + (H * H).sum(1)[None, :] - 2.0 * (Q @ H.T), 0.0))
-            order = np.lexsort((np.broadcast_to(hid, d.shape), d), axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(Q)), kk)
-            idx = order.reshape(-1)
-            frame = pd.DataFrame({"id_a": qid_all[s0:s0 + CHUNK][rows], "id_b": hid[idx],
-                                  "dist": d[rows, idx]})
-            for c in part:
-                frame[c] = pdf[c].iloc[0]
-            out.append(frame)
-        return pd.concat(out, ignore_index=True)[[*part, "id_a", "id_b", "dist"]]
-    return fn
+    probes = a.select("_id", "_v", F.explode("_cells").alias("cell"))
+    return tile_pairs(_homes(a, []), probes, [], cell_target).groupBy("cell", "ht", "qt").applyInPandas(_pairs_within(float(eps)), schema)
 
 
 def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False,
@@ -189,31 +236,33 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False
     (e.g. the class, for SMOTE): the cell key becomes (partition, cell)."""
     part = list(partition_cols or [])
     base = df.select(*[F.col(c) for c in part], F.col(id_col).cast("long").alias("_id"),
-                     to_array(df, vec).alias("_v"))
+                     to_array(df, vec).alias("_v")).filter("_v IS NOT NULL")
     kk = k + (0 if include_self else 1)
-    if pivots is None:
-        pivots = choose_pivots(base, "_v", base.count(), cell_target, seed)
-    a = assign_cells(base, "_v", pivots, None)
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields if f.name in part]
                        + ["id_a long", "id_b long", "dist double"])
+    if pivots is None:
+        n_rows = base.count()
+        if n_rows == 0:
+            empty = df.sparkSession.createDataFrame([], schema + ", rank int")
+            return empty.select(*part, F.col("id_a").alias("id"), F.col("id_b").alias("nbr_id"), "dist", "rank")
+        pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
+    a = assign_cells(base, "_v", pivots, None)
+    group = [*part, "cell", "ht", "qt"]
+    nearest = Window.partitionBy(*part, "id_a").orderBy("dist", "id_b")  # per row: its bounded candidate list
     # step 1: the kk nearest inside the home cell bound the search radius
-    own = _cell_frame(a, part, None).groupBy(*part, "cell").applyInPandas(_knn_within(kk, part), schema)
-    own = own.persist(StorageLevel.MEMORY_AND_DISK)
-    radius = (own.groupBy(*part, "id_a").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("found"))
-                 .select(*part, F.col("id_a").alias("_id"),
-                         F.when(F.col("found") >= kk, F.col("r")).otherwise(F.lit(float("inf"))).alias("_r")))
-    # step 2: probe the other cells whose bisector bound is within that radius
-    a2 = assign_cells(a.drop("_home").join(radius, [*part, "_id"]), "_v", pivots, F.col("_r"))
-    a2 = a2.withColumn("_cells", F.filter("_cells", lambda c: c != F.col("_home")))
-    home = a.select(*part, "_id", "_v", F.col("_home").alias("cell"), F.lit(True).alias("_is_home"),
-                    F.lit(False).alias("_is_query"))
-    probes = a2.select(*part, "_id", "_v", F.explode("_cells").alias("cell"), F.lit(False).alias("_is_home"),
-                       F.lit(True).alias("_is_query"))
-    other = home.join(probes.select(*part, "cell").distinct(), [*part, "cell"], "left_semi").unionByName(probes)
-    other = other.groupBy(*part, "cell").applyInPandas(_knn_within(kk, part), schema)
-    cand = own.unionByName(other)
-    if not include_self:
-        cand = cand.filter(F.col("id_a") != F.col("id_b"))
-    w = Window.partitionBy(*part, "id_a").orderBy("dist", "id_b")  # per row: its bounded candidate list
-    ranked = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    own = (tile_pairs(_homes(a, part), _homes(a, part), part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
+           .withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= kk).drop("_r"))
+    if len(pivots) > 1:
+        own = cut_lineage(own)
+        radius = (own.groupBy(*part, "id_a").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("found"))
+                     .select(*part, F.col("id_a").alias("_id"),
+                             F.when(F.col("found") >= kk, F.col("r")).otherwise(F.lit(float("inf"))).alias("_r")))
+        # step 2: probe the other cells whose bisector bound is within that radius
+        a2 = assign_cells(a.join(radius, [*part, "_id"]).select(*part, "_id", "_v", "_r"), "_v", pivots, F.col("_r"))
+        probes = (a2.select(*part, "_id", "_v", "_home", F.explode("_cells").alias("cell"))
+                    .filter(F.col("cell") != F.col("_home")).drop("_home"))
+        other = tile_pairs(_homes(a, part), probes, part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
+        own = own.unionByName(other)
+    cand = own if include_self else own.filter(F.col("id_a") != F.col("id_b"))
+    ranked = cand.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
     return ranked.select(*part, F.col("id_a").alias("id"), F.col("id_b").alias("nbr_id"), "dist", "rank")

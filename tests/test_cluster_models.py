@@ -74,6 +74,40 @@ def test_neighbors_exact_with_many_cells(spark):
         assert set(kn[kn.id == i].nbr_id) == exp
 
 
+def test_tiles_bound_every_group(spark):
+    """One pivot (one hot cell), tiny tiles: same pairs and neighbours, and no group exceeds two tiles."""
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(240, 3))
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(240)], "id int, v array<double>")
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    one = X[:1]
+    got = {(r.id_a, r.id_b) for r in N.radius_pairs(df, "id", "v", 0.7, pivots=one, cell_target=16).collect()}
+    assert got == {(i, j) for i, j in zip(*np.nonzero(D <= 0.7))}
+    kn = N.knn(df, "id", "v", 3, pivots=one, cell_target=16).toPandas().sort_values(["id", "rank"])
+    want = np.argsort(D + np.eye(240) * 1e9, axis=1, kind="stable")[:, :3]
+    assert (kn.nbr_id.to_numpy().reshape(240, 3) == want).all()
+    homes = df.select(F.col("id").cast("long").alias("_id"), F.col("v").alias("_v"), F.lit(0).alias("cell"))
+    sizes = [r["count"] for r in N.tile_pairs(homes, homes, [], 16).groupBy("cell", "ht", "qt").count().collect()]
+    assert len(sizes) == 15 * 15 and max(sizes) <= 4 * 16
+
+
+def test_neighbors_far_from_the_origin(spark):
+    """Distances come from differences, so a shift of 1e7 changes no neighbour."""
+    rng = np.random.default_rng(6)
+    X = np.round(rng.normal(size=(150, 4)) * 64) / 64 + 2.0 ** 23
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(150)], "id int, v array<double>")
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    kn = N.knn(df, "id", "v", 3, cell_target=40).toPandas().sort_values(["id", "rank"])
+    want = np.array([np.lexsort((np.arange(150), D[i] + np.eye(150)[i] * 1e9))[:3] for i in range(150)])
+    assert (kn.nbr_id.to_numpy().reshape(150, 3) == want).all()
+    assert N.radius_pairs(df, "id", "v", 0.5, cell_target=40).count() == int((D <= 0.5).sum())
+
+
+def test_neighbors_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id int, v array<double>")
+    assert N.radius_pairs(df, "id", "v", 1.0).count() == 0 and N.knn(df, "id", "v", 2).count() == 0
+
+
 def test_kmeans_invariants_and_pca(spark):
     rng = np.random.default_rng(4)
     X = np.vstack([rng.normal(0, 0.1, (30, 2)), rng.normal(5, 0.1, (30, 2))])

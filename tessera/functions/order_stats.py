@@ -261,17 +261,18 @@ def grouped_quantiles(df: DataFrame, by: str, cols: list, probs: list, max_group
 # ---------------------------------------------------------------- running sums
 
 def _n_buckets(n: int) -> int:
-    return max(1, min(100_000, math.ceil(n / TARGET_ROWS_PER_TASK)))
+    return max(1, math.ceil(n / TARGET_ROWS_PER_TASK))
 
 
 def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | None = None,
                    descending: bool = False, key_range: tuple | None = None,
-                   n_rows: int | None = None, with_totals: bool = False) -> DataFrame:
+                   n_rows: int | None = None, with_totals: bool = False, tie: str | None = None) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` of ``value_cols`` along ``order_col``
     within ``by`` groups, plus ``row_in_group`` (1-based row number).
 
-    Rows sharing an order value get an arbitrary but deterministic relative
-    order; callers that need ties folded pre-aggregate by the order value.
+    Rows sharing an order value follow the ``tie`` column (a unique id makes
+    the order the same in every run); without one their relative order is
+    arbitrary, and callers pre-aggregate by the order value.
     ``key_range=(lo, hi)`` declares a uniformly spread key (e.g. a hash) so
     buckets are computed without a sketch.
     """
@@ -289,7 +290,7 @@ def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | N
     else:
         from pyspark.ml.feature import Bucketizer
         cuts = df.agg(F.percentile_approx(o.cast("double"), [i / nb for i in range(1, nb)],
-                                          DEFAULT_ACCURACY)).collect()[0][0]
+                                          max(DEFAULT_ACCURACY, 10 * nb))).collect()[0][0]
         # any monotone bucketing keeps the running sums exact; Bucketizer does a
         # binary search per row in the JVM (NaN keys: an extra last bucket)
         splits = [float("-inf")] + sorted(set(float(c) for c in cuts)) + [float("inf")]
@@ -307,15 +308,15 @@ def ordered_cumsum(df: DataFrame, order_col: str, value_cols: list, by: list | N
     wt = Window.partitionBy(*by).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "_bk", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}")
                                          for v in vals])
-    # offsets has (#groups x #buckets) rows: broadcast is bounded by n / TARGET_ROWS_PER_TASK
-    d = d.join(F.broadcast(offsets), on=[*by, "_bk"], how="inner")
-    if with_totals:  # group totals ``tot_<v>``: one row per group, broadcast on the group key
+    # offsets has (#groups x #buckets) rows; Spark broadcasts it only if its measured size allows
+    d = d.join(offsets, on=[*by, "_bk"], how="inner")
+    if with_totals:  # group totals ``tot_<v>``: one row per group
         gkey = by or ["_g"]
         gt = totals.withColumn("_g", F.lit(0)).groupBy(*gkey).agg(
             *[F.sum(f"_t_{v}").alias(f"tot_{v}") for v in value_cols])
-        d = d.withColumn("_g", F.lit(0)).join(F.broadcast(gt), on=gkey, how="inner").drop("_g")
+        d = d.withColumn("_g", F.lit(0)).join(gt, on=gkey, how="inner").drop("_g")
     ordcol = o.desc() if descending else o.asc()
-    wi = Window.partitionBy(*by, "_bk").orderBy(ordcol).rowsBetween(Window.unboundedPreceding, 0)
+    wi = Window.partitionBy(*by, "_bk").orderBy(ordcol, *([F.col(tie)] if tie else [])).rowsBetween(Window.unboundedPreceding, 0)
     out = d
     for v in value_cols:
         out = out.withColumn(f"cum_{v}", F.sum(v).over(wi) + F.col(f"_o_{v}"))

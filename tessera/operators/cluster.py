@@ -48,10 +48,17 @@ def cluster_stats(df: DataFrame, features: str, cluster: str = "cluster", exclud
 # ------------------------------------------------------------------ M9
 def silhouette_sq(df: DataFrame, features: str, cluster: str = "cluster", stats: list | None = None) -> float | None:
     """Mean silhouette with squared Euclidean distance (noise excluded).
-    Singletons score 0; a(i) averages over the other members of i's cluster."""
+    Singletons score 0; a(i) averages over the other members of i's cluster.
+
+    The sums are taken around the overall mean, so data far from the origin
+    lose no digits.  ``stats`` (raw sums) only supply that mean."""
     stats = stats or cluster_stats(df, features, cluster)
     if len(stats) < 2:
         return None
+    mean = F.lit((sum(s[2] for s in stats) / sum(s[1] for s in stats)).tolist())
+    df = df.select(cluster, F.zip_with(to_array(df, features), mean, lambda x, m: x - m).alias("_c"))
+    features = "_c"
+    stats = cluster_stats(df, features, cluster)
     labels = [s[0] for s in stats]
     ns = F.lit([float(s[1]) for s in stats])
     S = F.lit([s[2].tolist() for s in stats])
@@ -371,11 +378,11 @@ def fit_hac(df: DataFrame, id_col: str, features: str, k: int = 3, max_micro: in
 def profile_clusters(df: DataFrame, cluster: str = "cluster", target: str | None = "target",
                      mean_cols: list | None = None, rate_col: str | None = None, mode_col: str | None = None,
                      digits: int = 3) -> DataFrame:
-    """count, target rate (null without target), means, a rate and the mode
-    (smallest on tie) per cluster, rounded."""
+    """count, target rate (the row count without target), means, a rate and the
+    mode (smallest on tie) per cluster, rounded."""
     mean_cols = list(mean_cols or [])
     aggs = [F.count(F.lit(1)).alias("count"),
-            (F.avg(F.col(target).cast("double")) if target and target in df.columns else F.lit(None).cast("double"))
+            (F.avg(F.col(target).cast("double")) if target and target in df.columns else F.count(F.lit(1)).cast("double"))
             .alias("target_rate")]
     aggs += [F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in mean_cols]
     if rate_col:

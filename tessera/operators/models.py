@@ -347,7 +347,7 @@ def tune(data: DataFrame, name: str, folds: str = "fold", k: int = 5, grid: dict
             mss = kw.pop("min_samples_split")
             kw["max_depth"] = 30 if md is None else md
             kw["min_instances"] = max(1, mss // 2)
-            return lambda d: fit_random_forest(d, balanced=False, **kw)
+            return lambda d: fit_random_forest(d, **kw)
         return lambda d: fit_boosted_trees(d, **kw)
 
     rows = []

@@ -31,13 +31,12 @@ def hash_key(id_col: str, seed: int = 42) -> Column:
 def rank_by_hash(df: DataFrame, id_col: str, by: list | None = None, seed: int = 42, out: str = "rank") -> DataFrame:
     """Exact 1-based rank of each row by its hash key within ``by`` groups."""
     d = df.withColumn("_hk", hash_key(id_col, seed))
-    r = ordered_cumsum(d, "_hk", [], by=by, key_range=HASH_RANGE)
+    r = ordered_cumsum(d, "_hk", [], by=by, key_range=HASH_RANGE, tie=id_col)  # equal hash prefixes: by id
     return r.withColumnRenamed("row_in_group", out).drop("_hk")
 
 
 def _class_counts(df: DataFrame, by: str) -> DataFrame:
-    # one row per class: a bounded broadcast
-    return F.broadcast(df.groupBy(by).agg(F.count(F.lit(1)).alias("_n_class")))
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("_n_class"))
 
 
 # F8
@@ -76,7 +75,7 @@ def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFram
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_class"))
     tot = counts.agg(F.sum("_n_class").alias("n"), F.count(F.lit(1)).alias("k")).collect()[0]
     w = counts.select(label, (F.lit(float(tot["n"])) / (F.lit(float(tot["k"])) * F.col("_n_class"))).alias(out))
-    return df.join(F.broadcast(w), label)
+    return df.join(w, label)
 
 
 # F13

@@ -136,13 +136,13 @@ def q_k5(spark, sf):
 @query("k2_kmeans_embeddings")
 def q_k2(spark, sf):
     e = emb(spark, sf)
-    m = K.fit_kmeans(e, "embedding", k=10, n_init=3)
+    m = K.fit_kmeans(e, "embedding", k=10, n_init=10)
     return K.kmeans_labels(m, e, "embedding", ["vec_id"])
 
 
 @query("k0_k_selection_embeddings")
 def q_k0(spark, sf):
-    return K.k_selection(emb(spark, sf), "vec_id", "embedding", k_range=(2, 3, 4, 5, 6, 7), n_init=2)
+    return K.k_selection(emb(spark, sf), "vec_id", "embedding", k_range=(2, 3, 4, 5, 6, 7), n_init=10)
 
 
 @query("k3_hac_ward_embeddings")
@@ -166,7 +166,7 @@ def q_k6(spark, sf):
 @query("k10_evaluate_kmeans_embeddings")
 def q_k10(spark, sf):
     e = emb(spark, sf)
-    m = K.fit_kmeans(e, "embedding", k=10, n_init=2)
+    m = K.fit_kmeans(e, "embedding", k=10, n_init=10)
     lab = K.kmeans_labels(m, e, "embedding", ["vec_id", "embedding"])
     return K.clustering_summary(lab, "embedding", "cluster", "KMeans")
 
@@ -185,7 +185,7 @@ def q_t7b(spark, sf):
 def q_t3(spark, sf):
     from tessera.plans.report import summarize_clustering
     e = emb(spark, sf)
-    km = K.kmeans_labels(K.fit_kmeans(e, "embedding", k=10, n_init=2), e, "embedding", ["vec_id", "embedding"])
+    km = K.kmeans_labels(K.fit_kmeans(e, "embedding", k=10, n_init=10), e, "embedding", ["vec_id", "embedding"])
     hac, _, _ = K.fit_hac(e, "vec_id", "embedding", k=10)
     db = K.dbscan(e, "vec_id", "embedding", DB_EPS, DB_MIN)
     return summarize_clustering([K.clustering_summary(km, "embedding", "cluster", "KMeans"),
@@ -193,21 +193,43 @@ def q_t3(spark, sf):
                                  K.clustering_summary(e.join(db, "vec_id"), "embedding", "cluster", "DBSCAN")])
 
 
-@query("k1_radius_pairs_embeddings", f"""
+RADIUS_SQL = f"""
 WITH p AS {EMB}
 SELECT a.id AS id_a, b.id AS id_b, round(list_distance(a.v, b.v), 6) AS dist
-FROM p a JOIN p b ON list_distance(a.v, b.v) <= 1.15""")
-def q_k1(spark, sf):
-    from tessera.operators.neighbors import radius_pairs
-    return r6(radius_pairs(emb(spark, sf), "vec_id", "embedding", 1.15))
-
+FROM p a JOIN p b ON list_distance(a.v, b.v) <= 1.15"""
 
-@query("k1_knn_embeddings", f"""
+KNN_SQL = f"""
 WITH p AS {EMB},
 d AS (SELECT a.id AS id, b.id AS nbr_id, list_distance(a.v, b.v) AS dist FROM p a JOIN p b ON a.id <> b.id),
 r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, nbr_id) AS rank FROM d)
-SELECT id, nbr_id, round(dist, 6) AS dist, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
-def q_k1b(spark, sf):
+SELECT id, nbr_id, round(dist, 6) AS dist, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5"""
+
+
+def _radius(spark, sf, **kw):
+    from tessera.operators.neighbors import radius_pairs
+    return r6(radius_pairs(emb(spark, sf), "vec_id", "embedding", 1.15, **kw))
+
+
+def _knn(spark, sf, **kw):
     from tessera.operators.neighbors import knn
-    out = knn(emb(spark, sf), "vec_id", "embedding", 5)
-    return r6(out.withColumn("rank", F.col("rank").cast("int")))
+    return r6(knn(emb(spark, sf), "vec_id", "embedding", 5, **kw).withColumn("rank", F.col("rank").cast("int")))
+
+
+@query("k1_radius_pairs_embeddings", RADIUS_SQL)
+def q_k1(spark, sf):
+    return _radius(spark, sf)
+
+
+@query("k1_knn_embeddings", KNN_SQL)
+def q_k1b(spark, sf):
+    return _knn(spark, sf)
+
+
+@query("k1_radius_pairs_many_cells_embeddings", RADIUS_SQL)
+def q_k1_cells(spark, sf):
+    return _radius(spark, sf, cell_target=64)
+
+
+@query("k1_knn_many_cells_embeddings", KNN_SQL)
+def q_k1b_cells(spark, sf):
+    return _knn(spark, sf, cell_target=64)

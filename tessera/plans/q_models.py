@@ -55,7 +55,7 @@ def q_l1(spark, sf):
 @query("l2_rbf_svm_documents")
 def q_l2(spark, sf):
     tr, te = doc_split(spark, sf)
-    return _pred(L.fit_rbf_svm(tr, n_components=100), te)
+    return _pred(L.fit_rbf_svm(tr), te)
 
 
 @query("l3_random_forest_documents")
@@ -89,7 +89,7 @@ def q_l5(spark, sf):
     tr, _ = doc_split(spark, sf)
     folds = S.stratified_folds(tr, "id", "label", 5)
     models = {"Logistic Regression": lambda d: L.fit_logistic(d),
-              "Random Forest": lambda d: L.fit_random_forest(d, n_trees=50)}
+              "Random Forest": lambda d: L.fit_random_forest(d, n_trees=200)}
     return r6(L.cross_validate(folds, models, k=5, use_smote=True, id_col="id"))
 
 
@@ -97,7 +97,7 @@ def q_l5(spark, sf):
 def q_l7(spark, sf):
     tr, te = doc_split(spark, sf)
     reg = L.ModelRegistry()
-    m = reg.train_final(tr, "Random Forest", use_smote=True, id_col="id", n_trees=100)
+    m = reg.train_final(tr, "Random Forest", use_smote=True, id_col="id", n_trees=200)
     return r6(L.evaluate(m, te, "Random Forest"))
 
 
@@ -123,15 +123,15 @@ def q_l13(spark, sf):
 @query("l14_feature_importance_documents")
 def q_l14(spark, sf):
     tr, _ = doc_split(spark, sf)
-    return r6(L.feature_importance(L.fit_random_forest(tr, n_trees=100), DOC_FEATS))
+    return r6(L.feature_importance(L.fit_random_forest(tr, n_trees=200), DOC_FEATS))
 
 
 @query("l15_classification_comparison_documents")
 def q_l15(spark, sf):
     from tessera.plans.report import summarize_classification
     tr, te = doc_split(spark, sf)
-    res = [L.evaluate(L.fit_logistic(tr), te), L.evaluate(L.fit_random_forest(tr, n_trees=100), te),
-           L.evaluate(L.fit_boosted_trees(tr, n_rounds=20), te), L.evaluate(L.fit_rbf_svm(tr, n_components=100), te)]
+    res = [L.evaluate(L.fit_logistic(tr), te), L.evaluate(L.fit_random_forest(tr, n_trees=200), te),
+           L.evaluate(L.fit_boosted_trees(tr, n_rounds=20), te), L.evaluate(L.fit_rbf_svm(tr), te)]
     return summarize_classification(res)
 
 

@@ -72,7 +72,7 @@ def cut_lineage(df):
     return out
 
 
-ROWS_PER_PARTITION = 1_000_000
+ROWS_PER_PARTITION = 50_000
 
 
 def right_size(df, n_rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION):
@@ -80,8 +80,7 @@ def right_size(df, n_rows: int | None = None, rows_per_partition: int = ROWS_PER
     (never raises the count): tiny training sets stop paying per-task
     overhead, large ones keep their parallelism."""
     n = df.count() if n_rows is None else n_rows
-    want = max(1, -(-n // rows_per_partition))
-    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+    return df.coalesce(max(1, -(-n // rows_per_partition)))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str):

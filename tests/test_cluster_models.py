@@ -31,6 +31,19 @@ def test_h17_validity(spark):
     assert approx(K.silhouette_sq(df, "x", "c"), float(np.mean(s)))
 
 
+def test_silhouette_far_from_the_origin(spark):
+    near = spark.createDataFrame(H17, "id int, x array<double>, c int")
+    far = near.withColumn("x", F.transform("x", lambda v: v + 1e8))
+    assert approx(K.silhouette_sq(far, "x", "c"), K.silhouette_sq(near, "x", "c"), 1e-12)
+
+
+def test_equal_hash_keys_follow_the_id(spark):
+    from tessera.functions.order_stats import ordered_cumsum
+    df = spark.createDataFrame([(i, 7) for i in (5, 3, 9, 1)], "id int, k int").repartition(4)
+    got = {r["id"]: r["row_in_group"] for r in ordered_cumsum(df, "k", [], tie="id").collect()}
+    assert got == {1: 1, 3: 2, 5: 3, 9: 4}
+
+
 def test_h18_all_noise_error_row(spark):
     df = spark.createDataFrame([(i, x, -1) for i, x, _ in H17], "id int, x array<double>, c int")
     r = K.clustering_summary(df, "x", "c", "DBSCAN").first()

@@ -5,6 +5,7 @@
                   row ids for every later recomputation.
 ``gapless_rank``  0..n-1 inside each key without a task per key.
 ``running_sum``   exclusive running sum inside each key, same construction.
+``sole_cache``    a Python worker's cache that outlives tasks; it holds one at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +23,24 @@ MIN_BUCKETS = 256
 
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}   # whole texts go to Python in batches of this many rows
+
+_CACHE: dict[str, object] = {}
+
+
+def sole_cache(name: str, make):
+    """The cache ``name`` of this Python worker, made at first use; caches of other operators are dropped.
+
+    Workers serve one operator after another, so caches kept side by side would add up."""
+    if name not in _CACHE:
+        release_caches()
+        _CACHE[name] = make()
+    return _CACHE[name]
+
+
+def release_caches() -> None:
+    """Drop the caches that earlier tasks left in this worker."""
+    _CACHE.clear()
 
 
 @contextmanager
@@ -44,7 +63,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     when it ends instead of at some later collection of the driver's heap."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    with session_settings(spark, {SHUFFLE_CLEANUP: "true"}):
+    with session_settings(spark, {SHUFFLE_CLEANUP: "true", **ARROW_ROWS}):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import gapless_rank, staged, with_row_id
+from .common import gapless_rank, sole_cache, staged, with_row_id
 
 END_ID = 1
 WORD_CACHE = 400_000
@@ -106,14 +106,9 @@ class WordTokenizer:
         return out
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def worker_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer and word cache per Python worker, kept between tasks."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    return sole_cache(f"tokenizer {path}", lambda: WordTokenizer(path))
 
 
 PIECES = T.StructType([

@@ -6,13 +6,13 @@ import re
 
 import numpy as np
 
+from .common import sole_cache
+
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 SIZE = 5
 CACHE = 500_000
 MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
-_WORD_HASH: dict[bytes, int] = {}
-
 
 def word_hashes(text: str | None) -> np.ndarray:
     """uint64 hash of every word (A-Z lower-cased, split at ASCII white space)."""
@@ -20,7 +20,7 @@ def word_hashes(text: str | None) -> np.ndarray:
     if not text:
         return np.empty(0, "u8")
     words = WORDS.findall(text.encode("utf-8", "surrogatepass").lower())
-    known = _WORD_HASH
+    known = sole_cache("word hashes", dict)
     if len(known) > CACHE:
         known.clear()
     try:

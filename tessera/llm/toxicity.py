@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, staged
+from .common import ARROW_ROWS, held_out, release_caches, session_settings, staged
 
 MAX_ROWS = 20_000       # labelled rows learned from at most (bounded training sample)
 TOP_WORDS = 5           # strongest distinct words that count
@@ -61,6 +61,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def count(batches):
         import pyarrow as pa
+        release_caches()
         total = np.zeros(27 ** 3, "i8")
         for rb in batches:
             for t in rb.column(0).to_pylist():
@@ -71,8 +72,9 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["g", "n"])
     counts = docs.select(F.col(text).cast("string")).mapInArrow(count, "g int, n long").groupBy("g").agg(F.sum("n").alias("n"))
     out = np.zeros(27 ** 3)
-    for r in counts.collect():     # at most 27 ** 3 rows
-        out[r["g"]] = r["n"]
+    with session_settings(docs.sparkSession, ARROW_ROWS):
+        for r in counts.collect():     # at most 27 ** 3 rows
+            out[r["g"]] = r["n"]
     return out.reshape(27, 27, 27)
 
 
@@ -135,7 +137,7 @@ class Reader:
 
     def __init__(self, model: np.ndarray):
         self.model = model
-        self.cache: dict[str, str] = {}
+        self.cache: dict[str, tuple[str, ...]] = {}
 
     def read(self, w: str) -> tuple[str, ...]:
         """Readings of a word: its core without outer signs and, where signs at its
@@ -195,6 +197,7 @@ def evidence_table(docs: DataFrame, labels: DataFrame, reader_model: np.ndarray,
     rate = pos / (pos + neg)
 
     def count(batches):
+        release_caches()
         reader = Reader(model.value)
         for pdf in batches:
             seen: dict[str, np.ndarray] = {}
@@ -249,14 +252,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
 def scored(docs: DataFrame, labels: DataFrame, columns=("doc_id",)) -> DataFrame:
     """``columns`` of docs and ``score`` in [0, 1]."""
     shared = fit(docs, labels)
-    src = docs.select(*columns, F.col("text").cast("string").alias("_text"))
+    # the text crosses to Python once: as its column where that is kept as a string
+    own = "text" in columns and docs.schema["text"].dataType.simpleString() == "string"
+    src = docs.select(*columns) if own else docs.select(*columns, F.col("text").cast("string").alias("_text"))
+    source = "text" if own else "_text"
     kept = [f.name for f in src.schema.fields if f.name != "_text"]
 
     def run(batches):
         import pyarrow as pa
+        release_caches()
         scorer = Scorer(*shared.value)
         for rb in batches:
-            s = [scorer.score(t) for t in rb.column("_text").to_pylist()]
+            s = [scorer.score(t) for t in rb.column(source).to_pylist()]
             yield pa.RecordBatch.from_arrays([rb.column(c) for c in kept] + [pa.array(s, pa.float64())], names=kept + ["_score"])
     from pyspark.sql import types as T
     schema = T.StructType([f for f in src.schema.fields if f.name != "_text"] + [T.StructField("_score", T.DoubleType())])

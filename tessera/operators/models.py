@@ -272,12 +272,14 @@ def evaluate(model: FittedModel, test: DataFrame, name: str | None = None) -> Da
     return M.classification_summary(pred, "label", "prediction", "probability", name or model.name)
 
 
-def _fold_scores(name, fit, data, folds, fold, use_smote, id_col, multi):
+def _training_rows(data, folds, fold, use_smote, id_col):
     train = data.filter(F.col(folds) != fold).drop(folds)
+    # the SMOTE plan is deep: checkpoint so each training pass plans a scan
+    return cut_lineage(right_size(smote(train, id_col))) if use_smote else train
+
+
+def _fold_scores(fit, train, data, folds, fold, multi):
     test = data.filter(F.col(folds) == fold).drop(folds)
-    if use_smote:
-        # the SMOTE plan is deep: checkpoint so each training pass plans a scan
-        train = cut_lineage(right_size(smote(train, id_col)))
     model = fit(train)
     pred = model.transform(test).select("label", "prediction", "probability")
     pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
@@ -300,9 +302,11 @@ def cross_validate(data: DataFrame, models: dict, folds: str = "fold", k: int =
     multi = data.select("label").distinct().count() > 2
     data = cut_lineage(right_size(data))
     rows = []
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:     # one training table per fold, shared by the models
+        trains = list(ex.map(lambda f: _training_rows(data, folds, f, use_smote, id_col), range(k)))
     for name, fit in models.items():
         with ThreadPoolExecutor(max_workers=parallelism) as ex:
-            res = list(ex.map(lambda f: _fold_scores(name, fit, data, folds, f, use_smote, id_col, multi), range(k)))
+            res = list(ex.map(lambda f: _fold_scores(fit, trains[f], data, folds, f, multi), range(k)))
         f1s = np.array([r[0] for r in res], dtype=float)
         rows.append((name, float(f1s.mean()), float(f1s.std()), float(np.mean([r[1] for r in res])),
                      float(np.mean([r[2] for r in res]))))
@@ -354,7 +358,7 @@ def tune(data: DataFrame, name: str, folds: str = "fold", k: int = 5, grid: dict
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
         for p in points:
             fit = fit_point(p)
-            res = list(ex.map(lambda f: _fold_scores(name, fit, data, folds, f, False, None, multi), range(k)))
+            res = list(ex.map(lambda f: _fold_scores(fit, _training_rows(data, folds, f, False, None), data, folds, f, multi), range(k)))
             rows.append((str(p), float(np.mean([r[2] for r in res]))))
     best = max(range(len(points)), key=lambda i: rows[i][1])
     model = fit_point(points[best])(data.drop(folds))

@@ -208,14 +208,22 @@ def tile_pairs(home: DataFrame, probes: DataFrame, part: list, tile_rows: int) -
             .unionByName(spread(probes, "qt", "_tq", "ht", "_th", False)))
 
 
+def _points(df: DataFrame, part: list, id_col: str, vec: str) -> DataFrame:
+    return df.select(*[F.col(c) for c in part], F.col(id_col).cast("long").alias("_id"),
+                     to_array(df, vec).alias("_v")).filter("_v IS NOT NULL")
+
+
 def _homes(a: DataFrame, part: list) -> DataFrame:
     return a.select(*part, "_id", "_v", F.col("_home").alias("cell"))
 
 
 def radius_pairs(df: DataFrame, id_col: str, vec: str, eps: float, pivots: np.ndarray | None = None,
-                 n_rows: int | None = None, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42) -> DataFrame:
-    """All ordered pairs (id_a, id_b, dist) with dist <= eps, self pairs included."""
-    base = df.select(F.col(id_col).cast("long").alias("_id"), to_array(df, vec).alias("_v")).filter("_v IS NOT NULL")
+                 n_rows: int | None = None, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42,
+                 queries: DataFrame | None = None) -> DataFrame:
+    """All ordered pairs (id_a, id_b, dist) with dist <= eps, self pairs included.
+
+    With ``queries`` (same columns) id_a runs over its rows instead of those of ``df``."""
+    base = _points(df, [], id_col, vec)
     schema = "id_a long, id_b long, dist double"
     if pivots is None:
         n_rows = n_rows if n_rows is not None else base.count()
@@ -223,20 +231,23 @@ def radius_pairs(df: DataFrame, id_col: str, vec: str, eps: float, pivots: np.nd
             return df.sparkSession.createDataFrame([], schema)
         pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
     a = assign_cells(base, "_v", pivots, eps)
-    probes = a.select("_id", "_v", F.explode("_cells").alias("cell"))
+    asked = a if queries is None else assign_cells(_points(queries, [], id_col, vec), "_v", pivots, eps)
+    probes = asked.select("_id", "_v", F.explode("_cells").alias("cell"))
     return tile_pairs(_homes(a, []), probes, [], cell_target).groupBy("cell", "ht", "qt").applyInPandas(_pairs_within(float(eps)), schema)
 
 
 def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False,
         pivots: np.ndarray | None = None, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42,
-        partition_cols: list | None = None) -> DataFrame:
+        partition_cols: list | None = None, queries: DataFrame | None = None) -> DataFrame:
     """Exact k nearest neighbours (id, nbr_id, dist, rank); ties by neighbour id.
 
+    With ``queries`` (same columns) the neighbours in ``df`` of its rows, equal ids included.
+
     ``partition_cols`` restricts neighbours to rows with equal values there
     (e.g. the class, for SMOTE): the cell key becomes (partition, cell)."""
     part = list(partition_cols or [])
-    base = df.select(*[F.col(c) for c in part], F.col(id_col).cast("long").alias("_id"),
-                     to_array(df, vec).alias("_v")).filter("_v IS NOT NULL")
+    base = _points(df, part, id_col, vec)
+    include_self = include_self or queries is not None
     kk = k + (0 if include_self else 1)
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields if f.name in part]
                        + ["id_a long", "id_b long", "dist double"])
@@ -247,10 +258,11 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False
             return empty.select(*part, F.col("id_a").alias("id"), F.col("id_b").alias("nbr_id"), "dist", "rank")
         pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
     a = assign_cells(base, "_v", pivots, None)
+    asked = a if queries is None else assign_cells(_points(queries, part, id_col, vec), "_v", pivots, None)
     group = [*part, "cell", "ht", "qt"]
     nearest = Window.partitionBy(*part, "id_a").orderBy("dist", "id_b")  # per row: its bounded candidate list
     # step 1: the kk nearest inside the home cell bound the search radius
-    own = (tile_pairs(_homes(a, part), _homes(a, part), part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
+    own = (tile_pairs(_homes(a, part), _homes(asked, part), part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
            .withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= kk).drop("_r"))
     if len(pivots) > 1:
         own = cut_lineage(own)
@@ -258,7 +270,9 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False
                      .select(*part, F.col("id_a").alias("_id"),
                              F.when(F.col("found") >= kk, F.col("r")).otherwise(F.lit(float("inf"))).alias("_r")))
         # step 2: probe the other cells whose bisector bound is within that radius
-        a2 = assign_cells(a.join(radius, [*part, "_id"]).select(*part, "_id", "_v", "_r"), "_v", pivots, F.col("_r"))
+        # (a query whose own cell holds no home row has no bound and probes every cell)
+        bound = F.coalesce("_r", F.lit(float("inf"))).alias("_r")
+        a2 = assign_cells(asked.join(radius, [*part, "_id"], "left").select(*part, "_id", "_v", bound), "_v", pivots, F.col("_r"))
         probes = (a2.select(*part, "_id", "_v", "_home", F.explode("_cells").alias("cell"))
                     .filter(F.col("cell") != F.col("_home")).drop("_home"))
         other = tile_pairs(_homes(a, part), probes, part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)

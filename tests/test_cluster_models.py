@@ -230,3 +230,35 @@ def test_label_spreading_recovers_two_blobs(spark):
     for method in ("spreading", "propagation"):
         out = {r["id"]: r["prediction"] for r in P.label_graph_fit(df, "id", method=method, gamma=20.0).collect()}
         assert all(out[i] == (0.0 if i < 20 else 1.0) for i in range(40))
+
+
+def test_label_graph_reaches_every_row_and_new_rows(spark):
+    # row 4 has no neighbour within the graph's radius (1.18 at gamma 20): its nearest labelled row is 2
+    rows = [(0, [0.0, 0.0], 0), (1, [0.1, 0.0], -1), (2, [3.0, 0.0], 1), (3, [3.1, 0.0], -1), (4, [9.0, 0.0], -1)]
+    df = spark.createDataFrame(rows, "id int, features array<double>, partial_label int")
+    new = spark.createDataFrame([(10, [0.05, 0.0]), (11, [3.05, 0.0]), (12, [50.0, 0.0])], "id int, features array<double>")
+    for method in ("spreading", "propagation"):
+        fit = P.label_graph_fit(df, "id", method=method, gamma=20.0, cell_target=2)
+        assert {r["id"]: r["prediction"] for r in fit.collect()} == {0: 0.0, 1: 0.0, 2: 1.0, 3: 1.0, 4: 1.0}
+        got = P.label_graph_predict(fit, df, new, [0, 1], gamma=20.0, cell_target=2)
+        assert {r["id"]: r["prediction"] for r in got.collect()} == {10: 0.0, 11: 1.0, 12: 1.0}
+
+
+def test_neighbours_of_other_rows_match_brute_force(spark):
+    rng = np.random.default_rng(8)
+    H, Q = rng.normal(0, 1, (80, 3)), rng.normal(0, 2, (30, 3))
+    home = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(H)], "id long, v array<double>")
+    ask = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(Q)], "id long, v array<double>")
+    d = np.sqrt(((Q[:, None] - H[None]) ** 2).sum(2))
+    near = {(r["id"], r["rank"]): r["nbr_id"] for r in N.knn(home, "id", "v", 3, cell_target=10, queries=ask).collect()}
+    assert near == {(i, k + 1): int(j) for i in range(30) for k, j in enumerate(np.argsort(d[i], kind="stable")[:3])}
+    within = {(r["id_a"], r["id_b"]) for r in N.radius_pairs(home, "id", "v", 1.0, cell_target=10, queries=ask).collect()}
+    assert within == {(int(a), int(b)) for a, b in zip(*np.nonzero(d <= 1.0))}
+
+
+def test_semi_supervised_results_table(spark):
+    p = spark.createDataFrame([(1.0, 1.0, [0.1, 0.9]), (0.0, 0.0, [0.8, 0.2]), (1.0, 0.0, [0.6, 0.4]), (0.0, 0.0, [0.7, 0.3])],
+                              "label double, prediction double, probability array<double>")
+    r = P.results_table({"A": p}, spark).first()
+    assert r["Model"] == "A" and approx(r["F1"], 2 / 3) and approx(r["ROC_AUC"], 1.0) and approx(r["PR_AUC"], 1.0)
+    assert callable(P.base_learner("RF")) and callable(P.base_learner("unknown"))

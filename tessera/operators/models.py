@@ -272,6 +272,14 @@ def evaluate(model: FittedModel, test: DataFrame, name: str | None = None) -> Da
     return M.classification_summary(pred, "label", "prediction", "probability", name or model.name)
 
 
+def full_evaluation(model: FittedModel, test: DataFrame, name: str | None = None) -> dict:
+    """L7 whole: ``summary`` row, ``confusion`` matrix and per-class ``report`` of the test rows, as frames."""
+    pred = model.transform(test).select("label", "prediction", "probability")
+    return {"summary": M.classification_summary(pred, "label", "prediction", "probability", name or model.name),
+            "confusion": M.confusion_matrix(pred, "label", "prediction"),
+            "report": M.classification_report(pred, "label", "prediction")}
+
+
 def _training_rows(data, folds, fold, use_smote, id_col):
     train = data.filter(F.col(folds) != fold).drop(folds)
     # the SMOTE plan is deep: checkpoint so each training pass plans a scan

@@ -94,6 +94,50 @@ def q_m1b(spark, sf):
     return r6(M.classification_summary(li_scored(spark, sf), "y", "p", "prob", model_name="lineitem"))
 
 
+def summary_sql(digits):
+    """Both summary rows (orders binary, lineitem macro over its classes)."""
+    r = lambda x, name: f"round({x}, {digits}) AS {name}"
+    return f"""SELECT * FROM (WITH d AS {ORD_SQL},
+cm AS (SELECT count(*) AS n, sum(CASE WHEN y = 1 AND p = 1 THEN 1 ELSE 0 END) AS tp,
+              sum(CASE WHEN y = 0 AND p = 0 THEN 1 ELSE 0 END) AS tn,
+              sum(CASE WHEN p = 1 THEN 1 ELSE 0 END) AS np, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS nt FROM d),
+m AS (SELECT (tp + tn) / n AS acc, CASE WHEN np > 0 THEN tp / np ELSE 0 END AS pr,
+             CASE WHEN nt > 0 THEN tp / nt ELSE 0 END AS rc FROM cm), {BIN_RANK_SQL}
+SELECT 'orders' AS Model, {r("acc", "Accuracy")}, {r("pr", "Precision")}, {r("rc", "Recall")},
+       {r("CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END", "F1")}, {r("auc", "ROC_AUC")}, {r("ap", "PR_AUC")}
+FROM m, k)
+UNION ALL SELECT * FROM (WITH {PC_SQL}, {MULTI_RANK_SQL}
+SELECT 'lineitem', {r("sum(tp) / sum(nt)", "Accuracy")}, {r("avg(pr)", "Precision")}, {r("avg(rc)", "Recall")},
+       {r("avg(f1)", "F1")}, {r("(SELECT avg(auc) FROM k)", "ROC_AUC")}, {r("(SELECT avg(ap) FROM k)", "PR_AUC")} FROM pf)"""
+
+
+def _summaries(spark, sf):
+    return [M.classification_summary(ord_scored(spark, sf), "y", "p", "s", model_name="orders"),
+            M.classification_summary(li_scored(spark, sf), "y", "p", "prob", model_name="lineitem")]
+
+
+@query("t1_classification_table_fixed_predictions", summary_sql(4))
+def q_t1(spark, sf):
+    from tessera.plans.report import summarize_classification
+    return summarize_classification(_summaries(spark, sf))
+
+
+@query("l15_best_model_fixed_predictions", f"SELECT * FROM ({summary_sql(4)}) ORDER BY PR_AUC DESC, Model LIMIT 1")
+def q_l15b(spark, sf):
+    from tessera.operators.models import best_model
+    from tessera.plans.report import summarize_classification
+    return best_model(summarize_classification(_summaries(spark, sf)))
+
+
+@query("p8_results_table_fixed_predictions", f"SELECT Model, F1, ROC_AUC, PR_AUC FROM ({summary_sql(6)})")
+def q_p8(spark, sf):
+    from tessera.operators.semi import results_table
+    label, pred = F.col("y").cast("double").alias("label"), F.col("p").cast("double").alias("prediction")
+    tables = {"orders": ord_scored(spark, sf).select(label, pred, F.array(-F.col("s"), F.col("s")).alias("probability")),
+              "lineitem": li_scored(spark, sf).select(label, pred, F.col("prob").alias("probability"))}
+    return r6(results_table(tables, spark))
+
+
 @query("m2_roc_auc_ties_orders", f"WITH {BIN_RANK_SQL} SELECT round(auc, 6) AS roc_auc FROM k")
 def q_m2(spark, sf):
     return r6(M.roc_auc_table(ord_scored(spark, sf), "y", "s"))

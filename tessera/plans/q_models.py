@@ -120,6 +120,29 @@ def q_l13(spark, sf):
     return summarize_regression(L.regression_comparison(tr.drop("cls"), te.drop("cls"), gbt_rounds=20))
 
 
+LINE_SQL = """SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS sxy, var_pop(x) * count(*) AS sxx
+FROM (SELECT l_quantity / 50.0::DOUBLE AS x, l_extendedprice / 100000.0::DOUBLE AS y FROM lineitem)"""
+
+
+def _line(spark, sf, fit):
+    """Coefficient and intercept of price on quantity."""
+    li = load(spark, sf, "lineitem").select((F.col("l_quantity") / 50.0).alias("x"), (F.col("l_extendedprice") / 100000.0).alias("label"))
+    m = fit(VectorAssembler(inputCols=["x"], outputCol="features").transform(li)).spark_model
+    return r6(spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept))], "slope double, intercept double"))
+
+
+@query("l10_linear_regression_lineitem", f"""
+SELECT round(sxy / sxx, 6) AS slope, round(my - sxy / sxx * mx, 6) AS intercept FROM ({LINE_SQL})""")
+def q_l10(spark, sf):
+    return _line(spark, sf, L.fit_linear)
+
+
+@query("l11_ridge_regression_lineitem", f"""
+SELECT round(sxy / (sxx + 500.0), 6) AS slope, round(my - sxy / (sxx + 500.0) * mx, 6) AS intercept FROM ({LINE_SQL})""")
+def q_l11(spark, sf):
+    return _line(spark, sf, lambda d: L.fit_ridge(d, alpha=500.0))
+
+
 @query("l14_feature_importance_documents")
 def q_l14(spark, sf):
     tr, _ = doc_split(spark, sf)

@@ -213,6 +213,12 @@ def test_self_training_invariants(spark):
     for r in df.collect():
         if r["partial_label"] != -1:
             assert ps[r["id"]] == (r["partial_label"], 0)  # given labels never change
+    risk = P.self_training_risk(df, "label", base_fit=lambda d: L.fit_random_forest(d, n_trees=10), max_iter=3).first()
+    assert risk["n_unlabeled"] == df.filter("partial_label = -1").count()
+    assert risk["n_pseudo_labeled"] == sum(it > 0 for _, it in ps.values())
+    whole = L.full_evaluation(model, df, "m")
+    assert whole["confusion"].count() == 2 and whole["summary"].first()["Model"] == "m"
+    assert {"accuracy", "macro avg", "weighted avg"} < {r["class"] for r in whole["report"].collect()}
 
 
 def test_h24_pseudo_label_risk(spark):

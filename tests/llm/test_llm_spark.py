@@ -314,3 +314,32 @@ def test_pipeline(spark, tmp_path):
     assert text[74].split() == prose(202, 60) and text[3] == clean[3]
     want = sorted(tuple(r) for r in frames[5].select("doc_id", "piece", "length", "ids_crc32").collect())
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "piece", "length", "ids_crc32").collect()) == want
+
+
+def covered(rows, doc):
+    return {k for r in rows if r["doc_id"] == doc and not r["keep"] for k in range(r["start_word"], r["end_word"])}
+
+
+def test_near_repeats_survive_unrelated_anchors(spark):
+    # 0 shares a frequent line with every passage; the later copy has 49 words in a row, then one that differs
+    line = prose(1, 42)
+    texts, ids = [" ".join(prose(2, 40) + line + prose(3, 40))], [0]
+    for k in range(40):
+        words = prose(100 + k, 6) + line + prose(200 + k, 6)
+        copy = words[:4] + ["changed"] + words[5:]
+        texts += [" ".join(prose(300 + k, 30) + words), " ".join(prose(400 + k, 20) + copy + prose(500 + k, 30))]
+        ids += [1 + k, 101 + k]
+    rows = substring_dedup.repeated_passages(docs_of(spark, texts, ids)).collect()
+    assert sum(len(covered(rows, 101 + k)) >= 49 for k in range(40)) >= 38
+
+
+def test_exact_repeats_beside_verified_passages(spark):
+    # 201 + k holds a passage of 1 + k and, beside it, one of 101 + k around a line of 0
+    line = prose(1, 40)
+    texts, ids = [" ".join(prose(2, 40) + line + prose(3, 40))], [0]
+    for k in range(60):
+        p, q = prose(100 + k, 60), prose(200 + k, 6) + line + prose(300 + k, 6)
+        texts += [" ".join(prose(400 + k, 20) + p), " ".join(q + prose(500 + k, 20)), " ".join(p + q)]
+        ids += [1 + k, 101 + k, 201 + k]
+    rows = substring_dedup.repeated_passages(docs_of(spark, texts, ids)).collect()
+    assert [k for k in range(60) if len(covered(rows, 201 + k)) < 112] == []

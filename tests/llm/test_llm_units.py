@@ -300,3 +300,18 @@ def test_rendering_of_deep_and_wide_pages():
 
 def test_crc_helper_is_zlib():
     assert zlib.crc32(b"17") % 5 in range(5)
+
+
+def test_later_matches_pass_unrelated_anchor_and_chains():
+    t = 46
+    line = [f"line{i}" for i in range(12)]
+    base = [f"w{i}" for i in range(30)] + line + [f"x{i}" for i in range(30)]
+    sh = lambda w: shingles.shingle_hashes(np.array([zlib.crc32(x.encode()) for x in w], "u8")).astype("u4")
+    other = [f"o{i}" for i in range(30)] + line + [f"p{i}" for i in range(30)]
+    near = base[:5] + ["changed"] + base[6:]
+    far = near[:40] + ["again"] + near[41:]
+    got = lambda texts: substring_dedup.later_matches(np.zeros(len(texts), "i8"), np.arange(len(texts)), np.zeros(len(texts), "i8"),
+                                                      [None] + [np.ones(len(sh(w)) - t + 1, bool) for w in texts[1:]], [sh(w) for w in texts], t)
+    assert got([other, base, near]) == [(2, 1, 0)]                      # 0 shares the line only
+    assert {(a, b) for a, b, _ in got([base, near, far])} >= {(1, 0), (2, 1)}   # each smaller document that holds a start
+    assert got([other, base, [f"q{i}" for i in range(30)] + line + base[:20]]) == []

@@ -5,7 +5,9 @@
 2. Words that look disguised - digits or signs among letters, letters spaced
    out, letters repeated three times or more - are read as a lattice: every
    character offers the letters it may stand for (leetspeak), or nothing
-   (separators, repetitions), each at a channel cost.  Viterbi search finds the
+   (separators, repetitions), each at a channel cost.  Blanks of spaced-out
+   runs and separators may also be word boundaries (symbol 0 of the model);
+   words joined by signs are looked up by their parts, too.  Viterbi search finds the
    letters with the best channel x character model probability.
 3. The restored text is scored.  Evidence of a word, or of its beginning, is
    the lower confidence bound of its log odds of label 1 (document counts over
@@ -42,6 +44,9 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "#": "h", "%": "x", "*": "aeiou"}
 SEPARATORS = frozenset(".-_*~'`^/\\,:;|+= ")
 COST_LEET, COST_DROP, COST_REPEAT, COST_KEEP_SIGN = 1.0, 1.0, 0.3, 9.0
+BREAKS = (0.0, -2.0)    # channel costs of a word boundary between single characters; each gives a reading
+PARTS = re.compile(r"[\W_]+")
+SINGLES = re.compile(r"(?:(?<=\s)|\A)\S(?:[ \t]+\S[.,;:!?]?){2,}(?!\S)")
 
 EDGE = ".,;:!?\"'()[]{}<>*#$%&~`^|/\\=_+-"
 ODD = re.compile(r"[^\W\d_].*[\d@$!|+(<{€£¢#%*._~'`^/\\:-]+.*[^\W\d_]|[\d@$!|(€£][^\W\d_]{2}|[^\W\d_]{2}[\d@$!|(€£]|([^\W\d_])\1\1")
@@ -86,9 +91,20 @@ def char_model(counts: np.ndarray) -> np.ndarray:
     return -np.log(tri)
 
 
-def lattice(word: str) -> list[list[tuple[str, float]]]:
-    """For every character of a disguised word the readings (letter or nothing) and their channel cost."""
+def lattice(word: str, split: bool = False, price: float = 0.0) -> list[list[tuple[str, float]]]:
+    """For every character of a disguised word the readings (letter or nothing) and their channel cost.
+
+    With ``split``, blanks and separators may be a word boundary, read as a blank: a blank
+    between single characters at cost ``price``, one beside a longer token always."""
     out, prev = [], ""
+    if split:
+        tokens = word.lower().split()
+        for k, token in enumerate(tokens):
+            if k:
+                out.append([(" ", price)] + ([("", 0.0)] if len(token.strip(EDGE)) < 2 and len(tokens[k - 1].strip(EDGE)) < 2 else []))
+            for ch, options in zip(token, lattice(token)):
+                out.append(options + [(" ", COST_DROP)] if ch in SEPARATORS else options)
+        return out
     for ch in word.lower():
         if ch.isalpha():
             options = [(ch, 0.0)]
@@ -107,18 +123,19 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """Most probable letters behind a disguised word (Viterbi over the lattice)."""
+def restore(word: str, model: np.ndarray, split: bool = False, boundary: float = 0.0) -> str:
+    """Most probable letters behind a disguised word (Viterbi over the lattice); with ``split``, words with blanks between."""
     # state: last two symbols -> (cost, back pointer as nested pairs)
     states = {(0, 0): (0.0, None)}
-    for options in lattice(word):
+    for options in lattice(word, split, boundary):
         new: dict = {}
         for (a, b), (cost, back) in states.items():
             row = model[a, b]
             for letter, price in options:
                 if letter:
                     c = symbol(letter)
-                    key, total, trail = (b, c), cost + price + row[c], (back, letter)
+                    # a word starts as a text does
+                    key, total, trail = (0, 0) if letter == " " else (b, c), cost + price + row[c], (back, letter)
                 else:
                     key, total, trail = (a, b), cost + price, back
                 if key not in new or total < new[key][0]:
@@ -140,12 +157,16 @@ class Reader:
         self.cache: dict[str, tuple[str, ...]] = {}
 
     def read(self, w: str) -> tuple[str, ...]:
-        """Readings of a word: its core without outer signs and, where signs at its
-        edges may be letters (one or two of them), the core with them."""
+        """Readings of a word: its parts between signs, its core without outer signs and,
+        where signs at its edges may be letters (one or two of them), the core with them."""
         got = self.cache.get(w)
         if got is None:
             core = w.strip(EDGE).lower()
             got = (restore(core, self.model) if ODD.search(core) else core,)
+            parts = [p for p in PARTS.split(core) if p]
+            if len(parts) > 1:
+                whole = restore(core, self.model, True).split() if ODD.search(core) else []
+                got = (*(restore(p, self.model) if ODD.search(p) else p for p in parts if len(p) > 1), *whole, *got)
             m = SIGNED.fullmatch(w) if len(core) > 1 else None
             if m:
                 got += (restore(m.group(1).lower(), self.model),)
@@ -159,14 +180,23 @@ class Reader:
         for w in set(text.split()):
             found.update(self.read(w))
         for m in SPACED.finditer(text):     # l e t t e r s spaced out
-            run = m.group()
-            tokens = run.split()
-            if sum(len(t) == 1 or not t[-1].isalnum() for t in tokens) >= len(tokens) - 1:
-                joined = "".join(t[0] for t in tokens)
-                found.add(restore(joined, self.model))
+            found.update(self.spaced(m.group()))
         found.discard("")
         return found
 
+    def spaced(self, run: str) -> set[str]:
+        """Words of a run of short tokens: single characters joined, and the run with its likeliest word boundaries."""
+        found: set[str] = set()
+        for m in SINGLES.finditer(run):
+            found.add(restore("".join(t[0] for t in m.group().split()), self.model))
+        tokens = run.split()
+        if sum(len(t) == 1 or not t[-1].isalnum() for t in tokens) >= len(tokens) - 1:
+            found.add(restore("".join(t[0] for t in tokens), self.model))
+        if found:
+            for price in BREAKS:
+                found.update(restore(run, self.model, True, price).split())
+        return found
+
     def restored_text(self, text: str) -> str:
         """The text with disguised words replaced by their reading."""
         def spaced(m):

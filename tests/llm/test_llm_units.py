@@ -315,3 +315,9 @@ def test_later_matches_pass_unrelated_anchor_and_chains():
     assert got([other, base, near]) == [(2, 1, 0)]                      # 0 shares the line only
     assert {(a, b) for a, b, _ in got([base, near, far])} >= {(1, 0), (2, 1)}   # each smaller document that holds a start
     assert got([other, base, [f"q{i}" for i in range(30)] + line + base[:20]]) == []
+
+
+@pytest.mark.parametrize("text, word", [("you are a s t u p i d man", "stupid"), ("he is s t u p i d", "stupid"), ("i s t u p i d i d i o t", "idiot"),
+                                        ("oh you/idiot there", "idiot"), ("such-idiots all", "idiots"), ("you...idiot", "idiot"), ("you,idiot", "idiot")])
+def test_word_boundaries_are_decoded(char_model, text, word):
+    assert word in toxicity.Reader(char_model).words(text)

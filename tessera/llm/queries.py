@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.session import load
 
-from . import decontaminate, html_render, ngram_join, packing, quality_cnn, sharding, substring_dedup, topk, toxicity, url_reputation
+from . import decontaminate, html_render, line_dedup, ngram_join, packing, periodic_runs, quality_cnn, sharding, spelling, substring_dedup, topk, toxicity, url_reputation
 
 QUERIES = {}
 ORACLES = {}
@@ -174,3 +174,58 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """All visible text of every page, laid out as plain text."""
     return html_render.extract_text(load(spark, sf_dir, "pages"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """Periodic runs of at least 12 words in every document, some of them planted by the rule of ``plant_runs``."""
+    planted = periodic_runs.plant_runs(load(spark, sf_dir, "documents"))
+    return periodic_runs.run_digest(periodic_runs.find_runs(planted, min_words=12)).drop("n_words", "runs")
+
+
+SPELLING_SQL = r"""
+WITH tab AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+                                                  FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+') AS ws FROM documents),
+o AS (SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest(ws) AS w FROM d) GROUP BY 1, 2),
+b AS (SELECT doc_id, w, c, CAST(doc_id AS VARCHAR) || ':' || w AS s FROM o),
+x AS (SELECT doc_id, w, c, [ascii(ch) FOR ch IN string_split(s, '')] AS cps FROM b),
+u AS (SELECT doc_id, w, c, flatten([CASE WHEN p < 128 THEN [p] ELSE [192 + p // 64, 128 + p % 64] END FOR p IN cps]) AS bytes FROM x),
+h AS (SELECT w, c, CASE WHEN doc_id IS NULL THEN 1 ELSE xor(list_reduce([4294967295] || bytes, lambda a, y: xor(a // 256, t[CAST(xor(a, y) % 256 AS INTEGER) + 1])), 4294967295) END AS h FROM u, tab),
+r AS (SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, CAST(h % length(w) AS INTEGER)) || substr(w, CAST(h % length(w) AS INTEGER) + 2) ELSE w END AS word, c FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM r WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+del AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+near AS (SELECT a.word AS a, b.word AS b FROM del a JOIN del b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+         UNION SELECT del.word, v.word FROM del JOIN v ON del.cut = v.word UNION SELECT v.word, del.word FROM del JOIN v ON del.cut = v.word),
+best AS (SELECT a AS word, count(*) AS n_near, first(b ORDER BY v.n DESC, b ) AS top, max(v.n) AS m FROM near JOIN v ON near.b = v.word GROUP BY a),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * v.n THEN top END AS form, CASE WHEN m >= 5 * v.n THEN m END AS form_n FROM v LEFT JOIN best USING (word))
+SELECT word, form, n, n_near, form_n, root
+FROM (WITH RECURSIVE walk(word, z) AS (SELECT word, word FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON walk.z = f.word WHERE f.form IS NOT NULL)
+      SELECT f.*, walk.z AS root FROM f JOIN walk ON f.word = walk.word JOIN f g ON walk.z = g.word WHERE g.form IS NULL)
+"""
+
+
+@query("op12_spelling_variants", SPELLING_SQL)
+def op12(spark, sf_dir):
+    """Words of at least 6 letters and 5 occurrences with their spelling variants; one run in 199 loses a letter first."""
+    return spelling.variants_of_documents(load(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, alter=spelling.delete_by_crc(199))
+
+
+LINE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, i, ls[i] AS line, translate(regexp_replace(ls[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM (SELECT r, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+t AS (SELECT k, max(doc_id) AS top, count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) AS n
+      FROM l WHERE length(k) >= 20 GROUP BY k),
+m AS (SELECT l.r, l.doc_id, l.i, l.line, coalesce(t.n >= 3 AND l.doc_id IS DISTINCT FROM t.top, false) AS gone FROM l LEFT JOIN t ON l.k = t.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+"""
+
+
+@query("op13_line_dedup", LINE_SQL)
+def op13(spark, sf_dir):
+    """Lines of at least 20 characters that three documents share stay in the largest doc_id only."""
+    return line_dedup.line_digest(load(spark, sf_dir, "documents"), min_chars=20, min_docs=3).drop("keep")

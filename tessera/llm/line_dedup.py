@@ -10,9 +10,10 @@
    third of all documents share is spread over many partitions.
 3. Each partition is streamed once: the first document of a hash is the one
    that keeps it, further documents lose it once ``min_docs`` different ones
-   have been seen.  Only the first and the last hash of a partition can go on
-   elsewhere: their rows leave undecided, with the first documents seen of
-   each, and these summaries (at most two a partition) settle them in a join.
+   have been seen.  Only the first and the last hash of a partition can have
+   rows elsewhere: what is open about them leaves undecided, with the first
+   documents seen of each.  These summaries (at most two hashes a partition, so
+   they may be broadcast) settle the undecided rows.
 4. Lost positions are gathered per document into a compressed bitmap.
 
 Documents are told apart by doc_id: rows with the same doc_id count as one
@@ -129,16 +130,22 @@ class HashStream:
         self.docs, self.held = [], None
 
     def _more(self, rows, doc):
-        """Rows of the current hash.  Its group may reach past this partition, so they wait or leave as OPEN."""
+        """Rows of the current hash, which may go on in the next batch or partition.
+
+        Its first document is known unless the hash opened the partition; rows
+        wait until enough documents are seen."""
         if len(self.docs) < self.min_docs:
             for d in pd.unique(doc):
                 if len(self.docs) < self.min_docs and (not self.docs or self.docs[-1] != d):
                     self.docs.append(int(d))
-            self.held = rows if self.held is None else pd.concat([self.held, rows])
-            rows = self.held
+            rows = rows if self.held is None else pd.concat([self.held, rows])
+            self.held = rows
         if len(self.docs) >= self.min_docs and len(rows):
-            yield rows.assign(kind=OPEN)
             self.held = None
+            if self.hash == self.first_hash:
+                yield rows.assign(kind=OPEN)
+            else:
+                yield rows[rows["doc"].to_numpy() != self.docs[0]].assign(kind=DROP)
 
     def _close(self, at_end: bool = False):
         """The current hash is over: settle what waits.
@@ -150,8 +157,6 @@ class HashStream:
             if self.held is not None:
                 yield self.held.assign(kind=OPEN)
             yield self._seen()
-        elif len(self.docs) >= self.min_docs:
-            yield self._seen()                     # its rows left as OPEN while it was the last hash of a batch
         self.hash, self.held = None, None
 
     def _seen(self):
@@ -187,11 +192,11 @@ def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, doc_i
         yield from stream.end()
 
     passed = staged(ordered.mapInPandas(run, STREAM), "line-stream")
-    # summaries of the hashes at partition ends: few rows, merged per hash
+    # summaries of the hashes at partition ends, merged per hash: at most two rows a partition
     tops = F.slice(F.sort_array(F.collect_set("doc"), asc=False), 1, min_docs)
     ends = (passed.filter(F.col("kind") == SEEN).groupBy("h1", "h2").agg(tops.alias("tops"))
             .filter(F.size("tops") >= min_docs).select("h1", "h2", F.col("tops")[0].alias("top")))
-    late = passed.filter(F.col("kind") == OPEN).join(ends, ["h1", "h2"]).filter("doc <> top")
+    late = passed.filter(F.col("kind") == OPEN).join(F.broadcast(ends), ["h1", "h2"]).filter("doc <> top")
     return passed.filter(F.col("kind") == DROP).select("doc", "tag", "pos").unionByName(late.select("doc", "tag", "pos"))
 
 

@@ -36,6 +36,7 @@ from .common import sole_cache
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 CACHE = 500_000
 APPEND = 1 << 16          # words appended at once; only memory and speed depend on it
+TEXTS_AT_ONCE = 500       # texts whose words are held at once
 C1, C2, C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -286,16 +287,19 @@ def find_runs(docs: DataFrame, min_words: int = 12, columns=("doc_id",), text: s
     clash = {"n_words", "runs", "collapsed"} & set(columns)
     if clash:
         raise ValueError(f"rename columns {sorted(clash)} first")
-    src = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("string").alias("_text_"))
-    fields = [f for f in src.schema.fields if f.name != "_text_"]
+    body = "_text"
+    while body in {c.lower() for c in columns}:
+        body += "_"
+    src = docs.select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{text}`").cast("string").alias(body))
+    fields = src.schema.fields[:-1]
     schema = T.StructType(fields + list(T._parse_datatype_string(RUNS).fields))
 
     def run(batches):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
-        for rb in batches:
-            words = [WORDS.findall(t.encode("utf-8", "surrogatepass")) if t else [] for t in rb.column("_text_").to_pylist()]
+        for rb in (whole.slice(at, TEXTS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, TEXTS_AT_ONCE)):
+            words = [WORDS.findall(t.encode("utf-8", "surrogatepass")) if t else [] for t in rb.column(body).to_pylist()]
             runs = runs_of_streams([word_ids(w) for w in words], min_words)
             kept = [b" ".join(collapsed_words(w, r)) for w, r in zip(words, runs)]
             spans = [[{"start": a, "length": n, "period": p} for a, n, p in r] for r in runs]

@@ -1,15 +1,9 @@
 """Exact Euclidean neighbour search without a cross join (K1).
 
-Pivots (k-means centres) cut the space into Voronoi cells; every point has a
-*home* cell (its nearest pivot).  For a point x with home pivot h and another
-pivot q, no point of cell q is closer to x than the distance from x to the
-bisecting hyperplane of h and q::
-
-    lb(x, q) = (|x - q|^2 - |x - h|^2) / (2 |h - q|)
-
-So x only needs to be compared with the points of the cells where
-``lb(x, q) <= radius``: x is copied into those cells and meets their home
-points there.  Every pair within the radius is found exactly once, whatever
+A two-level pivot tree (:mod:`tessera.operators.pivot_tree`), fitted on a bounded
+sample, gives every point a *home* cell.  A query point is copied into the cells
+that the tree's distance bounds cannot rule out for its radius and meets their
+home points there.  Every pair within the radius is found exactly once, whatever
 the pivots are; good pivots only make it cheaper.
 
 A cell may hold any share of the rows, so it is not the unit of work.  Its home
@@ -18,18 +12,18 @@ points and its query copies are cut into tiles of about ``cell_target`` rows
 group: a task never holds more than two tiles, and a hot cell spreads over as
 many tasks as it has tile pairs.  A tile pair is one numpy distance block, worked
 off in row chunks of bounded size; only the pairs that qualify leave the task.
+Tables of at most ``cell_target`` rows are one tile, compared with itself.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators import pivot_tree as PT
 from tessera.session import cut_lineage
 
 DEFAULT_CELL_TARGET = 4_000
@@ -60,63 +54,17 @@ def dist(a: Column, b: Column, dim: int | None = None) -> Column:
     return F.sqrt(acc)
 
 
-def choose_pivots(df: DataFrame, vec: str, n_rows: int, cell_target: int = DEFAULT_CELL_TARGET,
-                  seed: int = 42) -> np.ndarray:
-    """About one pivot per ``cell_target`` rows, and never more than sqrt(n):
-    beyond that, finding a row's pivot would cost more than the pairs it saves."""
-    m = max(1, min(math.ceil(n_rows / cell_target), math.ceil(math.sqrt(n_rows))))
-    if m == 1:
-        row = df.select(vec).first()
-        return np.array([row[0]], dtype=float)
-    from pyspark.ml.clustering import KMeans
-    km = KMeans(k=m, seed=seed, maxIter=10, featuresCol="_pv").fit(df.select(array_to_vector(vec).alias("_pv")))
-    return np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()], dtype=float)
-
-
-def assign_cells(df: DataFrame, vec: str, pivots: np.ndarray, radius: Column | float | None) -> DataFrame:
-    """Adds ``_home`` (nearest pivot) and ``_cells`` (cells to probe for ``radius``;
-    ``radius`` may be a column).  With ``radius=None`` only ``_home``."""
-    src = df
-    if radius is not None:
-        src = df.withColumn("_rad", radius if isinstance(radius, Column) else F.lit(float(radius)))
-    fields = [f for f in df.schema.fields if f.name not in ("_home", "_cells")]
-    schema = T.StructType(fields + [T.StructField("_home", T.IntegerType())]
-                          + ([T.StructField("_cells", T.ArrayType(T.IntegerType()))] if radius is not None else []))
-    norms = (pivots * pivots).sum(1)
-    probe = radius is not None
-    names = [f.name for f in fields]
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            home, cells = [], []
-            X = np.stack(pdf[vec].to_numpy()).astype(float)
-            step = max(1, BLOCK_CELLS // len(pivots))
-            for lo in range(0, len(X), step):
-                x = X[lo:lo + step]
-                d = np.maximum((x * x).sum(1)[:, None] + norms[None, :] - 2.0 * (x @ pivots.T), 0.0)
-                h = d.argmin(1)
-                home.append(h)
-                if not probe:
-                    continue
-                slack = _rounding(x.shape[1], (x * x).sum(1), norms.max())
-                for i, r in enumerate(pdf["_rad"].to_numpy()[lo:lo + step]):
-                    gap = np.sqrt(((pivots - pivots[h[i]]) ** 2).sum(1))
-                    # pivots that coincide cannot be told apart: probe both
-                    near = d[i] - d[i, h[i]] <= 2.0 * gap * r + 2.0 * slack[i]
-                    near[h[i]] = True
-                    cells.append(np.nonzero(near)[0].astype("i4"))
-            out = pdf[names].assign(_home=np.concatenate(home).astype("i4"))
-            if probe:
-                out["_cells"] = cells
-            yield out
-    return src.mapInPandas(run, schema)
-
-
-def _rounding(dim: int, qn, hn):
-    """Bound of the rounding error of |q|^2 + |h|^2 - 2 q.h."""
-    return 8.0 * (dim + 2) * np.finfo(float).eps * (qn + hn)
+def fit_tree(points: DataFrame, n_rows: int, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42) -> PT.PivotTree:
+    """Pivot tree over (_id, _v) rows, fitted on a bounded sample."""
+    dim = len(points.select("_v").first()[0])
+    return PT.PivotTree.fit(PT.sample_rows(points, "_id", "_v", n_rows, dim), PT.wanted_cells(n_rows, cell_target), seed)
+
+
+def assign_homes(points: DataFrame, tree: PT.PivotTree) -> DataFrame:
+    """Rows with their home cell, checkpointed: the tree's bounds are taken over them."""
+    held = cut_lineage(PT.with_cells(points, "_v", tree))
+    PT.set_bounds(tree, held, "_v", len(tree.origin))
+    return held
 
 
 def _exact(Q, H, qi, hi):
@@ -132,7 +80,7 @@ def _exact(Q, H, qi, hi):
 def _blocks(pdf):
     """Home rows of a tile pair and its query rows in chunks of bounded size:
     (home ids, H, query ids, Q, approximate squared distances, their error)."""
-    home, qry = pdf[pdf["_is_home"]], pdf[~pdf["_is_home"]]
+    home, qry = (pdf[pdf["_is_home"]], pdf[~pdf["_is_home"]]) if "_is_home" in pdf else (pdf, pdf)
     if home.empty or qry.empty:
         return
     H = np.stack(home["_v"].to_numpy()).astype(float)
@@ -144,7 +92,7 @@ def _blocks(pdf):
     for lo in range(0, len(Qall), step):
         Q = Qall[lo:lo + step]
         qn = (Q * Q).sum(1)
-        yield hid, H, qid[lo:lo + step], Q, qn[:, None] + hn[None, :] - 2.0 * (Q @ H.T), _rounding(H.shape[1], qn, hn.max())
+        yield hid, H, qid[lo:lo + step], Q, qn[:, None] + hn[None, :] - 2.0 * (Q @ H.T), PT.rounding(H.shape[1], qn, hn.max())
 
 
 def _pairs_within(radius: float):
@@ -217,23 +165,40 @@ def _homes(a: DataFrame, part: list) -> DataFrame:
     return a.select(*part, "_id", "_v", F.col("_home").alias("cell"))
 
 
+def _one_tile(base: DataFrame, asked: DataFrame | None, part: list) -> DataFrame:
+    """Groups of a table that is one tile: its rows, or its rows and the queries'."""
+    if asked is None:
+        rows = base
+    else:
+        rows = base.withColumn("_is_home", F.lit(True)).unionByName(asked.withColumn("_is_home", F.lit(False)))
+    return rows.withColumn("_tile", F.lit(0)) if not part else rows
+
+
+def _setup(df, part, id_col, vec, pivots, n_rows, cell_target, seed, queries):
+    """(points, query points or None, tree or None): no tree for tables of one tile."""
+    base = _points(df, part, id_col, vec)
+    asked = None if queries is None else _points(queries, part, id_col, vec)
+    if pivots is not None:
+        return base, asked, PT.PivotTree.of(np.asarray(pivots, dtype=float))
+    n = n_rows if n_rows is not None else base.count()
+    small = n <= cell_target and (asked is None or asked.limit(cell_target + 1).count() <= cell_target)
+    return base, asked, None if small else fit_tree(base, n, cell_target, seed)
+
+
 def radius_pairs(df: DataFrame, id_col: str, vec: str, eps: float, pivots: np.ndarray | None = None,
                  n_rows: int | None = None, cell_target: int = DEFAULT_CELL_TARGET, seed: int = 42,
                  queries: DataFrame | None = None) -> DataFrame:
     """All ordered pairs (id_a, id_b, dist) with dist <= eps, self pairs included.
 
     With ``queries`` (same columns) id_a runs over its rows instead of those of ``df``."""
-    base = _points(df, [], id_col, vec)
     schema = "id_a long, id_b long, dist double"
-    if pivots is None:
-        n_rows = n_rows if n_rows is not None else base.count()
-        if n_rows == 0:
-            return df.sparkSession.createDataFrame([], schema)
-        pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
-    a = assign_cells(base, "_v", pivots, eps)
-    asked = a if queries is None else assign_cells(_points(queries, [], id_col, vec), "_v", pivots, eps)
-    probes = asked.select("_id", "_v", F.explode("_cells").alias("cell"))
-    return tile_pairs(_homes(a, []), probes, [], cell_target).groupBy("cell", "ht", "qt").applyInPandas(_pairs_within(float(eps)), schema)
+    base, asked, tree = _setup(df, [], id_col, vec, pivots, n_rows, cell_target, seed, queries)
+    if tree is None:
+        return _one_tile(base, asked, []).groupBy("_tile").applyInPandas(_pairs_within(float(eps)), schema)
+    homes = assign_homes(base, tree)
+    ask = PT.with_probes(homes.select("_id", "_v") if asked is None else asked, "_v", tree, float(eps))
+    probes = ask.select("_id", "_v", F.explode("_cells").alias("cell"))
+    return tile_pairs(_homes(homes, []), probes, [], cell_target).groupBy("cell", "ht", "qt").applyInPandas(_pairs_within(float(eps)), schema)
 
 
 def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False,
@@ -246,37 +211,36 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, include_self: bool = False
     ``partition_cols`` restricts neighbours to rows with equal values there
     (e.g. the class, for SMOTE): the cell key becomes (partition, cell)."""
     part = list(partition_cols or [])
-    base = _points(df, part, id_col, vec)
     include_self = include_self or queries is not None
     kk = k + (0 if include_self else 1)
+    base, asked, tree = _setup(df, part, id_col, vec, pivots, None, cell_target, seed, queries)
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields if f.name in part]
                        + ["id_a long", "id_b long", "dist double"])
-    if pivots is None:
-        n_rows = base.count()
-        if n_rows == 0:
-            empty = df.sparkSession.createDataFrame([], schema + ", rank int")
-            return empty.select(*part, F.col("id_a").alias("id"), F.col("id_b").alias("nbr_id"), "dist", "rank")
-        pivots = choose_pivots(base, "_v", n_rows, cell_target, seed)
-    a = assign_cells(base, "_v", pivots, None)
-    asked = a if queries is None else assign_cells(_points(queries, part, id_col, vec), "_v", pivots, None)
-    group = [*part, "cell", "ht", "qt"]
     nearest = Window.partitionBy(*part, "id_a").orderBy("dist", "id_b")  # per row: its bounded candidate list
-    # step 1: the kk nearest inside the home cell bound the search radius
-    own = (tile_pairs(_homes(a, part), _homes(asked, part), part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
-           .withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= kk).drop("_r"))
-    if len(pivots) > 1:
-        own = cut_lineage(own)
-        radius = (own.groupBy(*part, "id_a").agg(F.max("dist").alias("r"), F.count(F.lit(1)).alias("found"))
-                     .select(*part, F.col("id_a").alias("_id"),
-                             F.when(F.col("found") >= kk, F.col("r")).otherwise(F.lit(float("inf"))).alias("_r")))
-        # step 2: probe the other cells whose bisector bound is within that radius
-        # (a query whose own cell holds no home row has no bound and probes every cell)
-        bound = F.coalesce("_r", F.lit(float("inf"))).alias("_r")
-        a2 = assign_cells(asked.join(radius, [*part, "_id"], "left").select(*part, "_id", "_v", bound), "_v", pivots, F.col("_r"))
-        probes = (a2.select(*part, "_id", "_v", "_home", F.explode("_cells").alias("cell"))
-                    .filter(F.col("cell") != F.col("_home")).drop("_home"))
-        other = tile_pairs(_homes(a, part), probes, part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
-        own = own.unionByName(other)
+    if tree is None:
+        own = _one_tile(base, asked, part).groupBy(*(part or ["_tile"])).applyInPandas(_knn_within(kk, part), schema)
+    else:
+        own = _knn_in_cells(base, asked, tree, kk, part, cell_target, schema, nearest)
     cand = own if include_self else own.filter(F.col("id_a") != F.col("id_b"))
     ranked = cand.withColumn("rank", F.row_number().over(nearest)).filter(F.col("rank") <= k)
     return ranked.select(*part, F.col("id_a").alias("id"), F.col("id_b").alias("nbr_id"), "dist", "rank")
+
+
+def _knn_in_cells(base, asked, tree, kk, part, cell_target, schema, nearest):
+    """At least the kk nearest of every row: those of its home cell bound the radius, then the cells within it."""
+    homes = assign_homes(base, tree)
+    ask = homes if asked is None else PT.with_cells(asked, "_v", tree)
+    group = [*part, "cell", "ht", "qt"]
+    own = (tile_pairs(_homes(homes, part), _homes(ask, part), part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
+           .withColumn("_r", F.row_number().over(nearest)).filter(F.col("_r") <= kk).drop("_r"))
+    if tree.n_cells == 1:
+        return own
+    own = cut_lineage(own)
+    # a row whose own cell holds fewer than kk rows has no bound and probes every cell
+    radius = (own.groupBy(*part, F.col("id_a").alias("_id")).agg(F.max("dist").alias("_max"), F.count(F.lit(1)).alias("_n"))
+                 .select(*part, "_id", F.when(F.col("_n") >= kk, F.col("_max")).alias("_r")))
+    bounded = ask.select(*part, "_id", "_v", "_home").join(radius, [*part, "_id"], "left")
+    probes = (PT.with_probes(bounded, "_v", tree, "_r").select(*part, "_id", "_v", "_home", F.explode("_cells").alias("cell"))
+                .filter(F.col("cell") != F.col("_home")).drop("_home"))
+    other = tile_pairs(_homes(homes, part), probes, part, cell_target).groupBy(*group).applyInPandas(_knn_within(kk, part), schema)
+    return own.unionByName(other)

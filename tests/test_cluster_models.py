@@ -268,3 +268,65 @@ def test_semi_supervised_results_table(spark):
     r = P.results_table({"A": p}, spark).first()
     assert r["Model"] == "A" and approx(r["F1"], 2 / 3) and approx(r["ROC_AUC"], 1.0) and approx(r["PR_AUC"], 1.0)
     assert callable(P.base_learner("RF")) and callable(P.base_learner("unknown"))
+
+
+def clustered(seed, n=4000, k=25, dim=6):
+    rng = np.random.default_rng(seed)
+    mid = rng.normal(size=(k, dim)) * 20
+    return mid[rng.integers(k, size=n)] + rng.normal(size=(n, dim)) * 0.3
+
+
+@pytest.mark.parametrize("dim,spread", [(2, 0.0), (5, 0.0), (5, 1e7), (8, 0.0)])
+def test_tree_never_rules_out_a_cell_that_holds_a_neighbour(dim, spread):
+    from tessera.operators.pivot_tree import PivotTree, rounding
+    rng = np.random.default_rng(dim)
+    X = np.concatenate([clustered(dim, 600, 8, dim), rng.normal(size=(200, dim)) * 25, np.zeros((50, dim))]) + spread
+    tree = PivotTree.fit(X[::2], 40)
+    cell, node, leaf, top = tree.assign(X)
+    tree.max_norm = max(tree.max_norm, float(((X - tree.origin) ** 2).sum(1).max()))
+    err = float(rounding(dim, tree.max_norm, tree.max_norm))
+    for c in range(tree.n_cells):
+        mine = leaf[cell == c]
+        tree.cell_lo[c] = np.sqrt(max(mine.min() - err, 0)) if len(mine) else np.inf
+        tree.cell_hi[c] = np.sqrt(mine.max() + err) if len(mine) else -np.inf
+    for t in range(len(tree.tops)):
+        tree.top_hi[t] = np.sqrt(top[node == t].max() + err) if (node == t).any() else -np.inf
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    for r in (0.0, 0.5, 3.0, np.inf):
+        row, probed = tree.probe(X, np.full(len(X), r))
+        seen = np.zeros((len(X), tree.n_cells), bool)
+        seen[row, probed] = True
+        a, b = np.nonzero(D <= r)
+        assert seen[a, cell[b]].all()
+        if r == 0.5:
+            assert len(row) < len(X) * tree.n_cells / 2
+
+
+def test_pivot_tree_copies_stay_few_on_clustered_rows(spark):
+    """The price of the search: cells a row is copied to (printed), far below the number of cells."""
+    from tessera.operators import pivot_tree as PT
+    X = clustered(1)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(X)], "_id long, _v array<double>")
+    tree = N.fit_tree(df, len(X), 64)
+    homes = N.assign_homes(df, tree)
+    copies = PT.copies_per_row(homes.select("_id", "_v"), "_v", tree, 0.5)
+    print(f"{tree.n_cells} cells, {copies:.2f} copies per row")
+    assert tree.n_cells > 30 and copies < tree.n_cells / 5
+    D = ((X[:, None] - X[None]) ** 2).sum(-1)
+    assert N.radius_pairs(df, "_id", "_v", 0.5, cell_target=64).count() == int((np.sqrt(D) <= 0.5).sum())
+
+
+def test_pivot_tree_sample_is_bounded_and_repeats(spark):
+    from tessera.operators import pivot_tree as PT
+    df = spark.range(20_000).select(F.col("id").alias("_id"), F.array(F.rand(3), F.rand(4)).alias("_v"))
+    a, b = (PT.sample_rows(d, "_id", "_v", 20_000, 2, max_bytes=16 * 1000) for d in (df, df.repartition(7, "_id")))
+    assert 700 < len(a) <= 1000 and len(a) == len(b)
+
+
+def test_neighbors_of_equal_rows_and_empty_tables(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(60)] + [(99, None)], "id int, v array<double>")
+    kn = N.knn(df, "id", "v", 2, cell_target=10).collect()
+    assert {(r["id"], r["rank"]): r["nbr_id"] for r in kn if r["id"] in (0, 5)} == {(0, 1): 1, (0, 2): 2, (5, 1): 0, (5, 2): 1}
+    assert N.radius_pairs(df, "id", "v", 0.0, cell_target=10).count() == 3600
+    empty = df.filter("id < 0")
+    assert N.knn(empty, "id", "v", 2).count() == 0 and N.radius_pairs(empty, "id", "v", 1.0).count() == 0

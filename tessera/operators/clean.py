@@ -2,25 +2,24 @@
 
 ``fit_transform`` runs dedup -> sentinels -> impute (fit) -> outliers ->
 encode -> scale (fit).  Every fit is one aggregate pass (or the bounded
-exact-quantile passes) whose answer becomes *literals* in the plan, so the
-returned :class:`CleanerModel` applies to new rows with one narrow
-``select``: no shuffle, and it works on a stream as well.
+exact-quantile passes) whose answer becomes *literals* in the plan; category
+codes are a table.  The returned :class:`CleanerModel` applies to new rows with a
+projection and one join per text column, on a stream as well.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.order_stats import exact_quantiles
+from tessera.session import cut_lineage, write_shared
 
-# Above this many distinct text values a category code table is joined
-# instead of inlined as a literal map.
-MAX_LITERAL_CATEGORIES = 10_000
+CODE_SCHEMA = "v string, code int"
 
 
 def _c(name: str) -> Column:
@@ -155,47 +154,42 @@ def remove_outliers(df: DataFrame, cols: list, method: str = "iqr", threshold: f
 
 # ----------------------------------------------------------------- C9
 def fit_codes(df: DataFrame, categorical: list) -> dict:
-    """Sorted distinct values of each *text* categorical column."""
-    codes = {}
-    for c in categorical:
-        if c not in df.columns or not isinstance(df.schema[c].dataType, T.StringType):
-            continue
-        d = df.select(_c(c).alias("v")).filter(F.col("v").isNotNull()).distinct()
-        vals = d.limit(MAX_LITERAL_CATEGORIES + 1).collect()
-        if len(vals) <= MAX_LITERAL_CATEGORIES:
-            codes[c] = sorted(r["v"] for r in vals)
-        else:
-            codes[c] = code_table(d)
-    return codes
+    """Code table (v, code) of each *text* categorical column: its distinct values numbered in sorted order."""
+    return {c: code_table(df.select(_c(c).alias("v"))) for c in categorical
+            if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)}
 
 
-def code_table(distinct_values: DataFrame) -> DataFrame:
-    """(v, code) for a large category set: a sorted, distributed index
-    (``zipWithIndex`` counts per partition first, no single-task sort)."""
-    spark = distinct_values.sparkSession
-    rdd = distinct_values.orderBy("v").rdd.map(lambda r: r["v"]).zipWithIndex()
-    return spark.createDataFrame(rdd, "v string, code long").withColumn("code", F.col("code").cast("int"))
+def code_table(values: DataFrame) -> DataFrame:
+    """(v, code) for the distinct non-null ``v``, whatever their number: 0-based rank in sorted order.
+
+    The values are cut into sorted ranges, ranked inside each range, and the few
+    range counts supply offsets.  The table is written to the shared folder, so
+    its size is known when it is joined: Spark broadcasts it only while it is small."""
+    parts = cut_lineage(values.filter("v IS NOT NULL").distinct().repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    # one row per range
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+                    .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off")))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("v")) - 1
+    coded = parts.join(offsets, "part").select("v", (rank + F.col("off")).cast("int").alias("code"))
+    return write_shared(coded, "codes")
 
 
 def encode_categoricals(df: DataFrame, categorical: list, codes: dict) -> DataFrame:
     """Text -> 0-based code in sorted order (null or unseen -> -1); other
-    columns truncated to int."""
+    columns truncated to int.
+
+    One left join per text column with its code table, also on a stream (stream-static)."""
     out = df
     for c in categorical:
         if c not in out.columns:
             continue
-        spec = codes.get(c)
-        if spec is None:
+        if c not in codes:
             out = out.withColumn(c, _c(c).cast("int"))
-        elif isinstance(spec, list):
-            m = F.create_map(*[F.lit(x) for i, v in enumerate(spec) for x in (v, i)]) if spec else None
-            out = out.withColumn(c, F.coalesce(F.element_at(m, _c(c)), F.lit(-1)).cast("int")) if m is not None \
-                else out.withColumn(c, F.lit(-1))
-        else:
-            tbl = spec.withColumnRenamed("v", f"__v_{c}").withColumnRenamed("code", f"__code_{c}")
-            out = (out.join(tbl, _c(c) == F.col(f"__v_{c}"), "left")
-                      .withColumn(c, F.coalesce(F.col(f"__code_{c}"), F.lit(-1)))
-                      .drop(f"__v_{c}", f"__code_{c}"))
+            continue
+        table = codes[c].select(F.col("v").alias("_v_"), F.col("code").alias("_code_"))
+        out = (out.join(table, _c(c) == F.col("_v_"), "left")
+                  .withColumn(c, F.coalesce(F.col("_code_"), F.lit(-1))).drop("_v_", "_code_"))
     return out
 
 
@@ -247,8 +241,9 @@ class CleanerModel:
     n_duplicates: int | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Sentinels -> impute -> encode -> scale with the fitted literals:
-        one narrow projection, no shuffle, also valid on a streaming frame."""
+        """Sentinels -> impute -> encode -> scale with the fitted values: a narrow
+        projection and one join per text column with its code table (no shuffle
+        while that is small), also valid on a streaming frame."""
         df = fix_sentinels(df, self.sentinels)
         if self.impute_method == "drop":
             df = drop_missing(df)
@@ -261,6 +256,10 @@ class CleanerModel:
         return list(self.numeric) + list(self.categorical)
 
 
+def replace_codes(model: CleanerModel, codes: dict) -> CleanerModel:
+    return replace(model, codes=codes)
+
+
 def fit_transform(df: DataFrame, numeric: list, categorical: list, sentinels: dict | None = None,
                   impute: str = "median", outliers: str = "iqr", outlier_threshold: float = 1.5,
                   scaling: str = "standard", persist: bool = True) -> tuple:

@@ -10,20 +10,22 @@ Spark jobs submitted from a small thread pool.
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import VectorSlicer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import metrics as M
+from tessera.operators.clean import CleanerModel
+from tessera.operators.ml_stages import FittedCleaner, OneVsRestScores, RandomFeatures, Scores
 from tessera.operators.neighbors import knn, to_array
 from tessera.operators.sampling import balanced_weights, rank_by_hash
 from tessera.session import cut_lineage, right_size
@@ -33,13 +35,16 @@ from tessera.session import cut_lineage, right_size
 
 class FittedModel:
     """Uniform predict API: adds ``prediction`` (double) and ``probability``
-    (array<double>, one entry per class) to a frame with ``features``."""
+    (array<double>, one entry per class) to a frame with ``features``.
 
-    def __init__(self, name, classes, predict_fn, spark_model=None):
-        self.name, self.classes, self._predict, self.spark_model = name, classes, predict_fn, spark_model
+    ``stage`` is the Spark ML transformer that does it, ``spark_model`` the
+    estimator's own model inside it (None for composed models)."""
+
+    def __init__(self, name, classes, stage, spark_model=None):
+        self.name, self.classes, self.stage, self.spark_model = name, classes, stage, spark_model
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self._predict(df)
+        return self.stage.transform(df)
 
     def feature_importances(self):
         m = self.spark_model
@@ -62,11 +67,7 @@ def _classes(df: DataFrame, label: str = "label") -> list:
 
 
 def _spark_prob(model, name, classes):
-    def predict(df):
-        out = model.transform(df)
-        return (out.withColumn("probability", vector_to_array("probability"))
-                   .drop("rawPrediction"))
-    return FittedModel(name, classes, predict, model)
+    return FittedModel(name, classes, PipelineModel([model, Scores()]), model)
 
 
 # L1
@@ -96,23 +97,8 @@ def fit_random_forest(df: DataFrame, n_trees: int = 200, max_depth: int = 10, ba
 
 def _ovr(df: DataFrame, classes: list, fit_binary, name: str) -> FittedModel:
     """One binary model per class; probabilities normalised to sum 1."""
-    models = [fit_binary(df.withColumn("label", (F.col("label") == F.lit(c)).cast("double"))) for c in classes]
-
-    def predict(d):
-        cols = []
-        out = d
-        for i, m in enumerate(models):
-            out = (m.transform(out).withColumn(f"_p{i}_", F.element_at("probability", 2))
-                    .drop("probability", "prediction"))
-            cols.append(F.col(f"_p{i}_"))
-        tot = sum(cols[1:], cols[0])
-        probs = F.array(*[F.when(tot > 0, c / tot).otherwise(F.lit(1.0 / len(cols))) for c in cols])
-        out = out.withColumn("probability", probs)
-        best = F.array_position(F.col("probability"), F.array_max("probability")).cast("int")
-        out = out.withColumn("prediction", F.element_at(F.lit([float(c) for c in classes]), best))
-        return out.drop(*[f"_p{i}_" for i in range(len(cols))])
-
-    return FittedModel(name, classes, predict)
+    models = [fit_binary(df.withColumn("label", (F.col("label") == F.lit(c)).cast("double"))).stage for c in classes]
+    return FittedModel(name, classes, OneVsRestScores(classes, models))
 
 
 # L4
@@ -146,39 +132,22 @@ def fit_rbf_svm(df: DataFrame, n_components: int = 200, C: float = 1.0, balanced
     d0 = df.select(x.alias("_x"))
     stats = d0.select(F.explode("_x").alias("v")).agg(F.var_pop("v").alias("var")).first()
     dim = len(d0.first()["_x"])
-    gamma = 1.0 / (dim * (stats["var"] or 1.0))
-    rng = np.random.default_rng(seed)
-    W = rng.normal(0.0, math.sqrt(2 * gamma), size=(n_components, dim))
-    b = rng.uniform(0, 2 * math.pi, size=n_components)
-    Wl, bl = F.lit(W.tolist()), F.lit(b.tolist())
-    scale = math.sqrt(2.0 / n_components)
-
-    def rff(d):
-        xx = to_array(d, "features")
-        z = F.transform(F.sequence(F.lit(1), F.lit(n_components)), lambda j: F.lit(scale) * F.cos(
-            F.aggregate(F.zip_with(xx, F.element_at(Wl, j), lambda a, c: a * c), F.lit(0.0), lambda s, v: s + v)
-            + F.element_at(bl, j)))
-        return d.withColumn("_rff", array_to_vector(z))
-
+    lift = RandomFeatures.rbf(dim, 1.0 / (dim * (stats["var"] or 1.0)), n_components, seed)
     classes = _classes(df)
 
     def binary(d):
-        dd, w = _weighted(rff(d), balanced)
+        dd, w = _weighted(lift.transform(d), balanced)
         dd = dd.persist(StorageLevel.MEMORY_AND_DISK)
-        svc = LinearSVC(featuresCol="_rff", regParam=1.0 / (C * max(dd.count(), 1)), maxIter=max_iter, tol=tol)
+        svc = LinearSVC(featuresCol="_rff", regParam=1.0 / (C * max(dd.count(), 1)), maxIter=max_iter, tol=tol,
+                        rawPredictionCol="_margin", predictionCol="_side")
         if w:
             svc.setWeightCol(w)
         sm = svc.fit(dd)
-        margin = sm.transform(dd).select("label", vector_to_array("rawPrediction")[1].alias("_m"))
-        cal = LogisticRegression(featuresCol="_mv", maxIter=100, tol=tol).fit(
-            margin.withColumn("_mv", array_to_vector(F.array("_m"))))
-
-        def predict(t):
-            o = sm.transform(rff(t)).withColumn("_mv", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
-            o = o.drop("prediction", "rawPrediction")
-            o = cal.transform(o).withColumn("probability", vector_to_array("probability"))
-            return o.drop("_mv", "_rff", "rawPrediction")
-        return FittedModel("SVM", [0.0, 1.0], predict, sm)
+        one = VectorSlicer(inputCol="_margin", outputCol="_mv", indices=[1])
+        cal = LogisticRegression(featuresCol="_mv", maxIter=100, tol=tol).fit(one.transform(sm.transform(dd)).select("label", "_mv"))
+        dd.unpersist()
+        stage = PipelineModel([lift, sm, one, cal, Scores(["rawPrediction", "_rff", "_margin", "_side", "_mv"])])
+        return FittedModel("SVM", [0.0, 1.0], stage, sm)
 
     if len(classes) <= 2:
         return binary(df)
@@ -196,7 +165,7 @@ CLASSIFIERS = {
 # L10-L12
 def fit_linear(df: DataFrame) -> FittedModel:
     m = LinearRegression(regParam=0.0, solver="normal").fit(right_size(df))
-    return FittedModel("Linear Regression", None, m.transform, m)
+    return FittedModel("Linear Regression", None, m, m)
 
 
 def fit_ridge(df: DataFrame, alpha: float = 1.0) -> FittedModel:
@@ -205,13 +174,13 @@ def fit_ridge(df: DataFrame, alpha: float = 1.0) -> FittedModel:
     s = df.agg(F.stddev_pop("label").alias("s"), F.count(F.lit(1)).alias("n")).first()
     reg = alpha * (s["s"] or 1.0) / s["n"]
     m = LinearRegression(regParam=reg, elasticNetParam=0.0, standardization=False, solver="normal").fit(right_size(df))
-    return FittedModel("Ridge", None, m.transform, m)
+    return FittedModel("Ridge", None, m, m)
 
 
 def fit_gbt_regressor(df: DataFrame, n_rounds: int = 200, max_depth: int = 5, step: float = 0.1,
                       seed: int = 42) -> FittedModel:
     m = GBTRegressor(maxIter=n_rounds, maxDepth=max_depth, stepSize=step, seed=seed).fit(right_size(df))
-    return FittedModel("XGBRegressor", None, m.transform, m)
+    return FittedModel("XGBRegressor", None, m, m)
 
 
 # L13
@@ -400,8 +369,9 @@ def best_model(results: DataFrame, metric: str = "PR_AUC") -> DataFrame:
 
 # S11
 def save_model(model: FittedModel, path: str):
+    """One Spark ML model alone, in its own format."""
     if model.spark_model is None:
-        raise ValueError("only single Spark ML models can be saved")
+        raise ValueError("only single Spark ML models can be saved this way; see save_fitted")
     model.spark_model.write().overwrite().save(path)
 
 
@@ -409,4 +379,29 @@ def load_model(cls, path: str, name: str, classes=None) -> FittedModel:
     m = cls.load(path)
     if hasattr(m, "probability") or "Classification" in type(m).__name__:
         return _spark_prob(m, name, classes)
-    return FittedModel(name, classes, m.transform, m)
+    return FittedModel(name, classes, m, m)
+
+
+def save_fitted(model: FittedModel, path: str, cleaner: CleanerModel | None = None):
+    """Any fitted model, composed ones (SVM, one-vs-rest) included: its stages and a row with name and classes.
+
+    With ``cleaner``, that is saved beside it, so new raw rows can be prepared as the training rows were."""
+    stage = model.stage if isinstance(model.stage, PipelineModel) else PipelineModel([model.stage])
+    stage.write().overwrite().save(f"{path}/stages")
+    spark = SparkSession.getActiveSession()
+    spark.createDataFrame([(model.name, model.classes)], "name string, classes array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/about")
+    if cleaner is not None:
+        FittedCleaner(cleaner).write().overwrite().save(f"{path}/cleaner")
+
+
+def load_fitted(spark: SparkSession, path: str) -> FittedModel:
+    """A model saved by ``save_fitted``; the same predictions as before."""
+    about = spark.read.parquet(f"{path}/about").first()
+    stage = PipelineModel.load(f"{path}/stages")
+    own = next((s for s in stage.stages if isinstance(s, Model) and not isinstance(s, OneVsRestScores)), None)
+    return FittedModel(about["name"], about["classes"], stage, own)
+
+
+def load_cleaner(path: str) -> CleanerModel:
+    """The cleaner saved beside a model."""
+    return FittedCleaner.load(f"{path}/cleaner").cleaner

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import clean as C
 from tessera.operators import features as FE
@@ -114,3 +115,21 @@ def test_e4_types_and_f7_xy(spark):
     ex = FE.get_X_y(df.withColumns({c: df["age"] for c in ["cp", "chol", "thalach", "exang", "oldpeak"]}),
                     extra_features=True).first()
     assert len(ex["features"]) == 13
+
+
+def test_codes_of_many_categories(spark):
+    n = 20_000
+    df = spark.range(2 * n).select((F.col("id") % n).cast("string").alias("c"), F.lit(1).alias("one"))
+    codes = C.fit_codes(df, ["c", "one"])
+    assert list(codes) == ["c"]
+    want = {v: i for i, v in enumerate(sorted(str(i) for i in range(n)))}
+    assert {r["v"]: r["code"] for r in codes["c"].collect()} == want
+    new = spark.createDataFrame([("0",), ("19999",), ("unseen",), (None,)], "c string")
+    got = {r["k"]: r["c"] for r in C.encode_categoricals(new.withColumn("k", F.col("c")), ["c"], codes).collect()}
+    assert got == {"0": 0, "19999": want["19999"], "unseen": -1, None: -1}
+
+
+def test_codes_of_an_empty_column(spark):
+    df = spark.createDataFrame([(None,), (None,)], "c string")
+    codes = C.fit_codes(df, ["c"])
+    assert codes["c"].count() == 0 and [r["c"] for r in C.encode_categoricals(df, ["c"], codes).collect()] == [-1, -1]

@@ -330,3 +330,47 @@ def test_neighbors_of_equal_rows_and_empty_tables(spark):
     assert N.radius_pairs(df, "id", "v", 0.0, cell_target=10).count() == 3600
     empty = df.filter("id < 0")
     assert N.knn(empty, "id", "v", 2).count() == 0 and N.radius_pairs(empty, "id", "v", 1.0).count() == 0
+
+
+def _same_predictions(a, b, df):
+    want = [(r["prediction"], r["probability"]) for r in a.transform(df).orderBy("id").collect()]
+    got = [(r["prediction"], r["probability"]) for r in b.transform(df).orderBy("id").collect()]
+    return got == want and len(got) == df.count()
+
+
+def test_composed_models_predict_the_same_after_reload(spark, tmp_path):
+    df = _toy(spark)
+    three = df.withColumn("label", F.when(F.col("id") % 3 == 0, 2.0).otherwise(F.col("label")))
+    fits = {"svm": (L.fit_rbf_svm(df, n_components=20), df), "gbt3": (L.fit_boosted_trees(three, n_rounds=2), three),
+            "forest": (L.fit_random_forest(df, n_trees=5), df)}
+    for name, (m, d) in fits.items():
+        L.save_fitted(m, f"{tmp_path}/{name}")
+        again = L.load_fitted(spark, f"{tmp_path}/{name}")
+        assert (again.name, again.classes) == (m.name, m.classes) and _same_predictions(m, again, d), name
+    forest = fits["forest"][0]
+    assert (L.load_fitted(spark, f"{tmp_path}/forest").feature_importances() == forest.feature_importances()).all()
+    with pytest.raises(ValueError):
+        L.save_model(fits["gbt3"][0], f"{tmp_path}/single")
+
+
+def test_cleaner_saved_beside_its_model(spark, tmp_path):
+    from tessera.operators import clean as C
+    rows = [(i, float(i % 7) if i % 5 else None, ["a", "b", None, "c"][i % 4], i % 3) for i in range(60)]
+    raw = spark.createDataFrame(rows, "id int, v double, c string, k int")
+    out, cleaner = C.fit_transform(raw, ["v"], ["c", "k"], {"v": 0.0, "k": [2]}, outliers="none")
+    m = L.fit_logistic(_toy(spark))
+    L.save_fitted(m, f"{tmp_path}/m", cleaner)
+    again = L.load_cleaner(f"{tmp_path}/m")
+    assert again.feature_names() == cleaner.feature_names() and again.scaler == cleaner.scaler
+    new = raw.unionByName(spark.createDataFrame([(99, 3.0, "unseen", 1)], raw.schema))
+    assert sorted(map(tuple, again.transform(new).collect())) == sorted(map(tuple, cleaner.transform(new).collect()))
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from tessera.operators.ml_stages import FittedCleaner
+    pipe = PipelineModel([FittedCleaner(cleaner), VectorAssembler(inputCols=cleaner.feature_names(), outputCol="features")])
+    pipe.write().overwrite().save(f"{tmp_path}/pipe")
+    a, b = (p.transform(new).orderBy("id").collect() for p in (pipe, PipelineModel.load(f"{tmp_path}/pipe")))
+    assert [r["features"] for r in a] == [r["features"] for r in b]
+    _, strange = C.fit_transform(raw, ["v"], [], {"v": lambda x: x < 0}, outliers="none")
+    with pytest.raises(ValueError):
+        FittedCleaner(strange).write().overwrite().save(f"{tmp_path}/strange")

@@ -68,3 +68,14 @@ def test_end_to_end_job(spark):
     for k in ("processed", "itemsets", "rules", "clustering", "cv", "classification", "regression"):
         assert out[k].count() >= 0
     assert out["clustering"].count() == 3 and out["classification"].count() == 2
+
+
+def test_stream_with_many_categories(spark, tmp_path):
+    n = 20_000
+    df = spark.range(n).select(F.col("id").cast("int").alias("id"), F.col("id").cast("double").alias("v"), F.concat(F.lit("c"), F.col("id")).alias("c"))
+    _, model = C.fit_transform(df, ["v"], ["c"], outliers="none")
+    df.write.parquet(str(tmp_path / "in"))
+    from tessera.streaming.clean_stream import clean_files_to_parquet
+    clean_files_to_parquet(spark, str(tmp_path / "in"), df.schema, model, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.agg(F.countDistinct("c"), F.min("c"), F.max("c")).first()[:3] == (n, 0, n - 1)

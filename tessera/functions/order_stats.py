@@ -3,8 +3,7 @@
 Spark's exact ``percentile`` aggregate keeps a map of every distinct value of
 the column inside the single final-aggregation task, and a ``Window`` without
 (or with a coarse) ``partitionBy`` sorts a whole group inside one task.  Both
-are fine for a few thousand rows and both break on a 100 TB table.  The two
-primitives here stay exact and keep every task bounded:
+are fine for a few thousand rows and both break on a 100 TB table.  The primitives here stay exact and keep every task bounded:
 
 ``values_at_ranks`` / ``exact_quantiles``
     1. one aggregate pass: count, min, max and ``percentile_approx`` (a
@@ -19,6 +18,10 @@ primitives here stay exact and keep every task bounded:
        partitioned by target.
     Only O(targets x bins) numbers ever reach the driver.
 
+``grouped_quantiles``
+    The same refinement per (group, column) for any number of groups: brackets
+    are rows of a table, and nothing but row counts reaches the driver.
+
 ``ordered_cumsum``
     Exact running sums (and row numbers) along an order key within groups:
     the key range is cut into buckets of ~``TARGET_ROWS_PER_TASK`` rows, each
@@ -34,7 +37,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import TARGET_ROWS_PER_TASK
+from tessera.session import TARGET_ROWS_PER_TASK, write_shared
 
 DEFAULT_ACCURACY = 10_000
 DEFAULT_MAX_BRACKET = 200_000
@@ -231,31 +234,59 @@ def exact_quantiles(df: DataFrame, cols: list, probs: list, **kw) -> dict:
     return out
 
 
-def grouped_quantiles(df: DataFrame, by: str, cols: list, probs: list, max_groups: int = 256, **kw) -> dict:
-    """Exact quantiles per value of a low-cardinality column (e.g. a class).
-
-    Every (group, column) pair becomes one masked column
-    ``CASE WHEN by = g THEN col END`` (nulls are ignored by the quantile), so
-    one run of :func:`exact_quantiles` answers all groups with the same
-    number of passes as an ungrouped call.  Returns ``{group: {(col, p): value}}``."""
-    groups = [r[0] for r in df.select(by).distinct().limit(max_groups + 1).collect()]
-    if len(groups) > max_groups:
-        raise ValueError(f"{by} has more than {max_groups} values; grouped quantiles need a class column")
-    groups = [g for g in groups if g is not None]
-    names, sel = {}, []
-    for gi, g in enumerate(groups):
-        for ci, c in enumerate(cols):
-            n = f"_q{gi}_{ci}"
-            names[n] = (g, c)
-            sel.append(F.when(F.col(by) == F.lit(g), F.col(c)).alias(n))
-    if not sel:
-        return {}
-    q = exact_quantiles(df.select(*sel), list(names), probs, **kw)
-    out: dict = {g: {} for g in groups}
-    for n, (g, c) in names.items():
-        for p in probs:
-            out[g][(c, p)] = q[(n, p)]
-    return out
+def keyed_values(df: DataFrame, by: str, cols: list) -> DataFrame:
+    """(g, c, x): one row per row and column, g the value of ``by`` (null groups are left out), x null or a number."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols])
+    long = df.filter(F.col(f"`{by}`").isNotNull()).select(F.col(f"`{by}`").alias("g"), F.explode(pairs).alias("s"))
+    return long.select("g", "s.c", F.when(~F.isnan("s.x"), F.col("s.x")).alias("x"))
+
+
+def grouped_quantiles(df: DataFrame, by: str, cols: list, probs: list, max_bracket: int = DEFAULT_MAX_BRACKET,
+                      bins: int = DEFAULT_BINS) -> DataFrame:
+    """Exact linear-interpolated quantiles per value of ``by`` and column: (g, c, n, q), q in the order of ``probs``.
+
+    The groups may be any number.  (group, column) is a key and the brackets of
+    the wanted ranks are a table: a histogram pass narrows those that hold more
+    than ``max_bracket`` values (a hot group; a value that fills a bucket alone
+    is found at once), then the rows inside the brackets are ranked, a window
+    per bracket.  Nulls and NaN do not count; a column without values has n = 0
+    and null quantiles."""
+    rows = keyed_values(df, by, cols)
+    stats = write_shared(rows.groupBy("g", "c").agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")), "groups")
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    ranks = F.array_distinct(F.array(*[f(a).cast("long") for a in at for f in (F.floor, F.ceil)]))
+    # a bracket: values lo..hi of a key, ``below`` values under it, ``inside`` values in it, and the ranks wanted from it
+    brackets = stats.filter("n > 0").select("g", "c", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"), ranks.alias("ranks"))
+    big = (F.col("inside") > max_bracket) & (F.col("lo") < F.col("hi"))
+    while not brackets.filter(big).isEmpty():
+        brackets = write_shared(brackets.filter(~big).unionByName(_narrowed(rows, brackets.filter(big), bins)), "brackets")
+    one = brackets.filter("lo = hi").select("g", "c", F.explode("ranks").alias("rank"), F.col("lo").alias("x"))
+    many = brackets.filter("lo < hi")
+    inside = rows.join(many, ["g", "c"]).filter("x >= lo AND x <= hi")
+    here = F.row_number().over(Window.partitionBy("g", "c", "lo").orderBy("x")) - 1 + F.col("below")
+    ranked = inside.withColumn("rank", here.cast("long")).filter(F.array_contains("ranks", F.col("rank"))).select("g", "c", "rank", "x")
+    values = one.unionByName(ranked).groupBy("g", "c").agg(F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("v"))
+    got = stats.select("g", "c", "n").join(values, ["g", "c"], "left")
+    q = []
+    for a in at:
+        lo, hi = F.element_at("v", F.floor(a).cast("long")), F.element_at("v", F.ceil(a).cast("long"))
+        q.append(F.when(F.ceil(a) == F.floor(a), lo).otherwise(lo + (hi - lo) * (a - F.floor(a))))
+    return got.select("g", "c", "n", F.array(*q).alias("q"))
+
+
+def _narrowed(rows: DataFrame, brackets: DataFrame, bins: int) -> DataFrame:
+    """One histogram pass: each wanted rank moves to the bucket of its bracket that holds it."""
+    width = F.col("hi") / bins - F.col("lo") / bins
+    place = F.nanvl((F.col("x") - F.col("lo")) / width, F.lit(bins / 2.0))           # infinite ends: the rest lies between them
+    k = (F.when(F.col("x") == F.col("lo"), 0).when(F.col("x") == F.col("hi"), bins - 1)
+         .otherwise(F.least(F.lit(bins - 1), F.floor(place).cast("int"))))
+    hist = (rows.join(brackets, ["g", "c"]).filter("x >= lo AND x <= hi").withColumn("k", k)
+                .groupBy("g", "c", F.col("lo").alias("old"), "k").agg(F.count(F.lit(1)).alias("inside"), F.min("x").alias("lo"), F.max("x").alias("hi"),
+                                                                     F.first("below").alias("base"), F.first("ranks").alias("all")))
+    up = Window.partitionBy("g", "c", "old").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)     # at most ``bins`` rows
+    hist = hist.withColumn("below", F.col("base") + F.coalesce(F.sum("inside").over(up), F.lit(0)))
+    mine = F.filter("all", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("inside")))
+    return hist.withColumn("ranks", mine).filter(F.size("ranks") > 0).select("g", "c", "lo", "hi", "below", "inside", "ranks")
 
 
 # ---------------------------------------------------------------- running sums

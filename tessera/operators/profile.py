@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.order_stats import exact_quantiles, grouped_quantiles
+from tessera.functions.order_stats import exact_quantiles, grouped_quantiles, keyed_values
+from tessera.session import write_shared
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -172,35 +173,19 @@ def histogram(df: DataFrame, cols: list | None = None, bins: int = 30, exclude=(
 
 # E12
 def box_stats(df: DataFrame, target: str, cols: list | None = None, whisker: float = 1.5) -> DataFrame:
-    """Per class and column: Q1, median, Q3, whiskers (extreme data inside the fences), flier count."""
+    """Per class and column: Q1, median, Q3, whiskers (extreme data inside the fences), flier count.
+
+    Any number of classes: quartiles and fences are a table that the rows are joined with."""
     cols = list(cols or numeric_columns(df, exclude=[target]))
     q = grouped_quantiles(df, target, cols, [0.25, 0.5, 0.75])
-    out = []
-    for c in cols:
-        x = F.col(f"`{c}`").cast("double")
-        lo_map, hi_map = [], []
-        for g, qq in q.items():
-            if qq[(c, 0.25)] is None:
-                continue
-            iqr = qq[(c, 0.75)] - qq[(c, 0.25)]
-            lo_map += [F.lit(g), F.lit(qq[(c, 0.25)] - whisker * iqr)]
-            hi_map += [F.lit(g), F.lit(qq[(c, 0.75)] + whisker * iqr)]
-        if not lo_map:
-            continue
-        lo = F.element_at(F.create_map(*lo_map), F.col(target))
-        hi = F.element_at(F.create_map(*hi_map), F.col(target))
-        inside = (x >= lo) & (x <= hi)
-        agg = (df.filter(F.col(target).isNotNull()).groupBy(target)
-                 .agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
-                      F.count_if(x.isNotNull() & ~inside).cast("long").alias("n_fliers")))
-        qrows = [(g, c, qq[(c, 0.25)], qq[(c, 0.5)], qq[(c, 0.75)]) for g, qq in q.items() if g is not None]
-        qdf = df.sparkSession.createDataFrame(qrows, f"{target} {df.schema[target].dataType.simpleString()}, "
-                                                     "column_name string, q1 double, median double, q3 double")
-        out.append(F.broadcast(qdf).join(agg, target, "inner"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res.select(target, "column_name", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_fliers")
+    box = write_shared(q.select("g", "c", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")), "boxes")
+    reach = F.lit(whisker) * (F.col("q3") - F.col("q1"))
+    x = F.col("x")
+    inside = (x >= F.col("q1") - reach) & (x <= F.col("q3") + reach)
+    res = (keyed_values(df, target, cols).join(box, ["g", "c"]).groupBy("g", "c", "q1", "median", "q3")
+           .agg(F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
+                F.count_if(x.isNotNull() & ~inside).cast("long").alias("n_fliers")))
+    return res.select(F.col("g").alias(target), F.col("c").alias("column_name"), "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_fliers")
 
 
 # E13

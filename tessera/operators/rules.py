@@ -1,30 +1,36 @@
 """Association rules.
 
-Frequent itemsets are mined level-wise on the ``array<string>`` transaction
-column itself: no (tid, item) self-joins.  At level k each row expands its
-own frequent (k-1)-subsets by one larger item, keeps the candidates (a hash
-``IN`` set inlined in the plan), and the explode feeds a partial
-(map-side) ``groupBy`` count, so per-row work is bounded by the row's width
-and the shuffle carries at most one count per itemset per task.
-
-Size bound that makes the inlined sets safe: an itemset of size k is
-frequent only if it has at least ``min_support * n`` supporting rows, and a
-row supports at most ``C(w, k)`` k-sets (``w`` = row width), so there are at
-most ``C(w, k) / min_support`` frequent k-sets whatever ``n`` is.  Above
-``MAX_INLINE_CANDIDATES`` the candidates are joined instead of inlined.
+Frequent itemsets are mined level by level, and every level is a table: only
+row counts reach the driver.
+
+1. Equal transactions collapse to one row with a weight, so a hot group of
+   copies costs one row.
+2. Items, then pairs of frequent items, are counted from the rows themselves (an
+   explode into a partial ``groupBy``): pairs that never meet cost nothing.
+3. From three items on, candidates come from a self-join of the level before on
+   all items but the last, and lose those with an infrequent subset.  They are
+   counted with bitmaps: each itemset has one bitmap of 32,768 transactions per
+   bucket, and a candidate's is the AND of its two parents'.  A weight is spread
+   over binary digits: a row of weight 5 is a transaction of plane 0 and one of
+   plane 2, and a bit of plane b counts 2^b.
+
+An itemset of size k is frequent only if it has at least ``min_support * n``
+supporting rows, and a row supports at most ``C(w, k)`` k-sets (``w`` = row
+width), so there are at most ``C(w, k) / min_support`` frequent k-sets whatever
+``n`` is; joins with the level tables are broadcast while their files are small.
 """
 
 from __future__ import annotations
 
 import math
-import itertools
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEP = "\u0001"
-MAX_INLINE_CANDIDATES = 50_000
+from tessera.session import write_shared
 
 ITEMSET_SCHEMA = "items array<string>, freq bigint, support double, length int"
 RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, antecedent_support double, "
@@ -32,39 +38,11 @@ RULE_SCHEMA = ("antecedents array<string>, consequents array<string>, antecedent
                "leverage double, conviction double")
 
 
-def _key(s: Column) -> Column:
-    return F.array_join(s, SEP)
-
-
 def prepare_transactions(tx: DataFrame, items: str = "items") -> DataFrame:
     """Distinct, sorted, non-null items per row (duplicates in a row collapse)."""
     return tx.select(F.sort_array(F.array_distinct(F.filter(F.col(items), lambda x: x.isNotNull()))).alias("items"))
 
 
-def _apriori_gen(prev: list) -> list:
-    """Candidates of size k from frequent (k-1)-sets (sorted tuples):
-    join on the first k-2 items, then prune by the Apriori property."""
-    prev_set = set(prev)
-    prev = sorted(prev)
-    out = []
-    by_prefix: dict = {}
-    for s in prev:
-        by_prefix.setdefault(s[:-1], []).append(s[-1])
-    for prefix, lasts in by_prefix.items():
-        lasts = sorted(lasts)
-        for i, a in enumerate(lasts):
-            for b in lasts[i + 1:]:
-                cand = prefix + (a, b)
-                if all(sub in prev_set for sub in itertools.combinations(cand, len(cand) - 1)):
-                    out.append(cand)
-    return out
-
-
-def _member_of(keys: list):
-    # more than 10 literals: the optimizer turns IN into a hash-set lookup
-    return lambda s: _key(s).isin(keys)
-
-
 def least_count(min_support: float, n: int) -> int:
     """Smallest count whose support ``count / n`` reaches ``min_support``
     (the product ``min_support * n`` may round above it)."""
@@ -75,56 +53,90 @@ def least_count(min_support: float, n: int) -> int:
 
 
 def frequent_itemsets(tx: DataFrame, items: str = "items", min_support: float = 0.1,
-                      max_len: int | None = 4, persist: bool = True) -> DataFrame:
+                      max_len: int | None = 4) -> DataFrame:
     """Level-wise (Apriori) frequent itemsets: ``support = freq / n >= min_support``
-    over all ``n`` rows (empty rows included), size <= ``max_len``."""
+    over all ``n`` rows (empty rows included), size <= ``max_len`` (None: any)."""
     spark = tx.sparkSession
-    t = prepare_transactions(tx, items)
-    if persist:
-        t = t.persist(StorageLevel.MEMORY_AND_DISK)
-    n = t.count()
-    if n == 0:
+    distinct = write_shared(prepare_transactions(tx, items).groupBy("items").agg(F.count(F.lit(1)).alias("w")), "transactions")
+    n = distinct.agg(F.sum("w")).first()[0]
+    if not n or (max_len is not None and max_len < 1):
         return spark.createDataFrame([], ITEMSET_SCHEMA)
-    min_count = least_count(min_support, n)
-    l1 = (t.select(F.explode("items").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
-            .filter(F.col("freq") >= F.lit(min_count)).collect())
-    levels = {1: {(r["item"],): int(r["freq"]) for r in l1}}
-    singles = sorted(s[0] for s in levels[1])
-    k = 2
-    while levels[k - 1] and (max_len is None or k <= max_len):
-        cands = _apriori_gen(list(levels[k - 1]))
-        if not cands:
-            break
-        counts = _count_level(t, singles, levels, cands, k, min_count)
-        levels[k] = counts
+    least = F.lit(least_count(min_support, n))
+
+    def counted(sets: DataFrame) -> DataFrame:
+        return write_shared(sets.groupBy("items").agg(F.sum("w").alias("freq")).filter(F.col("freq") >= least), "itemsets")
+
+    levels = [counted(distinct.select(F.explode("items").alias("i"), "w").select(F.array("i").alias("items"), "w"))]
+    if max_len is None or max_len > 1:
+        rows = _frequent_rows(distinct, levels[0])
+        levels.append(counted(rows.select(F.explode(_pairs("items")).alias("items"), "w")))
+    k, bits = 3, None
+    while (max_len is None or k <= max_len) and not levels[-1].isEmpty():
+        if bits is None:
+            bits = _pair_bitmaps(rows, levels[1])
+        cand = _candidates(levels[-1], k)
+        met = write_shared(_meet(cand.select("items", F.col("left").alias("x"), F.col("right").alias("y")), bits, "items"), "bitmaps")
+        weight = F.bitmap_count("bits") * F.expr("shiftleft(1L, plane)")
+        levels.append(counted(met.select("items", weight.alias("w"))))
+        bits = met.join(levels[-1].select("items"), "items", "left_semi")
         k += 1
-    rows = [(list(s), f, f / n, len(s)) for lv in levels.values() for s, f in lv.items()]
-    if persist:
-        t.unpersist()
-    return spark.createDataFrame(rows, ITEMSET_SCHEMA)
-
-
-def _count_level(t: DataFrame, singles: list, levels: dict, cands: list, k: int, min_count: int) -> dict:
-    inline = len(cands) + sum(len(v) for v in levels.values()) <= MAX_INLINE_CANDIDATES
-    f = F.filter("items", lambda x: x.isin(singles))
-    sets = F.transform(f, lambda x: F.array(x))
-    for j in range(2, k + 1):
-        ext = F.flatten(F.transform(sets, lambda s: F.transform(
-            F.filter(f, lambda y: y > F.element_at(s, -1)), lambda y: F.concat(s, F.array(y)))))
-        if not inline:
-            sets = ext
-            continue
-        keep = [SEP.join(c) for c in (cands if j == k else levels[j])]
-        sets = F.filter(ext, _member_of(keep))
-    exploded = t.select(F.explode(sets).alias("s"))
-    if inline:
-        counted = exploded.groupBy(_key(F.col("s")).alias("key")).agg(F.count(F.lit(1)).alias("freq"))
-    else:
-        cdf = t.sparkSession.createDataFrame([(SEP.join(c),) for c in cands], "key string")
-        counted = (exploded.select(_key(F.col("s")).alias("key")).join(cdf, "key", "left_semi")
-                          .groupBy("key").agg(F.count(F.lit(1)).alias("freq")))
-    rows = counted.filter(F.col("freq") >= F.lit(min_count)).collect()
-    return {tuple(r["key"].split(SEP)): int(r["freq"]) for r in rows}
+    found = levels[0]
+    for one in levels[1:]:
+        found = found.unionByName(one)
+    return found.select("items", F.col("freq").cast("bigint").alias("freq"), (F.col("freq") / F.lit(float(n))).alias("support"),
+                        F.size("items").alias("length"))
+
+
+def _frequent_rows(distinct: DataFrame, singles: DataFrame) -> DataFrame:
+    """Transactions without their infrequent items, again collapsed; those of fewer than two items support no larger set."""
+    one = singles.select(F.col("items")[0].alias("i"))
+    known = (distinct.withColumn("t", F.monotonically_increasing_id()).select("t", "w", F.explode("items").alias("i")).join(one, "i"))
+    kept = known.groupBy("t", "w").agg(F.sort_array(F.collect_list("i")).alias("items")).filter(F.size("items") > 1)
+    return write_shared(kept.groupBy("items").agg(F.sum("w").alias("w")), "transactions")
+
+
+def _pairs(items: str):
+    """All two-element subsets of a sorted array."""
+    return F.flatten(F.transform(items, lambda x, i: F.transform(F.slice(items, i + 2, F.size(items)), lambda y: F.array(x, y))))
+
+
+def _pair_bitmaps(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(items, plane, bucket, bits) of the frequent pairs."""
+    digits = F.expr("filter(sequence(0, 62), b -> shiftright(w, b) & 1 = 1)")
+    # rows of a plane lie together, so that their numbers share buckets
+    tids = write_shared(rows.select("items", F.explode(digits).alias("plane")).sortWithinPartitions("plane")
+                        .withColumn("tid", F.monotonically_increasing_id()), "transactions")
+    single = (tids.select(F.explode("items").alias("i"), "plane", F.bitmap_bucket_number("tid").alias("bucket"), F.bitmap_bit_position("tid").alias("bit"))
+                  .groupBy("i", "plane", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    single = write_shared(single.select(F.array("i").alias("items"), "plane", "bucket", "bits"), "bitmaps")
+    parents = pairs.select("items", F.array(F.col("items")[0]).alias("x"), F.array(F.col("items")[1]).alias("y"))
+    return write_shared(_meet(parents, single, "items"), "bitmaps")
+
+
+def _candidates(level: DataFrame, k: int) -> DataFrame:
+    """(items, left, right): k-sets whose subsets of k - 1 items are all in ``level``; left and right lack the
+    last and the last but one item."""
+    head = level.select(F.slice("items", 1, k - 2).alias("head"), F.element_at("items", -1).alias("last"), F.col("items").alias("set"))
+    a, b = head.select("head", F.col("last").alias("p"), F.col("set").alias("left")), head.select("head", F.col("last").alias("q"), F.col("set").alias("right"))
+    cand = a.join(b, "head").filter("p < q").select(F.concat("left", F.array("q")).alias("items"), "left", "right")
+    # the other subsets lack one item of the head
+    rest = F.transform(F.sequence(F.lit(0), F.lit(k - 3)), lambda j: F.filter("items", lambda x, i: i != j))
+    whole = (cand.select("items", F.explode(rest).alias("sub")).join(level.select(F.col("items").alias("sub")), "sub", "left_semi")
+                 .groupBy("items").count().filter(F.col("count") == k - 2).select("items"))
+    return cand.join(whole, "items")
+
+
+def _both(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([np.bitwise_and(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)).tobytes() for x, y in zip(a, b)], dtype=object)
+
+
+def _meet(parents: DataFrame, bits: DataFrame, key: str) -> DataFrame:
+    """(items, plane, bucket, bits): the AND of the bitmaps of ``x`` and ``y``; empty ones are left out."""
+    left = bits.select(F.col(key).alias("x"), "plane", "bucket", F.col("bits").alias("bx"))
+    right = bits.select(F.col(key).alias("y"), "plane", "bucket", F.col("bits").alias("by"))
+    both = F.pandas_udf(_both, "binary")
+    met = parents.join(left, "x").join(right, ["y", "plane", "bucket"])
+    return met.select("items", "plane", "bucket", both("bx", "by").alias("bits")).filter(F.bitmap_count("bits") > 0)
 
 
 def fpgrowth_itemsets(tx: DataFrame, items: str = "items", min_support: float = 0.1,
@@ -157,8 +169,8 @@ def top_itemsets(itemsets: DataFrame, n: int = 10) -> DataFrame:
 def generate_rules(itemsets: DataFrame, min_confidence: float = 0.6) -> DataFrame:
     """Every non-empty proper split A -> C of every itemset of size >= 2.
 
-    The itemset table is bounded (see module doc), so the two support
-    lookups are broadcast joins on the sorted item arrays."""
+    The two support lookups are joins on the sorted item arrays; Spark broadcasts
+    the itemset table while it is small (see the bound in the module doc)."""
     big = itemsets.filter(F.col("length") >= 2)
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.col("length")).cast("int") - 2)
     splits = big.select("items", "support", F.explode(masks).alias("m"))
@@ -168,10 +180,8 @@ def generate_rules(itemsets: DataFrame, min_confidence: float = 0.6) -> DataFram
     cons = F.filter("items", lambda x, i: bit(i) == 0)
     r = splits.select(ante.alias("antecedents"), cons.alias("consequents"), "support")
     sup = itemsets.select("items", F.col("support").alias("s"))
-    r = (r.join(F.broadcast(sup.withColumnRenamed("items", "antecedents").withColumnRenamed("s", "antecedent_support")),
-                "antecedents")
-          .join(F.broadcast(sup.withColumnRenamed("items", "consequents").withColumnRenamed("s", "consequent_support")),
-                "consequents"))
+    r = (r.join(sup.withColumnRenamed("items", "antecedents").withColumnRenamed("s", "antecedent_support"), "antecedents")
+          .join(sup.withColumnRenamed("items", "consequents").withColumnRenamed("s", "consequent_support"), "consequents"))
     conf = F.col("support") / F.col("antecedent_support")
     # lift as s / (sa * sc): symmetric, so A->C and C->A tie exactly
     r = r.withColumn("confidence", conf).withColumn(

@@ -1,5 +1,7 @@
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.sql import functions as F
 
 from tessera.functions import order_stats as OS
 from tests.conftest import approx
@@ -46,3 +48,35 @@ def test_ordered_cumsum_many_buckets(spark, monkeypatch):
     desc = OS.ordered_cumsum(df, "k", ["v"], descending=True, with_totals=True).toPandas().sort_values("k")
     assert list(desc["cum_v"]) == list(pdf.sort_values("k")["v"][::-1].cumsum()[::-1])
     assert set(desc["tot_v"]) == {pdf["v"].sum()}
+
+
+@pytest.mark.parametrize("max_bracket,bins", [(200_000, 1024), (20, 4), (1, 2)])
+def test_grouped_quantiles_against_numpy(spark, max_bracket, bins):
+    rng = np.random.default_rng(bins)
+    rows = []
+    for g, n in (("a", 400), ("b", 1), ("c", 37), ("hot", 900), ("none", 3)):
+        for i in range(n):
+            x = None if g == "none" else float(rng.choice([rng.normal(), 7.0, 7.0]) if g == "hot" else rng.integers(-5, 6) * 1.5)
+            rows.append((g, x, None if i % 3 else float("inf") if i % 2 else float(i)))
+    rows += [(None, 1.0, 1.0), ("c", float("nan"), 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r["g"], r["c"]): (r["n"], r["q"]) for r in OS.grouped_quantiles(df, "g", ["x", "y"], probs, max_bracket=max_bracket, bins=bins).collect()}
+    assert len(got) == 10
+    for (g, c), (n, q) in got.items():
+        v = [r["xy".index(c) + 1] for r in rows if r[0] == g]
+        v = [x for x in v if x is not None and not np.isnan(x)]
+        assert n == len(v)
+        if not v:
+            assert q == [None] * 5
+        elif c == "x":
+            assert np.allclose(q, np.quantile(v, probs), rtol=1e-12, atol=1e-12), (g, c)
+        else:
+            assert q[0] == min(v) and q[-1] == max(v)
+
+
+def test_grouped_quantiles_of_many_groups(spark):
+    n = 10_000
+    df = spark.range(3 * n).select((F.col("id") % n).alias("k"), (F.floor(F.col("id") / n) * 2.0 + F.col("id") % n).alias("x"))
+    out = OS.grouped_quantiles(df, "k", ["x"], [0.25, 0.5]).select("g", "n", F.col("q")[0].alias("a"), F.col("q")[1].alias("b"))
+    assert out.count() == n and out.filter("n <> 3 OR a <> g + 1.0 OR b <> g + 2.0").count() == 0

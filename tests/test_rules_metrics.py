@@ -21,12 +21,6 @@ def test_h10_itemsets_apriori_equals_fpgrowth(spark):
     assert _sets(A.frequent_itemsets(tx, min_support=0.5, max_len=1)) == {k: v for k, v in exp.items() if len(k) == 1}
 
 
-def test_join_fallback_same_itemsets(spark, monkeypatch):
-    tx = spark.createDataFrame(TX, "tid int, items array<string>")
-    monkeypatch.setattr(A, "MAX_INLINE_CANDIDATES", 0)
-    assert len(_sets(A.frequent_itemsets(tx, min_support=0.5))) == 7
-
-
 def test_h11_rules(spark):
     tx = spark.createDataFrame(TX, "tid int, items array<string>")
     fi = A.frequent_itemsets(tx, min_support=0.5)
@@ -98,3 +92,23 @@ def test_classification_report(spark):
     df = spark.createDataFrame(list(zip([0, 0, 1, 2], [0, 1, 1, 1])), "y int, p int")
     rep = {r["class"]: r for r in M.classification_report(df, "y", "p").collect()}
     assert approx(rep["accuracy"]["f1"], 0.5) and rep["macro avg"]["support"] == 4
+
+
+@pytest.mark.parametrize("seed,support,max_len", [(1, 0.2, 4), (2, 0.05, None), (3, 0.5, 3), (4, 0.3, 1)])
+def test_apriori_against_counting_all_sets(spark, seed, support, max_len):
+    import itertools
+    import random
+    from collections import Counter
+    g = random.Random(seed)
+    rows = [[x for x in "abcdefg" if g.random() < 0.55] + ["a"] for _ in range(40)] + [["a", "c", "d", "e"]] * 37 + [[], None, ["z", None, "z"]]
+    df = spark.createDataFrame([(r,) for r in rows], "items array<string>").repartition(5)
+    got = {tuple(r["items"]): (r["freq"], r["support"], r["length"]) for r in A.frequent_itemsets(df, "items", support, max_len).collect()}
+    n = Counter(s for r in rows for t in [sorted({x for x in r or [] if x})] for k in range(1, min(len(t), max_len or 9) + 1) for s in itertools.combinations(t, k))
+    assert got == {s: (c, c / len(rows), len(s)) for s, c in n.items() if c / len(rows) >= support}
+
+
+def test_apriori_of_no_rows_and_no_frequent_items(spark):
+    none = spark.createDataFrame([], "items array<string>")
+    assert A.frequent_itemsets(none, "items", 0.1).count() == 0
+    lone = spark.createDataFrame([([str(i)],) for i in range(30)], "items array<string>")
+    assert A.frequent_itemsets(lone, "items", 0.5).count() == 0 and A.frequent_itemsets(lone, "items", 0.01).count() == 30

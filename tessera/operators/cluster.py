@@ -1,126 +1,216 @@
 """Clustering (K0-K10) and cluster validity.
 
 Inputs are a row id plus a feature column (array or ML vector).  Validity
-scores use per-cluster sums (count, sum of x, sum of |x|^2), so they cost a
-couple of aggregate passes of O(n * k * d) and never pair rows:
-
-* silhouette: squared-Euclidean silhouette from the sufficient statistics
-  (sum over a cluster of |x - y|^2 = n|x|^2 - 2 x.S + Q); the exact
-  Euclidean variant needs every pair of rows and is not offered at scale
-  (see README);
-* Davies-Bouldin and Calinski-Harabasz: exact, from centroids.
+scores rest on a table with one row per cluster (size, centre, sum of squared
+and mean distance to it), so any number of clusters works:
+
+* silhouette: with squared Euclidean distance from that table (the mean of
+  |x - y|^2 over a cluster is |x - c|^2 plus the cluster's mean square), or
+  ``mode="euclidean"``, exact, which compares all rows in tile pairs: n^2
+  distances, for tables where that is affordable;
+* Davies-Bouldin: tiles of clusters against tiles of clusters;
+* Calinski-Harabasz and inertia: sums over the table.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.order_stats import ordered_cumsum
-from tessera.operators.neighbors import dist, radius_pairs, sq_dist, to_array
-from tessera.session import cut_lineage
+from tessera.operators.neighbors import compare_tiles, radius_pairs, sq_dist, to_array
+from tessera.operators.pivot_tree import sq_distances
+from tessera.session import cut_lineage, write_shared
 
 
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
-def _vec(df: DataFrame, features: str) -> DataFrame:
-    return df.withColumn("_x", to_array(df, features))
+CENTRE_BYTES = 32 << 20       # centres up to this size are broadcast for the silhouette; beyond it they meet the rows in tiles
 
 
 # ------------------------------------------------------------------ stats
-def cluster_stats(df: DataFrame, features: str, cluster: str = "cluster", exclude_noise: bool = True) -> list:
-    """[(cluster, n, sum vector, sum of squared norms)] - one row per cluster."""
-    d = _vec(df, features)
-    if exclude_noise:
-        d = d.filter(F.col(cluster) != -1)
-    dim = len(d.select("_x").first()[0]) if d.select("_x").first() else 0
-    g = d.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
-                               F.array(*[F.sum(F.col("_x")[i]) for i in range(dim)]).alias("s"),
-                               F.sum(_dot(F.col("_x"), F.col("_x"))).alias("q"))
-    return sorted((r[cluster], int(r["n"]), np.array(r["s"], dtype=float), float(r["q"])) for r in g.collect())
+def _members(df: DataFrame, features: str, cluster: str) -> DataFrame:
+    """(k, x) of the rows that are not noise."""
+    return df.filter(F.col(cluster) != -1).select(F.col(cluster).alias("k"), to_array(df, features).alias("x"))
+
+
+def _sq(a: str, b: str, dim: int) -> Column:
+    """Squared distance of two array columns, unrolled for code generation."""
+    terms = [(F.col(a)[i] - F.col(b)[i]) * (F.col(a)[i] - F.col(b)[i]) for i in range(dim)]
+    return sum(terms[1:], terms[0]) if terms else F.lit(0.0)
+
+
+def cluster_stats(df: DataFrame, features: str, cluster: str = "cluster") -> DataFrame:
+    """One row per cluster, noise (-1) left out: k, j (a number), n, centre c, w (sum of squared
+    distances to c), m (mean distance to c).  Two passes over the rows; written, so it is computed once."""
+    rows = _members(df, features, cluster)
+    head = rows.select(F.size("x")).first()
+    if head is None:
+        kind = df.schema[cluster].dataType.simpleString()
+        return df.sparkSession.createDataFrame([], f"k {kind}, j long, n long, c array<double>, w double, m double")
+    dim = head[0]
+    table = write_shared(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("x")[i]) for i in range(dim)]).alias("c"))
+                         .withColumn("j", F.monotonically_increasing_id()), "clusters")
+    d2 = _sq("x", "c", dim)
+    spread = rows.join(table, "k").select("k", d2.alias("d2")).groupBy("k").agg(F.sum("d2").alias("w"), F.avg(F.sqrt("d2")).alias("m"))
+    return write_shared(table.join(spread, "k").select("k", "j", "n", F.col("c").cast("array<double>").alias("c"), "w", "m"), "clusters")
 
 
 # ------------------------------------------------------------------ M9
-def silhouette_sq(df: DataFrame, features: str, cluster: str = "cluster", stats: list | None = None) -> float | None:
+def _squared_scores(X, own, C, v, n):
+    """(a, b) per row: mean squared distance within its own cluster (numbered ``own``; -1: not among these) and to the nearest other one."""
+    a, b = np.full(len(X), np.nan), np.full(len(X), np.inf)
+    step = max(1, 4_000_000 // len(C))
+    for lo in range(0, len(X), step):
+        at = np.arange(lo, min(lo + step, len(X)))
+        d = sq_distances(X[at], C) + v[None, :]
+        has = np.flatnonzero(own[at] >= 0)
+        mine = own[at][has]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            a[at[has]] = np.where(n[mine] > 1, d[has, mine] * n[mine] / (n[mine] - 1), np.nan)
+        d[has, mine] = np.inf
+        b[at] = d.min(1)
+    return a, b
+
+
+def _score(a: Column, b: Column) -> Column:
+    """Silhouette of a row; members of singletons (no ``a``) score 0."""
+    top = F.greatest(a, b)
+    return F.when(a.isNull() | F.isnan(a) | (top <= 0), F.lit(0.0)).otherwise((b - a) / top)
+
+
+def silhouette_sq(df: DataFrame, features: str, cluster: str = "cluster", stats: DataFrame | None = None,
+                  centre_bytes: int = CENTRE_BYTES) -> float | None:
     """Mean silhouette with squared Euclidean distance (noise excluded).
     Singletons score 0; a(i) averages over the other members of i's cluster.
 
-    The sums are taken around the overall mean, so data far from the origin
-    lose no digits.  ``stats`` (raw sums) only supply that mean."""
-    stats = stats or cluster_stats(df, features, cluster)
-    if len(stats) < 2:
+    Every row meets every centre: from a broadcast while the centres' size, which
+    is checked, is at most ``centre_bytes``, else in tiles.  Distances are taken
+    around the centres' mean, so data far from the origin lose no digits."""
+    stats = cluster_stats(df, features, cluster) if stats is None else stats
+    k = stats.count()
+    if k < 2:
         return None
-    mean = F.lit((sum(s[2] for s in stats) / sum(s[1] for s in stats)).tolist())
-    df = df.select(cluster, F.zip_with(to_array(df, features), mean, lambda x, m: x - m).alias("_c"))
-    features = "_c"
-    stats = cluster_stats(df, features, cluster)
-    labels = [s[0] for s in stats]
-    ns = F.lit([float(s[1]) for s in stats])
-    S = F.lit([s[2].tolist() for s in stats])
-    Q = F.lit([s[3] for s in stats])
-    d = _vec(df, features).filter(F.col(cluster) != -1)
-    own = F.array_position(F.lit(labels), F.col(cluster)).cast("int")
-    xx = _dot(F.col("_x"), F.col("_x"))
-    tot = F.transform(F.sequence(F.lit(1), F.lit(len(stats))),
-                      lambda j: F.element_at(ns, j) * F.col("_xx") - 2 * _dot(F.col("_x"), F.element_at(S, j))
-                      + F.element_at(Q, j))
-    d = d.withColumn("_xx", xx).withColumn("_own", own).withColumn("_tot", tot)
-    n_own = F.element_at(ns, F.col("_own"))
-    a = F.when(n_own > 1, F.element_at("_tot", F.col("_own")) / (n_own - 1))
-    others = F.filter(F.transform(F.sequence(F.lit(1), F.lit(len(stats))),
-                                  lambda j: F.when(j != F.col("_own"), F.element_at("_tot", j) / F.element_at(ns, j))),
-                      lambda v: v.isNotNull())
-    b = F.array_min(others)
-    s = F.when(a.isNull(), F.lit(0.0)).otherwise(
-        F.when(F.greatest(a, b) > 0, (b - a) / F.greatest(a, b)).otherwise(F.lit(0.0)))
-    return d.agg(F.avg(s)).collect()[0][0]
+    dim = len(stats.select("c").first()[0])
+    rows = _members(df, features, cluster).join(stats.select("k", "j"), "k").select("x", "j")
+    if k * (dim + 3) * 8 <= centre_bytes:
+        pdf = stats.select("j", "n", "c", (F.col("w") / F.col("n")).alias("v")).toPandas().sort_values("j")
+        C = np.stack(pdf["c"].to_numpy()).astype(float)
+        about = (pdf["j"].to_numpy(), pdf["n"].to_numpy(float), C - C.mean(0), pdf["v"].to_numpy(float), C.mean(0))
+        shared = df.sparkSession.sparkContext.broadcast(about)
+
+        def run(batches):
+            j, n, centre, v, origin = shared.value
+            for b in batches:
+                if len(b):
+                    got = _squared_scores(np.stack(b["x"].to_numpy()).astype(float) - origin, np.searchsorted(j, b["j"].to_numpy()), centre, v, n)
+                    yield pd.DataFrame({"a": got[0], "b": got[1]})
+        scored = rows.mapInPandas(run, "a double, b double")
+    else:
+        held = write_shared(rows.withColumn("_id", F.monotonically_increasing_id()), "members")
+        homes = stats.select(F.col("j").alias("_id"), F.concat("c", F.array(F.col("w") / F.col("n"), F.col("n").cast("double"))).alias("_v"))
+        asks = held.select("_id", F.concat("x", F.array(F.col("j").cast("double"))).alias("_v"))
+
+        def tile(home, ask):
+            H, Q = np.stack(home["_v"].to_numpy()), np.stack(ask["_v"].to_numpy())
+            at = {i: p for p, i in enumerate(home["_id"])}
+            own = np.array([at.get(int(j), -1) for j in Q[:, dim]])
+            origin = H[:, :dim].mean(0)
+            a, b = _squared_scores(Q[:, :dim] - origin, own, H[:, :dim] - origin, H[:, dim], H[:, dim + 1])
+            return pd.DataFrame({"_id": ask["_id"].to_numpy(), "a": a, "b": b})
+        parts = compare_tiles(homes, asks, tile, "_id long, a double, b double")
+        scored = parts.groupBy("_id").agg(F.max(F.when(~F.isnan("a"), F.col("a"))).alias("a"), F.min("b").alias("b"))
+    return scored.agg(F.avg(_score(F.col("a"), F.col("b")))).first()[0]
+
+
+def silhouette_euclidean(df: DataFrame, features: str, cluster: str = "cluster", stats: DataFrame | None = None) -> float | None:
+    """Mean silhouette with Euclidean distance, exact (noise excluded, singletons score 0).
+
+    All rows are compared in pairs of row tiles: n^2 distances in all, at most two
+    tiles in a task, and only each row's sum per cluster of a tile leaves it."""
+    stats = cluster_stats(df, features, cluster) if stats is None else stats
+    if stats.count() < 2:
+        return None
+    dim = len(stats.select("c").first()[0])
+    rows = _members(df, features, cluster).join(stats.select("k", "j"), "k").select("x", "j")
+    held = write_shared(rows.withColumn("_id", F.monotonically_increasing_id()), "members")
+    points = held.select("_id", F.concat("x", F.array(F.col("j").cast("double"))).alias("_v"))
+
+    def tile(home, ask):
+        H, Q = np.stack(home["_v"].to_numpy()), np.stack(ask["_v"].to_numpy())
+        groups, member = np.unique(H[:, dim], return_inverse=True)
+        sums = np.zeros((len(Q), len(groups)))
+        for i in range(len(Q)):                   # from differences: no digits are lost
+            sums[i] = np.bincount(member, weights=np.sqrt(((H[:, :dim] - Q[i, :dim]) ** 2).sum(1)), minlength=len(groups))
+        return pd.DataFrame({"_id": np.repeat(ask["_id"].to_numpy(), len(groups)), "own": np.repeat(Q[:, dim], len(groups)).astype("i8"),
+                             "j": np.tile(groups.astype("i8"), len(Q)), "d": sums.ravel()})
+    per = (compare_tiles(points, None, tile, "_id long, own long, j long, d double").groupBy("_id", "own", "j").agg(F.sum("d").alias("d"))
+           .join(stats.select("j", "n"), "j"))
+    same = F.col("own") == F.col("j")
+    scored = per.groupBy("_id").agg(F.max(F.when(same & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"),
+                                    F.min(F.when(~same, F.col("d") / F.col("n"))).alias("b"))
+    return scored.agg(F.avg(_score(F.col("a"), F.col("b")))).first()[0]
+
+
+def silhouette(df: DataFrame, features: str, cluster: str = "cluster", mode: str = "squared") -> float | None:
+    """M9 by ``mode``: "squared" (any table) or "euclidean" (n^2 distances)."""
+    return {"squared": silhouette_sq, "euclidean": silhouette_euclidean}[mode](df, features, cluster)
 
 
 # ------------------------------------------------------------------ M10 / M11 / M14
-def davies_bouldin(df: DataFrame, features: str, cluster: str = "cluster", stats: list | None = None) -> float | None:
-    stats = stats or cluster_stats(df, features, cluster)
-    if len(stats) < 2:
+def davies_bouldin(df: DataFrame, features: str, cluster: str = "cluster", stats: DataFrame | None = None) -> float | None:
+    """Mean over clusters of the largest (m_i + m_j) / |c_i - c_j|; clusters with one centre: infinity."""
+    stats = cluster_stats(df, features, cluster) if stats is None else stats
+    if stats.count() < 2:
         return None
-    cent = {c: s / n for c, n, s, _ in stats}
-    labels = list(cent)
-    cm = F.create_map(*[x for c in labels for x in (F.lit(c), F.lit(cent[c].tolist()))])
-    d = _vec(df, features).filter(F.col(cluster) != -1)
-    scat = dict(d.groupBy(cluster).agg(F.avg(dist(F.col("_x"), F.element_at(cm, F.col(cluster)))).alias("s"))
-                 .select(cluster, "s").collect())
-    vals = []
-    for i in labels:
-        r = max((scat[i] + scat[j]) / np.linalg.norm(cent[i] - cent[j]) if np.linalg.norm(cent[i] - cent[j]) > 0
-                else float("inf") for j in labels if j != i)
-        vals.append(r)
-    return float(np.mean(vals))
+    dim = len(stats.select("c").first()[0])
+    points = stats.select(F.col("j").alias("_id"), F.concat("c", F.array("m")).alias("_v"))
+
+    def tile(home, ask):
+        H, Q = np.stack(home["_v"].to_numpy()), np.stack(ask["_v"].to_numpy())
+        hid, best = home["_id"].to_numpy(), []
+        for i, q in zip(ask["_id"], Q):
+            d = np.sqrt(((H[:, :dim] - q[:dim]) ** 2).sum(1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                r = np.where(d > 0, (H[:, dim] + q[dim]) / d, np.inf)
+            best.append(np.where(hid == i, -np.inf, r).max())
+        return pd.DataFrame({"_id": ask["_id"].to_numpy(), "r": best})
+    worst = compare_tiles(points, None, tile, "_id long, r double").groupBy("_id").agg(F.max("r").alias("r"))
+    return worst.agg(F.avg("r")).first()[0]
 
 
 def within_ss(df: DataFrame, features: str, cluster: str = "cluster", centers: dict | None = None,
-              stats: list | None = None) -> float:
+              stats: DataFrame | None = None) -> float:
     """Inertia: sum of squared distances to the cluster centre (mean by default)."""
     if centers is None:
-        stats = stats or cluster_stats(df, features, cluster)
-        centers = {c: s / n for c, n, s, _ in stats}
-    cm = F.create_map(*[x for c, v in centers.items() for x in (F.lit(c), F.lit(np.asarray(v).tolist()))])
-    d = _vec(df, features).filter(F.col(cluster) != -1)
-    return float(d.agg(F.sum(sq_dist(F.col("_x"), F.element_at(cm, F.col(cluster))))).collect()[0][0] or 0.0)
+        stats = cluster_stats(df, features, cluster) if stats is None else stats
+        return float(stats.agg(F.sum("w")).first()[0] or 0.0)
+    rows = _members(df, features, cluster)
+    given = df.sparkSession.createDataFrame([(c, [float(x) for x in v]) for c, v in centers.items()],
+                                            T.StructType([T.StructField("k", df.schema[cluster].dataType), T.StructField("c", T.ArrayType(T.DoubleType()))]))
+    return float(rows.join(given, "k").agg(F.sum(sq_dist(F.col("x"), F.col("c")))).first()[0] or 0.0)
 
 
-def calinski_harabasz(df: DataFrame, features: str, cluster: str = "cluster", stats: list | None = None) -> float | None:
-    stats = stats or cluster_stats(df, features, cluster)
-    k = len(stats)
+def calinski_harabasz(df: DataFrame, features: str, cluster: str = "cluster", stats: DataFrame | None = None) -> float | None:
+    stats = cluster_stats(df, features, cluster) if stats is None else stats
+    k = stats.count()
     if k < 2:
         return None
-    n = sum(s[1] for s in stats)
-    mean = sum(s[2] for s in stats) / n
-    B = sum(c_n * float(((c_s / c_n - mean) ** 2).sum()) for _, c_n, c_s, _ in stats)
-    W = within_ss(df, features, cluster, stats=stats)
-    return float("inf") if W == 0 else (B / (k - 1)) / (W / (n - k))
+    dim = len(stats.select("c").first()[0])
+    n = F.col("n").cast("double")
+    total = stats.agg(F.sum(n).alias("n"), F.sum("w").alias("w"), *[(F.sum(F.col("c")[i] * n) / F.sum(n)).alias(f"m{i}") for i in range(dim)]).first()
+    off = [(F.col("c")[i] - F.lit(total[f"m{i}"])) * (F.col("c")[i] - F.lit(total[f"m{i}"])) for i in range(dim)]
+    between = stats.agg(F.sum(n * sum(off[1:], off[0]))).first()[0]
+    return float("inf") if total["w"] == 0 else (between / (k - 1)) / (total["w"] / (total["n"] - k))
 
 
 # ------------------------------------------------------------------ M12 / K10
@@ -130,30 +220,34 @@ def clustering_summary(df: DataFrame, features: str, cluster: str = "cluster", a
     spark = df.sparkSession
     stats = cluster_stats(df, features, cluster)
     n_noise = df.filter(F.col(cluster) == -1).count()
-    n_valid = sum(s[1] for s in stats)
+    k, n_valid = stats.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     schema = ("Algorithm string, N_clusters int, Silhouette double, DBI double, CHI double, "
               "n_noise bigint, error string")
-    if n_valid < 2 or len(stats) < 2:
+    if n_valid < 2 or k < 2:
         return spark.createDataFrame([(algorithm, None, None, None, None, n_noise, "not enough clusters")], schema)
-    row = (algorithm, len(stats), silhouette_sq(df, features, cluster, stats), davies_bouldin(df, features, cluster, stats),
+    row = (algorithm, k, silhouette_sq(df, features, cluster, stats), davies_bouldin(df, features, cluster, stats),
            calinski_harabasz(df, features, cluster, stats), n_noise, None)
     return spark.createDataFrame([row], schema)
 
 
 # ------------------------------------------------------------------ K2 / K0
+STARTS_AT_ONCE = 4
+
+
 def fit_kmeans(df: DataFrame, features: str, k: int = 3, n_init: int = 10, seed: int = 42, max_iter: int = 300,
                tol: float = 1e-4):
     """Best of ``n_init`` seeded k-means|| runs by training cost."""
     from pyspark.ml.clustering import KMeans
     data = df.withColumn("_fv", array_to_vector(to_array(df, features))).persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for i in range(n_init):
+
+    def start(i):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="_fv", predictionCol="cluster").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
+        return m.summary.trainingCost, i, m
+    data.count()                                   # one pass fills the cache for all starts
+    with ThreadPoolExecutor(max_workers=STARTS_AT_ONCE) as pool:
+        best = min(pool.map(start, range(n_init)), key=lambda r: r[:2])
     data.unpersist()
-    return best[0]
+    return best[2]
 
 
 def kmeans_labels(model, df: DataFrame, features: str, keep: list) -> DataFrame:

@@ -156,6 +156,23 @@ def tile_pairs(home: DataFrame, probes: DataFrame, part: list, tile_rows: int) -
             .unionByName(spread(probes, "qt", "_tq", "ht", "_th", False)))
 
 
+def compare_tiles(home: DataFrame, asked: DataFrame | None, kernel, schema: str, tile_rows: int = DEFAULT_CELL_TARGET) -> DataFrame:
+    """``kernel(home rows, query rows)`` over every pair of a home tile and a query tile of (_id, _v)
+    rows (``asked`` None: the home rows).  Few rows are one group."""
+    import pandas as pd
+    names = T._parse_datatype_string(schema).fieldNames()
+
+    def fn(pdf):
+        h, q = (pdf[pdf["_is_home"]], pdf[~pdf["_is_home"]]) if "_is_home" in pdf else (pdf, pdf)
+        return kernel(h, q) if len(h) and len(q) else pd.DataFrame({c: [] for c in names})
+
+    if all(d.limit(tile_rows + 1).count() <= tile_rows for d in ([home] if asked is None else [home, asked])):
+        return _one_tile(home, asked, []).groupBy("_tile").applyInPandas(fn, schema)
+    cell = F.lit(0).alias("cell")
+    ask = home if asked is None else asked
+    return tile_pairs(home.select("_id", "_v", cell), ask.select("_id", "_v", cell), [], tile_rows).groupBy("cell", "ht", "qt").applyInPandas(fn, schema)
+
+
 def _points(df: DataFrame, part: list, id_col: str, vec: str) -> DataFrame:
     return df.select(*[F.col(c) for c in part], F.col(id_col).cast("long").alias("_id"),
                      to_array(df, vec).alias("_v")).filter("_v IS NOT NULL")

@@ -48,6 +48,15 @@ def q_m9(spark, sf):
     return r6(spark.range(1).select(F.lit(v).cast("double").alias("silhouette")))
 
 
+EUCLID_CTE = SIL_CTE.replace("list_distance(a.v, b.v) ** 2 AS d2", "list_distance(a.v, b.v) AS d2")
+
+
+@query("m9_silhouette_euclidean_embeddings", f"WITH {EUCLID_CTE} SELECT round(silhouette, 6) AS silhouette FROM sil")
+def q_m9_euclidean(spark, sf):
+    v = K.silhouette(emb(spark, sf), "embedding", "label", mode="euclidean")
+    return r6(spark.range(1).select(F.lit(v).cast("double").alias("silhouette")))
+
+
 @query("m10_davies_bouldin_embeddings", f"WITH {CENT_CTE} SELECT round(dbi, 6) AS dbi FROM dbi")
 def q_m10(spark, sf):
     v = K.davies_bouldin(emb(spark, sf), "embedding", "label")

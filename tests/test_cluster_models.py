@@ -374,3 +374,44 @@ def test_cleaner_saved_beside_its_model(spark, tmp_path):
     _, strange = C.fit_transform(raw, ["v"], [], {"v": lambda x: x < 0}, outliers="none")
     with pytest.raises(ValueError):
         FittedCleaner(strange).write().overwrite().save(f"{tmp_path}/strange")
+
+
+def brute_silhouette(X, lab, power):
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)) ** power
+    s = []
+    for i in range(len(X)):
+        mine = (lab == lab[i]) & (np.arange(len(X)) != i)
+        b = min(D[i, lab == c].mean() for c in set(lab) if c != lab[i])
+        a = D[i, mine].mean() if mine.any() else None
+        s.append(0.0 if a is None or max(a, b) == 0 else (b - a) / max(a, b))
+    return float(np.mean(s))
+
+
+def test_validity_against_brute_force(spark, monkeypatch):
+    """Both silhouettes, by broadcast and by tiles, with noise, a singleton and equal rows."""
+    rng = np.random.default_rng(2)
+    X = np.round(rng.normal(size=(90, 3)) * 4) / 4 + rng.integers(3, size=90)[:, None] * 2
+    lab = np.concatenate([rng.integers(0, 4, size=80), [7], [-1] * 9])
+    df = spark.createDataFrame([(i, X[i].tolist(), int(lab[i])) for i in range(90)], "id int, x array<double>, c int").repartition(3)
+    keep = lab >= 0
+    want = [brute_silhouette(X[keep], lab[keep], p) for p in (2, 1)]
+    assert approx(K.silhouette_sq(df, "x", "c"), want[0], 1e-9) and approx(K.silhouette(df, "x", "c", "euclidean"), want[1], 1e-9)
+    dbi = K.davies_bouldin(df, "x", "c")
+    real = K.compare_tiles
+    monkeypatch.setattr(K, "compare_tiles", lambda *a: real(*a, tile_rows=7))
+    assert approx(K.silhouette_sq(df, "x", "c", centre_bytes=0), want[0], 1e-9)
+    assert approx(K.silhouette(df, "x", "c", "euclidean"), want[1], 1e-9) and approx(K.davies_bouldin(df, "x", "c"), dbi, 1e-12)
+
+
+def test_validity_of_20000_clusters(spark):
+    """Clusters of two rows 2 apart, on a line, 10 apart: all scores are known, none needs a literal per cluster."""
+    k = 20_000
+    df = spark.range(2 * k).select(F.floor(F.col("id") / 2).cast("int").alias("c"),
+                                   F.array(F.floor(F.col("id") / 2) * 10.0 + (F.col("id") % 2) * 2.0 - 1.0).alias("x"))
+    stats = K.cluster_stats(df, "x", "c")
+    assert stats.count() == k and K.within_ss(df, "x", "c", stats=stats) == 2.0 * k
+    assert approx(K.davies_bouldin(df, "x", "c", stats), 0.2, 1e-9)
+    inner, outer = (82 - 4) / 82, (122 - 4) / 122
+    assert approx(K.silhouette_sq(df, "x", "c", stats), ((2 * k - 2) * inner + 2 * outer) / (2 * k), 1e-6)
+    pos = np.arange(k) * 10.0
+    assert approx(K.calinski_harabasz(df, "x", "c", stats), (2 * ((pos - pos.mean()) ** 2).sum() / (k - 1)) / (2.0 * k / k), 1e-9)

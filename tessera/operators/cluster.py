@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.order_stats import ordered_cumsum
+from tessera.operators.components import connected_components
 from tessera.operators.neighbors import compare_tiles, radius_pairs, sq_dist, to_array
 from tessera.operators.pivot_tree import sq_distances
-from tessera.session import cut_lineage, write_shared
+from tessera.session import write_shared
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -307,62 +308,27 @@ def vector_to_array_col(c: str) -> Column:
 
 
 # ------------------------------------------------------------------ K5
-CC_ROUNDS: list = []  # rounds used by recent calls (diagnostics)
-
-
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200,
-                         checkpoint_every: int = 3) -> DataFrame:
-    """(vid, lab) with lab = smallest vertex id of the component.
-
-    Each round: min-label propagation over the edges, then two pointer
-    jumps (lab <- lab(lab)), so labels move along chains much faster than
-    one hop per round.  Lineage is cut with a reliable checkpoint every few
-    rounds; other rounds are persisted (lost blocks are recomputed)."""
-    lab = vertices.select("vid", F.col("vid").alias("lab")).persist(StorageLevel.MEMORY_AND_DISK)
-    for rnd in range(max_rounds):
-        m = (edges.join(lab.withColumnRenamed("vid", "id_b"), "id_b").groupBy("id_a").agg(F.min("lab").alias("nl"))
-                  .withColumnRenamed("id_a", "vid"))
-        new = lab.join(m, "vid", "left").select("vid", F.least("lab", F.coalesce("nl", "lab")).alias("lab"))
-        for _ in range(2):
-            ptr = new.select(F.col("vid").alias("lab"), F.col("lab").alias("lab2"))
-            new = new.join(ptr, "lab", "left").select("vid", F.coalesce("lab2", "lab").alias("lab"))
-        if (rnd + 1) % checkpoint_every == 0:
-            new = cut_lineage(new)
-        else:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-        changed = new.join(lab.withColumnRenamed("lab", "old"), "vid").filter(F.col("lab") != F.col("old")).count()
-        lab.unpersist()
-        lab = new
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError(f"components still change after {max_rounds} rounds")
-    CC_ROUNDS.append(rnd + 1)
-    return lab
-
-
 def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samples: int = 5,
-           cell_target: int = 4_000, max_rounds: int = 200) -> DataFrame:
+           cell_target: int = 4_000, max_rounds: int | None = None) -> DataFrame:
     """(id, cluster) with noise = -1.  Identical vectors are collapsed first
     (their count is a weight), so a hot group of copies is one point.
 
     core: weighted neighbour count (itself included) >= min_samples;
-    clusters: connected components of core-core edges (min-label propagation,
-    reliable checkpoint every round); border rows take the lowest cluster of
+    clusters: connected components of core-core edges (star steps, every round
+    written); border rows take the lowest cluster of
     their core neighbours; clusters are numbered by their smallest core id."""
     x = df.select(F.col(id_col).alias("_id"), to_array(df, features).alias("_x"))
     distinct = x.groupBy("_x").agg(F.min("_id").alias("vid"), F.count(F.lit(1)).alias("w"))
-    distinct = cut_lineage(distinct)
+    distinct = write_shared(distinct, "vectors")
     pairs = radius_pairs(distinct.withColumnRenamed("_x", "vec"), "vid", "vec", eps, cell_target=cell_target)
-    pairs = cut_lineage(pairs.select("id_a", "id_b"))
+    pairs = write_shared(pairs.select("id_a", "id_b"), "pairs")
     wts = distinct.select(F.col("vid").alias("id_b"), "w")
     deg = pairs.join(wts, "id_b").groupBy("id_a").agg(F.sum("w").alias("deg"))
     core = deg.filter(F.col("deg") >= min_samples).select(F.col("id_a").alias("vid"))
-    core = cut_lineage(core)
+    core = write_shared(core, "cores")
     ce = (pairs.join(core.withColumnRenamed("vid", "id_a"), "id_a")
-               .join(core.withColumnRenamed("vid", "id_b"), "id_b").filter(F.col("id_a") != F.col("id_b")))
-    ce = cut_lineage(ce)
-    lab = cut_lineage(connected_components(core.select("vid"), ce, max_rounds))
+               .join(core.withColumnRenamed("vid", "id_b"), "id_b").filter(F.col("id_a") < F.col("id_b")))
+    lab = write_shared(connected_components(core.select("vid"), ce, max_rounds), "labels")
     # number clusters 0.. by smallest core id (distributed rank over the distinct labels)
     roots = lab.select("lab").distinct()
     nr = roots.count()

@@ -183,6 +183,54 @@ def q_p1(spark, sf):
     return pseudo
 
 
+GRAPH_SQL = """
+WITH e AS (SELECT vec_id AS i, CAST(embedding AS DOUBLE[]) AS x,
+                  CASE WHEN row_number() OVER (ORDER BY md5('42|' || CAST(vec_id AS VARCHAR))) <= greatest(2, CAST(floor(count(*) OVER () * 0.1) AS BIGINT))
+                       THEN label ELSE -1 END AS p FROM embeddings),
+cl AS (SELECT DISTINCT p AS c FROM e WHERE p <> -1),
+w AS (SELECT a.i AS a, b.i AS b, exp(-20.0 * list_distance(a.x, b.x) ** 2) AS w FROM e a JOIN e b
+      ON list_distance(a.x, b.x) <= sqrt(-ln(1e-12) / 20.0) {no_loops}),
+d AS (SELECT a AS i, sum(w) AS d FROM w GROUP BY a),
+s AS (SELECT w.a, w.b, {scaled} AS s FROM w JOIN d da ON w.a = da.i JOIN d db ON w.b = db.i),
+y AS (SELECT i, c, p, CASE WHEN p = c THEN 1.0 ELSE 0.0 END AS y FROM e, cl),
+r1 AS (SELECT y.i, y.c, y.p, y.y, coalesce(q.v, 0.0) AS v FROM y
+       LEFT JOIN (SELECT s.a AS i, y.c, sum(s.s * y.y) AS v FROM s JOIN y ON s.b = y.i GROUP BY 1, 2) q ON y.i = q.i AND y.c = q.c),
+f1 AS (SELECT i, c, p, y, {step} AS f FROM r1),
+r2 AS (SELECT f1.i, f1.c, f1.p, f1.y, coalesce(q.v, 0.0) AS v FROM f1
+       LEFT JOIN (SELECT s.a AS i, f1.c, sum(s.s * f1.f) AS v FROM s JOIN f1 ON s.b = f1.i GROUP BY 1, 2) q ON f1.i = q.i AND f1.c = q.c),
+f2 AS (SELECT i, c, {step} AS f FROM r2),
+tot AS (SELECT i, sum(f) AS t FROM f2 GROUP BY i),
+near AS (SELECT a.i, first(b.p ORDER BY list_distance(a.x, b.x), b.i) AS c FROM e a JOIN e b ON b.p <> -1 GROUP BY a.i),
+o AS (SELECT f2.i, f2.c, CASE WHEN t > 0 THEN f / t WHEN near.c = f2.c THEN 1.0 ELSE 0.0 END AS q
+      FROM f2 JOIN tot ON f2.i = tot.i JOIN near ON f2.i = near.i)
+SELECT i AS id, round(max(q), 6) AS top, round(sum(q * (c + 1)), 6) AS centre FROM o GROUP BY i
+"""
+SPREADING_SQL = GRAPH_SQL.format(no_loops="AND a.i <> b.i", scaled="w.w / sqrt(da.d * db.d)", step="0.2 * v + 0.8 * y")
+PROPAGATION_SQL = GRAPH_SQL.format(no_loops="", scaled="w.w / da.d",
+                                   step="CASE WHEN p <> -1 THEN y WHEN sum(v) OVER (PARTITION BY i) > 0 THEN v / sum(v) OVER (PARTITION BY i) ELSE 0.0 END")
+
+
+def _two_rounds(spark, sf, method):
+    """Two rounds of the label graph: each row's largest class share and the mean of its classes (plus 1)."""
+    e = load(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label")
+    part = S.partial_labels(e, "id", "label", 0.1)
+    classes = sorted(r[0] for r in part.filter("partial_label <> -1").select("partial_label").distinct().collect())
+    fit = P.label_graph_fit(part, "id", method=method, gamma=20.0, alpha=0.2, max_iter=2, tol=0.0)
+    q = F.col("label_distribution")
+    centre = sum((q[k] * float(c + 1) for k, c in enumerate(classes)), F.lit(0.0))
+    return r6(fit.select("id", F.array_max(q).alias("top"), centre.alias("centre")))
+
+
+@query("p3_label_spreading_two_rounds_embeddings", SPREADING_SQL)
+def q_p3_rounds(spark, sf):
+    return _two_rounds(spark, sf, "spreading")
+
+
+@query("p4_label_propagation_two_rounds_embeddings", PROPAGATION_SQL)
+def q_p4_rounds(spark, sf):
+    return _two_rounds(spark, sf, "propagation")
+
+
 @query("p3_label_spreading_embeddings")
 def q_p3(spark, sf):
     e = load(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label")

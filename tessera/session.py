@@ -80,7 +80,16 @@ def write_shared(df, name: str):
     of the files when it chooses a join."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._shared_path = path
+    return out
+
+
+def drop_shared(df) -> None:
+    """Delete a table of :func:`write_shared` that no later step reads."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df._shared_path)
+    path.getFileSystem(conf).delete(path, True)
 
 
 ROWS_PER_PARTITION = 50_000

@@ -97,7 +97,10 @@ def fit_random_forest(df: DataFrame, n_trees: int = 200, max_depth: int = 10, ba
 
 def _ovr(df: DataFrame, classes: list, fit_binary, name: str) -> FittedModel:
     """One binary model per class; probabilities normalised to sum 1."""
-    models = [fit_binary(df.withColumn("label", (F.col("label") == F.lit(c)).cast("double"))).stage for c in classes]
+    def one(c):
+        return fit_binary(df.withColumn("label", (F.col("label") == F.lit(c)).cast("double"))).stage
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        models = list(pool.map(one, classes))
     return FittedModel(name, classes, OneVsRestScores(classes, models))
 
 

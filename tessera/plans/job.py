@@ -36,6 +36,8 @@ class JobSettings:
     preprocessing: dict = field(default_factory=lambda: dict(P.PREPROCESSING))
     association: dict = field(default_factory=lambda: dict(P.ASSOCIATION))
     target_item: str = "disease"
+    rate_col: str = "exang"
+    mode_col: str = "cp"
     k: int = 3
     n_init: int = 10
     k_range: tuple = tuple(P.CLUSTERING["k_range"])
@@ -83,19 +85,16 @@ def run(spark: SparkSession, raw: DataFrame, s: JobSettings | None = None, skip_
     out["k_table"] = K.k_selection(X, s.id_col, "features", s.k_range, s.n_init, s.seed)
     km = K.fit_kmeans(X, "features", s.k, s.n_init, s.seed)
     km_lab = K.kmeans_labels(km, X, "features", X.columns)
-    hac_lab, linkage, _ = K.fit_hac(X, s.id_col, "features", s.k)
     db_lab = K.dbscan(X, s.id_col, "features", s.dbscan_eps, s.dbscan_min_samples)
     summaries = [K.clustering_summary(km_lab, "features", "cluster", "KMeans"),
-                 K.clustering_summary(X.join(hac_lab, s.id_col), "features", "cluster", "HAC"),
                  K.clustering_summary(X.join(db_lab, s.id_col), "features", "cluster", "DBSCAN")]
     out["clustering"] = T.summarize_clustering(summaries)
-    out["linkage"] = linkage
     pca = K.fit_pca(X, "features", 2)
     out["pca_points"] = pca.transform(km_lab, "features", [s.id_col, "cluster"])
     means = [c for c in s.numeric if c in processed.columns]
     profile = K.profile_clusters(km_lab, "cluster", s.target, means,
-                                 rate_col="exang" if "exang" in processed.columns else None,
-                                 mode_col="cp" if "cp" in processed.columns else None)
+                                 rate_col=s.rate_col if s.rate_col in processed.columns else None,
+                                 mode_col=s.mode_col if s.mode_col in processed.columns else None)
     out["cluster_profile"], out["cluster_names"] = profile, K.name_clusters(profile)
 
     # classification

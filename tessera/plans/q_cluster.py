@@ -154,18 +154,6 @@ def q_k0(spark, sf):
     return K.k_selection(emb(spark, sf), "vec_id", "embedding", k_range=(2, 3, 4, 5, 6, 7), n_init=10)
 
 
-@query("k3_hac_ward_embeddings")
-def q_k3(spark, sf):
-    labels, _, _ = K.fit_hac(emb(spark, sf), "vec_id", "embedding", k=10)
-    return labels
-
-
-@query("k4_linkage_embeddings")
-def q_k4(spark, sf):
-    _, link, _ = K.fit_hac(emb(spark, sf), "vec_id", "embedding", k=10)
-    return link
-
-
 @query("k6_pca_embeddings")
 def q_k6(spark, sf):
     e = emb(spark, sf)
@@ -195,10 +183,8 @@ def q_t3(spark, sf):
     from tessera.plans.report import summarize_clustering
     e = emb(spark, sf)
     km = K.kmeans_labels(K.fit_kmeans(e, "embedding", k=10, n_init=10), e, "embedding", ["vec_id", "embedding"])
-    hac, _, _ = K.fit_hac(e, "vec_id", "embedding", k=10)
     db = K.dbscan(e, "vec_id", "embedding", DB_EPS, DB_MIN)
     return summarize_clustering([K.clustering_summary(km, "embedding", "cluster", "KMeans"),
-                                 K.clustering_summary(e.join(hac, "vec_id"), "embedding", "cluster", "HAC"),
                                  K.clustering_summary(e.join(db, "vec_id"), "embedding", "cluster", "DBSCAN")])
 
 

@@ -67,7 +67,7 @@ def q_l3(spark, sf):
 @query("l4_boosted_trees_documents")
 def q_l4(spark, sf):
     tr, te = doc_split(spark, sf)
-    return _pred(L.fit_boosted_trees(tr, n_rounds=20), te)
+    return _pred(L.fit_boosted_trees(tr), te)
 
 
 @query("l4_boosted_trees_multiclass_orders")
@@ -81,16 +81,14 @@ def q_l4b(spark, sf):
                  F.year("o_orderdate").cast("double").alias("yr"))
     d = VectorAssembler(inputCols=["p", "doy", "yr"], outputCol="features").transform(d)
     tr, te = S.train_test(S.stratified_split(d, "id", "label", 0.2))
-    return _pred(L.fit_boosted_trees(tr, n_rounds=5, max_depth=3), te)
+    return _pred(L.fit_boosted_trees(tr), te)
 
 
 @query("l5_cross_validation_documents")
 def q_l5(spark, sf):
     tr, _ = doc_split(spark, sf)
     folds = S.stratified_folds(tr, "id", "label", 5)
-    models = {"Logistic Regression": lambda d: L.fit_logistic(d),
-              "Random Forest": lambda d: L.fit_random_forest(d, n_trees=200)}
-    return r6(L.cross_validate(folds, models, k=5, use_smote=True, id_col="id"))
+    return r6(L.cross_validate(folds, L.CLASSIFIERS, k=5, use_smote=True, id_col="id", parallelism=5))
 
 
 @query("l7_evaluate_final_model_documents")
@@ -105,8 +103,7 @@ def q_l7(spark, sf):
 def q_l8(spark, sf):
     tr, _ = doc_split(spark, sf)
     folds = S.stratified_folds(tr, "id", "label", 5)
-    grid = {"n_trees": [20, 50], "max_depth": [5], "min_samples_split": [2]}
-    _, table, _ = L.tune(folds, "Random Forest", grid=grid)
+    _, table, _ = L.tune(folds, "Random Forest", parallelism=5)
     return r6(table)
 
 
@@ -117,7 +114,7 @@ def q_l13(spark, sf):
     d = d.select("id", F.col("rfeat").alias("features"), F.col("n_chars").alias("label"), F.col("label").alias("cls"))
     tr, te = S.train_test(S.stratified_split(d, "id", "cls", 0.2))
     from tessera.plans.report import summarize_regression
-    return summarize_regression(L.regression_comparison(tr.drop("cls"), te.drop("cls"), gbt_rounds=20))
+    return summarize_regression(L.regression_comparison(tr.drop("cls"), te.drop("cls")))
 
 
 LINE_SQL = """SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) AS sxy, var_pop(x) * count(*) AS sxx
@@ -154,7 +151,7 @@ def q_l15(spark, sf):
     from tessera.plans.report import summarize_classification
     tr, te = doc_split(spark, sf)
     res = [L.evaluate(L.fit_logistic(tr), te), L.evaluate(L.fit_random_forest(tr, n_trees=200), te),
-           L.evaluate(L.fit_boosted_trees(tr, n_rounds=20), te), L.evaluate(L.fit_rbf_svm(tr), te)]
+           L.evaluate(L.fit_boosted_trees(tr), te), L.evaluate(L.fit_rbf_svm(tr), te)]
     return summarize_classification(res)
 
 
@@ -171,15 +168,11 @@ def q_f11(spark, sf):
 
 # ------------------------------------------------------------------ semi-supervised
 
-def _rf50(d):
-    return L.fit_random_forest(d, n_trees=50)
-
-
 @query("p1_self_training_documents")
 def q_p1(spark, sf):
     d = doc_stats(spark, sf, how="left").withColumn(
         "partial_label", F.coalesce(F.col("label").cast("int"), F.lit(-1)))
-    _, pseudo = P.self_training(d, _rf50, threshold=0.85, max_iter=10, id_col="id")
+    _, pseudo = P.self_training(d, P.base_learner("SVM"), threshold=0.85, max_iter=10, id_col="id")
     return pseudo
 
 
@@ -255,7 +248,7 @@ def q_p5(spark, sf):
 @query("p6_learning_curve_documents")
 def q_p6(spark, sf):
     tr, te = doc_split(spark, sf)
-    return r6(P.learning_curve(tr, te, "id", _rf50, max_iter=3))
+    return r6(P.learning_curve(tr, te, "id", P.base_learner("SVM")))
 
 
 @query("p7_pseudo_label_risk_labels", """

@@ -66,8 +66,8 @@ def test_end_to_end_job(spark):
                     association={"min_support": 0.2, "min_confidence": 0.6, "min_lift": 1.0, "max_len": 3})
     out = run(spark, raw, s, skip_semi=True)
     for k in ("processed", "itemsets", "rules", "clustering", "cv", "classification", "regression"):
-        assert out[k].count() >= 0
-    assert out["clustering"].count() == 3 and out["classification"].count() == 2
+        assert out[k].count() > 0
+    assert {r["Algorithm"] for r in out["clustering"].collect()} == {"KMeans", "DBSCAN"} and out["classification"].count() == 2
 
 
 def test_stream_with_many_categories(spark, tmp_path):

@@ -415,3 +415,20 @@ def test_validity_of_20000_clusters(spark):
     assert approx(K.silhouette_sq(df, "x", "c", stats), ((2 * k - 2) * inner + 2 * outer) / (2 * k), 1e-6)
     pos = np.arange(k) * 10.0
     assert approx(K.calinski_harabasz(df, "x", "c", stats), (2 * ((pos - pos.mean()) ** 2).sum() / (k - 1)) / (2.0 * k / k), 1e-9)
+
+
+def test_learning_curve_leaves_out_ratios_of_one_class(spark):
+    """The rows labelled at 30 % are all of class 0."""
+    df = _toy(spark)
+    out = P.learning_curve(df, df, "id", lambda d: L.fit_random_forest(d, n_trees=3), ratios=(0.3, 0.6), max_iter=1).collect()
+    assert [(r["label_ratio"], r["n_labeled"]) for r in out] == [("60%", 31)]
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    from tessera.operators.components import connected_components
+    chain = [(i, i + 1) for i in range(100, 160)]
+    hub = [(7, i) for i in range(200, 300)] + [(5, 7)]
+    v = spark.createDataFrame([(i,) for i in [1, 5, 7, *range(100, 161), *range(200, 300)]], "vid long")
+    got = {r["vid"]: r["lab"] for r in connected_components(v, spark.createDataFrame(chain + hub, "id_a long, id_b long")).collect()}
+    assert got == {1: 1, 5: 5, 7: 5, **{i: 100 for i in range(100, 161)}, **{i: 5 for i in range(200, 300)}}
+    assert connected_components(v, spark.createDataFrame([], "id_a long, id_b long")).filter("vid <> lab").count() == 0

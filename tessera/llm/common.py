@@ -39,8 +39,16 @@ def sole_cache(name: str, make):
 
 
 def release_caches() -> None:
-    """Drop the caches that earlier tasks left in this worker."""
+    """Drop the caches that earlier tasks left in this worker and give their memory back to the machine."""
+    import ctypes
+
+    import pyarrow as pa
     _CACHE.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:      # a C library without it
+        pass
 
 
 @contextmanager

@@ -36,8 +36,11 @@ from pyspark.sql import types as T
 from .common import gapless_rank, sole_cache, staged, with_row_id
 
 END_ID = 1
-WORD_CACHE = 400_000
-TEXTS_AT_ONCE = 500
+WORD_CACHE = 250_000
+CUT_CACHE = 400_000
+TEXTS_AT_ONCE = 1_000
+CUTS_AT_ONCE = 2_000
+CONTROL = re.compile("[\x1c-\x1f]").search
 
 
 def public_vocabulary(name: str) -> str:
@@ -67,43 +70,76 @@ class WordTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
         self.cuts: dict[str, bytes] = {}
+        vocabulary = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)      # ids that end a cut
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in encoded]
 
+    def _cut_ids(self, cuts: list[str]) -> list[bytes]:
+        """Ids of each cut.  Many cuts are encoded as one text: blanks keep them apart and the
+        last id of each is marked as an end of word."""
+        out: list[bytes] = []
+        for at in range(0, len(cuts), CUTS_AT_ONCE):
+            part = cuts[at:at + CUTS_AT_ONCE]
+            ids = self._ids([" ".join(part)])[0]
+            stops = (4 * (np.flatnonzero(self.ends[np.frombuffer(ids, "u4")]) + 1)).tolist()
+            if len(stops) != len(part):
+                out += self._ids(part)      # a vocabulary without end marks
+            else:
+                out += [ids[lo:hi] for lo, hi in zip([0, *stops], stops)]
+        return out
+
     def _learn(self, words) -> None:
         """Cache the ids of new words; only cuts not seen before reach the tokenizer."""
-        whole, parts = [], {}
+        whole, parts, single = [], {}, {}
         for w in words:
-            if self.PLAIN(w):
-                parts[w] = self.CUTS(w.lower())
-            else:
+            if not self.PLAIN(w):
                 whole.append(w)
-        new = list({c for p in parts.values() for c in p if c not in self.cuts})
-        self.cuts.update(zip(new, self._ids(new)))
-        self.words.update(zip(whole, self._ids(whole)))
+            elif w.isalpha():
+                single[w] = w.lower()
+            elif w[:-1].isalpha() and not w[-1].isalnum():
+                parts[w] = (w[:-1].lower(), w[-1])
+            else:
+                parts[w] = self.CUTS(w.lower())
         cuts = self.cuts
+        new = {c for c in single.values() if c not in cuts}
+        new.update(c for p in parts.values() for c in p if c not in cuts)
+        new = list(new)
+        cuts.update(zip(new, self._cut_ids(new)))
+        self.words.update(zip(whole, self._ids(whole)))
+        self.words.update((w, cuts[c]) for w, c in single.items() if w != c)     # others are cuts themselves
         self.words.update((w, b"".join([cuts[c] for c in p])) for w, p in parts.items())
 
     def encode_all(self, texts) -> list[bytes]:
         """Ids of each text, packed; None counts as empty."""
+        import pyarrow as pa
         if len(self.words) > WORD_CACHE:
             self.words.clear()
-        if len(self.cuts) > WORD_CACHE:
+        if len(self.cuts) > CUT_CACHE:
             self.cuts.clear()
-        split, out = [], []
+        words: list[str] = []
+        until = []          # words of the texts up to each one
         for t in texts:
-            odd = t is not None and any(c in t for c in "\x1c\x1d\x1e\x1f")
-            split.append(None if odd else t.split() if t else [])
-        known = self.words
-        unseen: set[str] = set()
-        for ws in split:
-            unseen.update(w for w in ws or () if w not in known)
-        self._learn(unseen)
-        for t, ws in zip(texts, split):
-            out.append(self._ids([t])[0] if ws is None else b"".join([known[w] for w in ws]))
-        return out
+            if t and not CONTROL(t):
+                words += t.split()
+            until.append(len(words))
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        seen, cuts = self.words, self.cuts
+        self._learn([w for w in distinct if w not in cuts and w not in seen])
+        known = [cuts[w] if w in cuts else seen[w] for w in distinct]
+        # ids of the words in a row: where each word's ids start among those of the distinct words, and how many
+        flat = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), "i8", len(known)) // 4
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at]
+        stops = np.concatenate([[0], np.cumsum(n)])
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - stops[:-1], n) + np.arange(stops[-1])].tobytes()
+        ends = (4 * stops[[0, *until]]).tolist()
+        return [self._ids([t])[0] if t and CONTROL(t) else ids[lo:hi] for t, lo, hi in zip(texts, ends, ends[1:])]
 
 
 def worker_tokenizer(path: str) -> WordTokenizer:

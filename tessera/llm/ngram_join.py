@@ -10,9 +10,13 @@ Jaccard similarity of at least ``num / den`` (0.8).  Steps:
    that only one set has cannot be shared, so sets with fewer than k tokens
    found elsewhere leave, exactly.  The remaining sets are ordered rarest token
    first; only those with at least c shared tokens stay.
-3. Heavy-light.  Small sets enumerate the 2-subsets of their rarest
-   ``n - c + 2`` tokens: linked small sets share one.  Large sets are found
-   through the inverted lists of the rarest ``n - c + 1`` tokens, which the
+3. Heavy-light.  Tokens with equal inverted lists (one line that many texts
+   share, one passage of a group of copies) count as one list from here: the
+   name of a list is its length and the exclusive or of its sets' hashes, and
+   tokens are ordered by list.  Small sets enumerate the 2-subsets of the lists of
+   their rarest ``n - c + 2`` tokens, and each list that holds two of them:
+   linked small sets share one.  Large sets are found
+   through the lists of the rarest ``n - c + 1`` tokens, which the
    small sets they may link with join too.  The boundary between small and
    large is the size at which the summed cost - subsets enumerated below,
    list entries scanned above - is least.
@@ -88,7 +92,7 @@ def tokens_of(rows: DataFrame, column: str) -> DataFrame:
 
 
 def live_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, num: int, den: int):
-    """Staged sets that may have a partner: (sid, n, n_live, rare) with their rarest shared tokens, and (sid, n, copies, toks)."""
+    """Staged sets that may have a partner: (sid, n, n_live, rare) with the (length, name) of the lists of their rarest shared tokens, and (sid, n, copies, toks)."""
     pre = tokens_of(sets.filter("n > 0"), "pre")       # copies repeat the rows of their set
     shared = pre.groupBy("tok").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).filter("x < y").select("tok")
     live = pre.join(shared, "tok").groupBy("sid").agg(F.count("*").alias("live"))
@@ -99,9 +103,10 @@ def live_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, num: int, de
     with session_settings(docs.sparkSession, BLOOM_JOIN):
         kept = staged(texts.select("text").mapInArrow(full_sets, "sid long, n long, toks binary").dropDuplicates(["sid"]).join(survivors, "sid"), "join-kept")
     tokens = tokens_of(kept, "toks")
-    df = tokens.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
+    # any function of the token serves as its list's name: sets that share two tokens share two names, or one name twice
+    df = tokens.groupBy("tok").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("sid")).alias("list")).filter("df > 1")
     ranked = (tokens.join(df, "tok").groupBy("sid")
-              .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("rare")))   # one set's tokens: bounded by its text
+              .agg(F.array_sort(F.collect_list(F.struct("df", "list"))).alias("rare")))   # one set's tokens: bounded by its text
     need = least_overlap(F.col("n"), num, den)
     live = F.size("rare").cast("long")
     out = (kept.select("sid", "n").join(ranked, "sid").filter(live >= need).withColumn("n_live", live)
@@ -109,18 +114,28 @@ def live_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, num: int, de
     return staged(out, "join-live"), kept
 
 
+def rarest(live_column: str, num: int, den: int, more: int):
+    """Lists of the ``n - c + more`` rarest tokens of a set, less those that no other set has, in order."""
+    need = least_overlap(F.col("n"), num, den)
+    return F.slice(live_column, 1, F.greatest(F.lit(0), F.col("n_live") - need + more).cast("int"))
+
+
+def twice(lists):
+    """The lists that hold two or more of the tokens."""
+    return F.array_distinct(F.filter(lists, lambda x, i: (i > 0) & (F.get(lists, i - 1) == x)))
+
+
 def boundary(live: DataFrame, num: int, den: int) -> float:
     """Largest size of a small set: minimises subsets enumerated plus list entries scanned.
 
     Costs are summed per size class (a quarter octave), so the table that
     reaches the driver is bounded by the logarithm of the longest text."""
-    n, c = F.col("n"), least_overlap(F.col("n"), num, den)
-    dead = n - F.col("n_live")
-    q2 = F.greatest(F.lit(0), n - c + 2 - dead)
-    q1 = F.greatest(F.lit(0), n - c + 1 - dead)
-    scans = F.aggregate(F.slice("rare", 1, F.greatest(q1, F.lit(1)).cast("int")), F.lit(0).cast("long"), lambda a, x: a + x["df"])
-    size = F.floor(F.log2(n) * SIZE_CLASSES_PER_OCTAVE).cast("int")
-    rows = live.groupBy(size.alias("s")).agg(F.sum(q2 * (q2 - 1) / 2).alias("subsets"), F.sum(scans).alias("scans")).orderBy("s").collect()
+    one, two = rarest("rare", num, den, 1), rarest("rare", num, den, 2)
+    lists = F.size(F.array_distinct(two))
+    subsets = lists * (lists - 1) / 2 + F.size(twice(two))
+    scans = F.aggregate(F.array_distinct(one), F.lit(0).cast("long"), lambda a, x: a + x["df"])
+    size = F.floor(F.log2("n") * SIZE_CLASSES_PER_OCTAVE).cast("int")
+    rows = live.groupBy(size.alias("s")).agg(F.sum(subsets).alias("subsets"), F.sum(scans).alias("scans")).orderBy("s").collect()
     best, cut = None, 0.0
     for k in range(len(rows) + 1):
         cost = sum(r["subsets"] for r in rows[:k]) + sum(r["scans"] for r in rows[k:])
@@ -130,16 +145,16 @@ def boundary(live: DataFrame, num: int, den: int) -> float:
 
 
 def signatures(live: DataFrame, cut: float, num: int, den: int) -> DataFrame:
-    """(id, sig): 2-subsets of small sets, list tokens of large sets and of small sets near the boundary."""
-    n, c = F.col("n"), least_overlap(F.col("n"), num, den)
-    dead = n - F.col("n_live")
-    toks = F.transform("rare", lambda x: x["tok"])
-    first2 = F.slice(toks, 1, F.greatest(F.lit(0), n - c + 2 - dead).cast("int"))
-    first1 = F.slice(toks, 1, F.greatest(F.lit(0), n - c + 1 - dead).cast("int"))
-    pairs = F.flatten(F.transform(first2, lambda x, i: F.transform(
-        F.slice(first2, i + 2, F.size(first2)), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y)))))
-    small = live.filter(n < cut).select(F.col("sid").alias("id"), F.explode(pairs).alias("sig"), F.lit(2).alias("kind"))
-    large = live.filter(n >= cut * num / den).select(F.col("sid").alias("id"), F.explode(first1).alias("sig"), F.lit(1).alias("kind"))
+    """(id, sig, kind): 2-subsets of the lists of small sets; lists of large sets and of small sets near the boundary."""
+    n = F.col("n")
+    names = live.withColumn("one", F.transform(rarest("rare", num, den, 1), lambda x: x["list"])).withColumn(
+        "two", F.transform(rarest("rare", num, den, 2), lambda x: x["list"]))
+    lists = F.array_distinct("two")
+    pairs = F.flatten(F.transform(lists, lambda x, i: F.transform(
+        F.slice(lists, i + 2, F.size(lists)), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y)))))
+    both = F.concat(pairs, F.transform(twice(F.col("two")), lambda x: F.xxhash64(x, x)))
+    small = names.filter(n < cut).select(F.col("sid").alias("id"), F.explode(both).alias("sig"), F.lit(2).alias("kind"))
+    large = names.filter(n >= cut * num / den).select(F.col("sid").alias("id"), F.explode(F.array_distinct("one")).alias("sig"), F.lit(1).alias("kind"))
     return small.union(large)
 
 

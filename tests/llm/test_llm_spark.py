@@ -127,6 +127,22 @@ def test_jaccard_join_both_sides_of_the_boundary(spark, monkeypatch):
         assert [got[i]["n_links"] for i in range(len(texts))] == links, cut
 
 
+def test_jaccard_join_of_sets_that_share_one_list(spark, monkeypatch):
+    """Pairs at exactly 0.8 whose shared tokens have equal inverted lists: one list is all they share."""
+    texts = []
+    for k in range(4):
+        base = prose(300 + k, 94)                             # 90 shingles
+        for same in (80, 79):                                 # 80 of 100, then 79 of 101
+            other = prose(400 + 10 * k + same, 94)
+            texts += [" ".join([f"{k}x{same}{w}" for w in base]), " ".join([f"{k}x{same}{w}" for w in base[:same + 4]] + other[same + 4:])]
+    _, comp, links = brute_jaccard(texts)
+    assert links == [1, 1, 0, 0] * 4
+    for cut in (0.0, 1e9):
+        monkeypatch.setattr(ngram_join, "boundary", lambda *a, c=cut: c)
+        got = {r["doc_id"]: r for r in ngram_join.jaccard_components(docs_of(spark, texts)).collect()}
+        assert [got[i]["component_id"] for i in range(len(texts))] == comp, cut
+
+
 def test_one_document_of_each_group_stays(spark):
     texts = near_copies()
     comp = brute_jaccard(texts)[1]

@@ -120,15 +120,35 @@ def onehot_long(tx: DataFrame, tid: str, items: str = "items") -> DataFrame:
 
 
 def onehot_matrix(tx: DataFrame, tid: str, items: str = "items", max_items: int = 5_000) -> DataFrame:
-    """Boolean matrix, one column per item in sorted order (bounded width)."""
+    """Boolean matrix, one column per item in sorted order (bounded width; ``onehot_sparse`` has no bound)."""
     long = onehot_long(tx, tid, items)
     names = sorted(r[0] for r in long.select("item").distinct().limit(max_items + 1).collect())
     if len(names) > max_items:
-        raise ValueError(f"more than {max_items} distinct items; use onehot_long")
+        raise ValueError(f"more than {max_items} distinct items; use onehot_sparse")
     wide = long.groupBy(tid).pivot("item", names).agg(F.count(F.lit(1)))
     return wide.select(tid, *[F.coalesce(_c(n) > 0, F.lit(False)).alias(n) for n in names])
 
 
+def onehot_sparse(tx: DataFrame, tid: str, items: str = "items", codes: DataFrame | None = None,
+                  out: str = "onehot") -> tuple:
+    """Sparse 0/1 vector per ``tid`` over any number of items: ``(frame, codes)``.
+
+    ``codes`` (v, code) numbers the items in sorted order and is a table, not a list
+    on the driver; pass the one of an earlier call to encode new rows the
+    same way (unseen items set nothing).  A row without items has an empty vector."""
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    from tessera.operators.clean import code_table
+    if codes is None:
+        codes = code_table(tx.select(F.explode(_c(items)).alias("v")))
+    width = codes.count()
+    vector = F.udf(lambda on: SparseVector(width, on, [1.0] * len(on)), VectorUDT())
+    long = tx.select(_c(tid), F.explode_outer(F.array_distinct(_c(items))).alias("_item"))
+    coded = long.join(codes.select(F.col("v").alias("_item"), F.col("code").alias("_code")), "_item", "left")
+    rows = coded.groupBy(_c(tid)).agg(F.array_sort(F.collect_set("_code")).alias("_on"))   # bounded by the items of a row
+    return rows.select(_c(tid), vector("_on").alias(out)), codes
+
+
 # F7
 def get_X_y(df: DataFrame, feature_cols: list | None = None, target: str | None = P.TARGET_COL,
             extra_features: bool = False, features_col: str = "features", label_col: str = "label",

@@ -185,6 +185,20 @@ def q_f6b(spark, sf):
     return FE.onehot_matrix(tx, "tid")
 
 
+@query("f6_onehot_sparse_conversations", f"""
+WITH long AS (SELECT DISTINCT conv_id * 1000 + turn AS tid, unnest(items) AS item FROM ({CONV_TX_SQL})),
+codes AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS code FROM (SELECT DISTINCT item FROM long))
+SELECT tid, (SELECT count(*) FROM codes) AS width, string_agg(CAST(code AS VARCHAR), ',' ORDER BY code) AS positions
+FROM long JOIN codes USING (item) GROUP BY tid""")
+def q_f6c(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    tx = conv_tx(spark, sf).withColumn("tid", F.col("conv_id") * 1000 + F.col("turn"))
+    rows, _ = FE.onehot_sparse(tx, "tid")
+    dense = vector_to_array("onehot")
+    on = F.filter(F.transform(dense, lambda x, i: F.when(x == 1.0, i)), lambda i: i.isNotNull())
+    return rows.select("tid", F.size(dense).cast("long").alias("width"), F.array_join(on.cast("array<string>"), ",").alias("positions"))
+
+
 # ------------------------------------------------------------- rules
 
 @query("a1_apriori_itemsets_lineitem", itemsets_sql(LI_TX_SQL, 0.05))

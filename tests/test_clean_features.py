@@ -133,3 +133,14 @@ def test_codes_of_an_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "c string")
     codes = C.fit_codes(df, ["c"])
     assert codes["c"].count() == 0 and [r["c"] for r in C.encode_categoricals(df, ["c"], codes).collect()] == [-1, -1]
+
+
+def test_onehot_sparse_of_many_items(spark):
+    tx = spark.range(2_000).select(F.col("id").alias("tid"), F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.format_string("i%05d", F.col("id") * 10 + k)).alias("items"))
+    rows, codes = FE.onehot_sparse(tx, "tid")
+    got = {r["tid"]: r["onehot"] for r in rows.collect()}
+    assert codes.count() == 20_000 and len(got) == 2_000
+    assert all(v.size == 20_000 and v.indices.tolist() == list(range(10 * t, 10 * t + 10)) for t, v in got.items())
+    new = spark.createDataFrame([(1, ["i00003", "i00003", "unseen", None]), (2, []), (3, None)], "tid long, items array<string>")
+    again = {r["tid"]: r["onehot"].indices.tolist() for r in FE.onehot_sparse(new, "tid", codes=codes)[0].collect()}
+    assert again == {1: [3], 2: [], 3: []}

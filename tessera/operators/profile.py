@@ -118,6 +118,53 @@ def correlation_matrix(df: DataFrame, cols: list | None = None, lower_only: bool
     return one.select(F.inline(F.array(*structs)))
 
 
+def correlation_gram(df: DataFrame, cols: list | None = None, slots: int = 64) -> DataFrame:
+    """``correlation_matrix`` for many columns: one pass of blocked matrix products.
+
+    Every task adds up counts, sums, squares and cross products of its rows around the
+    column means (pairwise complete) and returns one record per column; records are
+    summed over ``slots``, then over columns, as a stream, so no task holds more than
+    its columns.  Nulls and NaN are missing; a pair with a constant side is null."""
+    import numpy as np
+    import pandas as pd
+    cols = list(cols or numeric_columns(df))
+    c = len(cols)
+    num = df.select(*[F.col(f"`{x}`").cast("double").alias(f"c{i}") for i, x in enumerate(cols)])
+    means = num.agg(*[F.avg(F.nanvl(f"c{i}", F.lit(None).cast("double"))) for i in range(c)]).first()
+    centre = np.array([0.0 if m is None else m for m in means])
+
+    def products(batches):
+        total = np.zeros((4, c, c))
+        for pdf in batches:
+            x = pdf.to_numpy("f8", na_value=np.nan) - centre
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype("f8")
+            total += [m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x]
+        n, s, q, p = total
+        parts = np.stack([n, s, s.T, q, q.T, p], axis=1)        # by column: one row per statistic
+        yield pd.DataFrame({"i": np.arange(c, dtype="i4"), "parts": [a.tobytes() for a in parts]})
+
+    def summed(batches):
+        total: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for i, b in zip(pdf["i"], pdf["parts"]):
+                a = np.frombuffer(b)
+                total[i] = total[i] + a if i in total else a
+        yield pd.DataFrame({"i": pd.array(list(total), "int32"), "parts": [a.tobytes() for a in total.values()]})
+
+    def correlations(batches):
+        for pdf in batches:
+            for i, b in zip(pdf["i"], pdf["parts"]):
+                n, sx, sy, qx, qy, p = np.frombuffer(b).reshape(6, c)
+                vx, vy = n * qx - sx * sx, n * qy - sy * sy
+                ok = (vx > 1e-10 * n * qx) & (vy > 1e-10 * n * qy)
+                r = np.where(ok, (n * p - sx * sy) / np.sqrt(np.where(ok, vx * vy, 1.0)), np.nan)
+                yield pd.DataFrame({"col_a": cols[i], "col_b": cols, "corr": pd.array([float(v) if k else None for v, k in zip(r, ok)], "Float64")})
+    one = num.mapInPandas(products, "i int, parts binary").withColumn("slot", F.spark_partition_id() % slots)
+    by_slot = one.repartition("i", "slot").select("i", "parts").mapInPandas(summed, "i int, parts binary")
+    return by_slot.repartition("i").mapInPandas(summed, "i int, parts binary").mapInPandas(correlations, "col_a string, col_b string, corr double")
+
+
 # E9
 def correlation_with_target(df: DataFrame, target: str, cols: list | None = None) -> DataFrame:
     cols = [c for c in (cols or numeric_columns(df)) if c != target]

@@ -84,6 +84,11 @@ def q_e8(spark, sf):
     return r6(E.correlation_matrix(load(spark, sf, "lineitem"), LI_NUM))
 
 
+@query("e8_correlation_gram_lineitem", _corr_sql())
+def q_e8b(spark, sf):
+    return r6(E.correlation_gram(load(spark, sf, "lineitem"), LI_NUM))
+
+
 @query("e9_correlation_with_target_lineitem", "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, round(corr({c}, CAST(label2 AS DOUBLE)), 6) AS corr FROM {LI_LABEL_SQL}"
     for c in LI_NUM))

@@ -144,3 +144,17 @@ def test_onehot_sparse_of_many_items(spark):
     new = spark.createDataFrame([(1, ["i00003", "i00003", "unseen", None]), (2, []), (3, None)], "tid long, items array<string>")
     again = {r["tid"]: r["onehot"].indices.tolist() for r in FE.onehot_sparse(new, "tid", codes=codes)[0].collect()}
     assert again == {1: [3], 2: [], 3: []}
+
+
+def test_correlation_gram_of_300_columns(spark):
+    import numpy as np
+    import pandas as pd
+    g = np.random.default_rng(3)
+    x = g.normal(1e6, 5.0, (200, 300)) + g.normal(0, 4.0, (200, 1))
+    x[g.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 2.5
+    pdf = pd.DataFrame(x, columns=[f"x{i}" for i in range(300)])
+    got = E.correlation_gram(spark.createDataFrame(pdf).repartition(5)).toPandas().pivot(index="col_a", columns="col_b", values="corr")
+    want = pdf.corr().loc[got.index, got.columns]
+    want.loc["x7"] = want["x7"] = np.nan
+    np.testing.assert_allclose(got.to_numpy("f8"), want.to_numpy(), atol=1e-8)

@@ -17,12 +17,16 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import gapless_rank, running_sum, staged, with_row_id
+from .common import drop_staged, gapless_rank, running_sum, staged, with_row_id
+
+ROWS_PER_FILE = 1_000_000
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -134,17 +138,55 @@ def reshard_documents(docs: DataFrame, n_shards: int = 16, n_old: int = 12) -> D
                       F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
-def rewrite_affected(rows: DataFrame, n_shards: int, capacity: list[int], out_dir: str) -> list[int]:
-    """Reshard whole rows and rewrite only the shards that change.
+class Rewrite(NamedTuple):
+    """Shards of a rewritten layout: ``written`` have new files, ``emptied`` stay without rows, ``removed`` are no more."""
+
+    written: list[int]
+    emptied: list[int]
+    removed: list[int]
+
+
+def rewrite_layout(rows: DataFrame, n_shards: int, capacity: list[int] | None, out_dir: str) -> Rewrite:
+    """Reshard whole rows and rewrite only the shards that change, also in the folder they came from.
 
     ``rows`` carry ``old_shard``, ``size`` and a unique, staged ``rid`` besides
-    their own columns.  Shards that neither lose nor gain rows are left alone;
-    the others are written to ``out_dir/shard=k``.  Returns the written shards."""
-    placed = staged(reshard(rows, n_shards, capacity), "shard-placed")
-    moved = placed.filter(F.col("old_shard") != F.col("shard"))
-    pairs = moved.select("old_shard", "shard").distinct().collect()  # at most old x new shards
-    gained = {r["shard"] for r in pairs}
-    touched = gained | {r["old_shard"] for r in pairs}
-    keep = [k for k in sorted(touched) if k < n_shards]
-    placed.filter(F.col("shard").isin(keep)).drop("rid").write.mode("overwrite").partitionBy("shard").parquet(out_dir)
-    return keep
+    their own columns, whatever the names of those; a column ``shard`` is the old
+    layout's and is replaced.  Shards that neither lose nor gain rows are left
+    alone.  The others are first written whole to a new folder inside
+    ``out_dir``; only then each ``out_dir/shard=k`` moves aside, its successor
+    takes its place, and the old files go last, so a job that is lost before the
+    swap leaves the layout as it was.  Files hold the columns of ``rows`` but
+    ``old_shard`` and ``rid``, in order of the new slots."""
+    spark = rows.sparkSession
+    own = [c for c in rows.columns if c not in ("old_shard", "size", "rid", "shard")]
+    packed = rows.select("old_shard", "size", "rid", F.struct(F.lit(True).alias("any"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(own)]).alias("row"))
+    placed = staged(reshard(packed, n_shards, capacity), "shard-placed")
+    pairs = placed.filter("old_shard <> shard").select("old_shard", "shard").distinct().collect()      # at most old x new shards
+    touched = {r["shard"] for r in pairs} | {r["old_shard"] for r in pairs}
+    held = {r["shard"] for r in placed.select("shard").distinct().collect()}
+    written = sorted(touched & held)
+    gone = sorted(touched - held)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    tag = uuid.uuid4().hex[:12]
+
+    def path(*parts):
+        return jvm.org.apache.hadoop.fs.Path("/".join((out_dir.rstrip("/"), *parts)))
+    fs = path().getFileSystem(conf)
+    if written:
+        out = placed.filter(F.col("shard").isin(written)).repartition("shard", F.floor(F.col("slot") / ROWS_PER_FILE)).sortWithinPartitions("shard", "slot")
+        out.select(*[F.col(f"row.c{k}").alias(c) for k, c in enumerate(own)], "size", "shard").write.partitionBy("shard").parquet(f"{out_dir.rstrip('/')}/_new-{tag}")
+    fs.mkdirs(path(f"_old-{tag}"))
+    for k in written + gone:
+        if fs.exists(path(f"shard={k}")) and not fs.rename(path(f"shard={k}"), path(f"_old-{tag}", f"shard={k}")):
+            raise OSError(f"shard {k} could not be moved aside; its files are unchanged")
+        if k in held and not fs.rename(path(f"_new-{tag}", f"shard={k}"), path(f"shard={k}")):
+            raise OSError(f"shard {k} could not be put in place; its rows are in _new-{tag} of the layout")
+    fs.delete(path(f"_old-{tag}"), True)
+    fs.delete(path(f"_new-{tag}"), True)
+    drop_staged(placed)
+    return Rewrite(written, [k for k in gone if k < n_shards], [k for k in gone if k >= n_shards])
+
+
+def rewrite_affected(rows: DataFrame, n_shards: int, capacity: list[int] | None, out_dir: str) -> list[int]:
+    """The shards that ``rewrite_layout`` wrote."""
+    return rewrite_layout(rows, n_shards, capacity, out_dir).written

@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop_staged, session_settings, staged
@@ -59,7 +59,7 @@ def least_overlap(n, num: int, den: int):
 
 
 def set_table(docs: DataFrame, num: int, den: int) -> DataFrame:
-    """Staged (doc_id, n, sid, pre): size and name of every document's set and its prefix in hash order.
+    """Staged (doc_id, text_name, n, sid, pre): size and name of every document's set and its prefix in hash order.
 
     Only prefixes (about a quarter of the tokens) are written; whole sets are
     made again for the few sets that may have a partner."""
@@ -73,9 +73,11 @@ def set_table(docs: DataFrame, num: int, den: int) -> DataFrame:
                 n.append(m)
                 sid.append(set_name(s) if m else None)
                 pre.append(s[:m - -(-m * num // den) + m // PREFIX_SHARE + 1].tobytes())
-            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(pre, pa.binary())],
-                                             names=["doc_id", "n", "sid", "pre"])
-    sets = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, sid long, pre binary")
+            yield pa.RecordBatch.from_arrays([rb.column("doc_id"), rb.column("text_name"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()), pa.array(pre, pa.binary())],
+                                             names=["doc_id", "text_name", "n", "sid", "pre"])
+    text = F.col("text").cast("string")
+    sets = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_name"), text.alias("text")).mapInArrow(
+        run, "doc_id long, text_name long, n long, sid long, pre binary")
     return staged(sets, "join-sets")
 
 
@@ -99,9 +101,12 @@ def live_sets(docs: DataFrame, sets: DataFrame, classes: DataFrame, num: int, de
     k = F.floor(F.col("n") / PREFIX_SHARE) + 1
     survivors = staged(classes.join(live, "sid").filter(F.col("live") >= k * F.col("copies")).select("sid", "id", "copies"), "join-survivors")
     # most documents have no partner: a Bloom filter of the survivors keeps their texts out of the shuffle
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string")).join(survivors.filter("copies > 0").select("id"), "id", "left_semi")
+    every = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
+    texts = every.join(survivors.filter("copies > 0").select("id"), "id", "left_semi").select("text")
+    # a class of rows without ids has none to join by: the texts without ids all come, their sets are chosen by name below
+    texts = texts.union(every.filter("id IS NULL").select("text"))
     with session_settings(docs.sparkSession, BLOOM_JOIN):
-        kept = staged(texts.select("text").mapInArrow(full_sets, "sid long, n long, toks binary").dropDuplicates(["sid"]).join(survivors, "sid"), "join-kept")
+        kept = staged(texts.mapInArrow(full_sets, "sid long, n long, toks binary").dropDuplicates(["sid"]).join(survivors, "sid"), "join-kept")
     tokens = tokens_of(kept, "toks")
     # any function of the token serves as its list's name: sets that share two tokens share two names, or one name twice
     df = tokens.groupBy("tok").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("sid")).alias("list")).filter("df > 1")
@@ -254,12 +259,13 @@ def verified(kept: DataFrame, groups: DataFrame, num: int, den: int) -> DataFram
     return sets.select("component", "i", "j", "blk", "id", "copies", "toks").groupBy("component", "i", "j").applyInPandas(run, "id long, other long, links long")
 
 
-def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links, class_id of every document."""
+def linked_classes(docs: DataFrame, num: int, den: int):
+    """(rows, classes): staged (doc_id, text_name, n, sid) of every document, and (sid, id, copies, component, links) of
+    every distinct set; ``component`` names the group, ``id`` is the class's smallest doc_id."""
     sets = set_table(docs, num, den)
     classes = staged(sets.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n")), "join-classes")
     live, kept = live_sets(docs, sets, classes, num, den)
-    slim = staged(sets.select("doc_id", "n", "sid"), "join-names")
+    slim = staged(sets.select("doc_id", "text_name", "n", "sid"), "join-names")
     drop_staged(sets)       # no later step reads the prefixes
     cut = boundary(live, num, den)
     found = staged(verified(kept, candidate_groups(live, cut, num, den), num, den), "join-links")
@@ -267,9 +273,17 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100) -> DataFr
     links = found.filter("links IS NOT NULL").groupBy("id").agg(F.sum("links").alias("links"))
     # sets are named by sid from here; a component's id is the smallest doc_id of its classes
     ids = classes.select("sid", "id", "copies").join(comps.select(F.col("node").alias("sid"), "component"), "sid", "left")
-    ids = ids.withColumn("component", F.coalesce("component", "sid"))
+    return slim, ids.withColumn("component", F.coalesce("component", "sid")).join(links.withColumnRenamed("id", "sid"), "sid", "left")
+
+
+def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links, class_id of every document.
+
+    Rows without doc_id link by their text as all others do; component_id and
+    class_id are null where no row of the group has an id."""
+    slim, ids = linked_classes(docs, num, den)
     low = ids.groupBy("component").agg(F.min("id").alias("component_id"))
-    per_class = (ids.join(low, "component").join(links.withColumnRenamed("id", "sid"), "sid", "left")
+    per_class = (ids.join(low, "component")
                  .select("sid", F.col("id").alias("class_id"), "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = slim.select("doc_id", F.col("n").alias("n_shingles"), "sid").join(per_class, "sid", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -277,8 +291,19 @@ def jaccard_components(docs: DataFrame, num: int = 80, den: int = 100) -> DataFr
 
 
 def keep_one_per_group(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """Documents of which one of each linked group stays: the smallest doc_id, once."""
-    groups = staged(jaccard_components(docs, num, den).select("doc_id", "component_id", "n_shingles").distinct(), "join-groups")
-    stay = groups.filter((F.col("doc_id") == F.col("component_id")) | F.col("component_id").isNull()).select(F.col("doc_id").alias("_stay"))
-    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.monotonically_increasing_id())
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay"))).drop("_stay").withColumn("_k", F.row_number().over(once)).filter("_k = 1").drop("_k")
+    """Documents of which one row of each linked group stays: that of the smallest doc_id, once.
+
+    The choice is made by row, not by id: of rows that share an id each belongs to
+    the group of its own text.  A group in which no row has an id keeps one of
+    them.  Rows without words link with nothing and all stay."""
+    slim, classes = linked_classes(docs, num, den)
+    rows = slim.filter("n > 0").join(classes.select("sid", "component"), "sid")
+    # ids first, the smallest of them; texts of one id by name
+    head = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_name"))).alias("h"))
+    head = staged(head.select(F.col("h.doc_id").alias("head_id"), F.col("h.text_name").alias("head_text")), "join-heads")
+    text = F.col("text").cast("string")
+    words = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.filter(words).select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("name"), row)
+    stay = keyed.join(head, (F.col("name") == F.col("head_text")) & F.col("id").eqNullSafe(F.col("head_id")), "left_semi")
+    return stay.dropDuplicates(["id", "name"]).select("row.*").union(docs.filter(~words))

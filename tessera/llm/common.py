@@ -6,6 +6,7 @@
 ``gapless_rank``  0..n-1 inside each key without a task per key.
 ``running_sum``   exclusive running sum inside each key, same construction.
 ``sole_cache``    a Python worker's cache that outlives tasks; it holds one at a time.
+``free_name``     a column name that a user's table does not have.
 """
 
 from __future__ import annotations
@@ -87,6 +88,14 @@ def drop_staged(df: DataFrame) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def free_name(columns, name: str) -> str:
+    """``name``, lengthened until none of ``columns`` has it (Spark compares names without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_id(df: DataFrame, name: str = "rid") -> DataFrame:
     """A unique row id; stage the result before joining on it."""
     return df.withColumn(name, F.monotonically_increasing_id())

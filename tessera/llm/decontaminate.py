@@ -6,18 +6,21 @@ holds the longest suffix of the words read so far that occurs in some item.  A
 matching length of at least ``window`` marks the last ``window`` words as hit;
 items shorter than a window are hit where the whole item is matched.
 
-The benchmark is cut into blocks of at most ``BLOCK_WORDS`` words, one
-automaton each (a bounded broadcast); a larger benchmark simply chains more
-blocks through the same narrow map, so no result is lost and documents are
-never shuffled.
+The benchmark is cut into blocks of at most ``BLOCK_WORDS`` words (or one
+longer item).  Tasks build one automaton per block and write it to the shared
+folder; the driver hands on one block at a time as a broadcast.  Documents meet
+the blocks one after another in a narrow map, their hits so far written in
+between, so a worker holds one automaton however large the benchmark is, no
+result is lost and documents are never shuffled.
 
 Null texts have no words; empty items are no window; repeated items and
-documents are judged one by one.
+documents are judged one by one.  Items without id mark the words they hit and
+count together as one item, which has no place in a list of item_ids.
 """
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 import re
 
 import numpy as np
@@ -26,8 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import drop_staged, free_name, staged
+
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BLOCK_WORDS = 400_000
+BYTES_PER_WORD = 8        # rough: sets how many tasks build automata, nothing else
+BLOCKS_PER_TASK = 8
 
 
 def words_of(text) -> list[bytes]:
@@ -148,24 +155,42 @@ class ItemAutomaton:
         return [(a, b) for a, b in spans], items
 
 
+def automata(batches, window: int, block_words: int):
+    """Batches of (item_id, text) -> (seq, automaton): pickled automata of at most ``block_words`` words each."""
+    def packed(seq, block):
+        return pd.DataFrame({"seq": [seq], "automaton": [pickle.dumps(ItemAutomaton(block, window), pickle.HIGHEST_PROTOCOL)]})
+    block, n, seq = [], 0, 0
+    for pdf in batches:
+        for item, text in zip(pdf["item_id"], pdf["text"]):
+            words = words_of(text)
+            if not words:
+                continue
+            if block and n + len(words) > block_words:
+                yield packed(seq, block)
+                block, n, seq = [], 0, seq + 1
+            block.append((item, words))
+            n += len(words)
+    if block:
+        yield packed(seq, block)
+
+
 def item_blocks(benchmark: DataFrame, window: int, block_words: int = BLOCK_WORDS):
-    """Yield broadcast automata over blocks of the benchmark, read block by block."""
+    """Yield one broadcast automaton per block of the benchmark; tasks build them, one task for about ``BLOCKS_PER_TASK``."""
     spark = benchmark.sparkSession
-    block, n = [], 0
-    for r in benchmark.select("item_id", "text").toLocalIterator():
-        words = words_of(r["text"])
-        if not words or r["item_id"] is None:
-            continue
-        if block and n + len(words) > block_words:
-            yield spark.sparkContext.broadcast(ItemAutomaton(block, window))
-            block, n = [], 0
-        block.append((r["item_id"], words))
-        n += len(words)
-    if block:
-        yield spark.sparkContext.broadcast(ItemAutomaton(block, window))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(1, -(-size // (block_words * BYTES_PER_WORD * BLOCKS_PER_TASK)))
+    built = items.repartition(tasks).mapInPandas(lambda b: automata(b, window, block_words), "seq int, automaton binary")
+    built = staged(built.withColumn("task", F.spark_partition_id()), "bench-automata")
+    # names of the blocks: a few bytes for every BLOCK_WORDS words
+    for r in built.select("task", "seq").orderBy("task", "seq").collect():
+        one = built.filter((F.col("task") == r["task"]) & (F.col("seq") == r["seq"])).select("automaton").first()[0]
+        yield spark.sparkContext.broadcast(pickle.loads(one))
+    drop_staged(built)
 
 
-HITS = "n_words long, hit_spans array<struct<lo:int,hi:int>>, item_ids array<string>"
+HIT_TYPES = ("long", "array<struct<lo:int,hi:int>>", "array<string>")
+HITS = ("n_words", "hit_spans", "item_ids")
 
 
 def merge_spans(spans):
@@ -178,34 +203,51 @@ def merge_spans(spans):
     return [tuple(x) for x in out]
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, columns=("doc_id",), text: str = "text") -> DataFrame:
-    """``columns`` of docs with n_words, hit_spans (word positions) and item_ids (sorted as strings)."""
-    blocks = list(item_blocks(benchmark, window))
-    keep = [F.col(c) for c in columns] + ([] if text in columns else [F.col(text)])
-    src = docs.select(*keep)
-    fields = [f for f in src.schema.fields if f.name in columns]
-    schema = T.StructType(fields + list(T._parse_datatype_string(HITS).fields))
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, columns=("doc_id",), text: str = "text", names=HITS) -> DataFrame:
+    """``columns`` of docs with n_words, hit_spans (word positions) and item_ids (sorted as strings; a null for items without id).
+
+    ``names`` are those of the three new columns, which ``columns`` must not hold."""
+    own = [F.col(c) for c in columns] + ([] if text in columns else [F.col(text)])
+    now, first = docs.select(*own), True
+    blocks = iter(item_blocks(benchmark, window))
+    shared = next(blocks, None)
+    while True:
+        after = next(blocks, None) if shared is not None else None
+        last = after is None
+        out = scan_block(now, shared, columns, text, names, first, last)
+        if last:
+            return out
+        out = staged(out, "bench-hits")
+        if not first:
+            drop_staged(now)
+        shared.unpersist()
+        now, first, shared = out, False, after
+
+
+def scan_block(src: DataFrame, shared, columns, text: str, names, first: bool, last: bool) -> DataFrame:
+    """One pass of the documents over one automaton (none: no hits), added to the hits that ``src`` brings unless it is the ``first``."""
+    keep = [f for f in src.schema.fields if f.name not in names and (f.name in columns or not last)]
+    schema = T.StructType(keep + [T.StructField(n, T._parse_datatype_string(k)) for n, k in zip(names, HIT_TYPES)])
 
     def run(batches):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
+        auto = shared.value if shared is not None else None
         for rb in batches:
             n_words, spans, found = [], [], []
-            for text_value in rb.column(text).to_pylist():
+            before = None if first else [rb.column(n).to_pylist() for n in names[1:]]
+            for k, text_value in enumerate(rb.column(text).to_pylist()):
                 words = words_of(text_value)
-                got, ids = [], set()
-                for b in blocks:
-                    s, i = b.value.scan(words)
-                    got += s
-                    ids |= i
-                if len(blocks) > 1:
-                    got = merge_spans(got)
+                got, ids = auto.scan(words) if auto else ([], set())
+                if before:
+                    got = merge_spans(got + [(x["lo"], x["hi"]) for x in before[0][k]])
+                    ids = ids.union(before[1][k])
                 n_words.append(len(words))
                 spans.append([{"lo": a, "hi": z} for a, z in got])
-                found.append(sorted(map(str, ids)))
-            cols = [rb.column(f.name).cast(arrow.field(f.name).type) for f in fields]
-            cols += [pa.array(x, type=arrow.field(k).type) for k, x in (("n_words", n_words), ("hit_spans", spans), ("item_ids", found))]
+                found.append(sorted(x for x in ids if x is not None) + [None] * (None in ids))
+            cols = [rb.column(f.name).cast(arrow.field(f.name).type) for f in keep]
+            cols += [pa.array(x, type=arrow.field(k).type) for k, x in zip(names, (n_words, spans, found))]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
     return src.mapInArrow(run, schema)
 
@@ -227,11 +269,12 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_hit
     A document with at most ``max_hit`` hit words is left as it is.  All input
     columns return; ``text`` loses the bytes from the first to the last word of
     each span, and ``n_chars``, if present, is the new length in characters."""
-    h = find_hits(docs, benchmark, window, columns=tuple(docs.columns))
-    n_hit = F.aggregate("hit_spans", F.lit(0), lambda a, s: a + s["hi"] - s["lo"])
-    h = h.filter(n_hit <= F.greatest(F.lit(max_hit), F.col("n_words") * F.lit(max_coverage)))
+    names = tuple(free_name(docs.columns, f"_{n}") for n in HITS)
+    h = find_hits(docs, benchmark, window, columns=tuple(docs.columns), names=names)
+    n_hit = F.aggregate(names[1], F.lit(0), lambda a, s: a + s["hi"] - s["lo"])
+    h = h.filter(n_hit <= F.greatest(F.lit(max_hit), F.col(names[0]) * F.lit(max_coverage)))
     cut = F.pandas_udf(cut_words, "string")
-    out = h.withColumn("text", F.when(n_hit > max_hit, cut("text", "hit_spans")).otherwise(F.col("text")))
+    out = h.withColumn("text", F.when(n_hit > max_hit, cut("text", names[1])).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(n_hit > max_hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -9,11 +9,15 @@ renderer walks the tree once and emits all visible text:
 * hidden: head, script, style, template, ... , ``hidden`` attributes, inline
   ``display:none`` and ``visibility:hidden`` (visible again inside where a
   descendant says so), closed ``details`` apart from their summary;
+* formulas (math) and the text of drawings (svg) run inline, without their
+  titles, descriptions, definitions and annotations; a select shows its chosen
+  option, else its first, and as a list (``multiple``, ``size``) all of them;
 * white space collapses, except in pre and textarea;
 * blocks start on their own line, paragraphs and headings with a blank line;
 * list items carry bullets or numbers and are indented by depth;
-* table cells are padded to their column's width, rows are lines; a nested
-  table is rendered inside its cell.
+* table cells are padded to their column's width (beyond ``MAX_PAD`` a column
+  is not padded further), rows are lines; cells span columns and rows as
+  ``colspan`` and ``rowspan`` say; a nested table is rendered inside its cell.
 
 Pages are independent, so this is one narrow ``mapInArrow``.  Null html is
 null text; empty or text-free html is an empty text.  Elements may
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -34,7 +39,7 @@ from pyspark.sql import types as T
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-INVISIBLE = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas svg math select".split())
+INVISIBLE = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl pre table figure fieldset hr".split())
 BLOCK = PARAGRAPH | frozenset("address article aside body caption center dd details dialog dir div dt figcaption footer form "
                               "header hgroup html legend li main menu nav option optgroup search section summary tbody td "
@@ -56,6 +61,12 @@ IMPLIED = {
     "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, {"html"}),
 }
+# never drawn inside svg and math; start tags that end these; their elements in which HTML goes on
+FOREIGN = frozenset("svg math".split())
+UNDRAWN = frozenset("title desc defs metadata symbol clippath mask marker pattern annotation annotation-xml".split())
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+                     "ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+INTEGRATION = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 SCOPE = frozenset("html table td th caption object template button".split())
 
 TOKEN = re.compile(r"<(?:!--(?:>|->|(?:.*?)(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|/([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
@@ -127,6 +138,15 @@ def build_tree(source: str) -> Node:
         if not opening:
             continue
         tag = opening.lower()
+        foreign = count["svg"] or count["math"]
+        if foreign and tag in BREAKOUT:
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].tag in INTEGRATION:
+                    break
+                if stack[i].tag in FOREIGN:
+                    pop_to(i)
+                    foreign = count["svg"] or count["math"]
+                    break
         if tag in CLOSES_P and count["p"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
@@ -146,6 +166,8 @@ def build_tree(source: str) -> Node:
                 pop_to(hit)
         raw_attrs = m.group(3) or ""
         node = Node(tag, parse_attrs(raw_attrs))
+        if foreign and tag in UNDRAWN:
+            node.attrs["hidden"] = ""
         stack[-1].kids.append(node)
         if tag in VOID:
             continue
@@ -157,7 +179,7 @@ def build_tree(source: str) -> Node:
             node.kids.append(body)
             pos = close.end() if close else end
             continue
-        if not raw_attrs.rstrip().endswith("/") or tag not in ("path", "circle", "rect", "line"):
+        if not (raw_attrs.rstrip().endswith("/") and (foreign or tag in FOREIGN)):
             stack.append(node)
             count[tag] += 1
     return root
@@ -246,28 +268,80 @@ class Lines:
         return "".join(self.out).strip("\n")
 
 
+def _span(cell, name: str, most: int) -> int:
+    value = cell.attrs.get(name, "").strip() if isinstance(cell, Node) and cell.tag in ("td", "th") else ""
+    return min(int(value), most) if value.isascii() and value.isdigit() and len(value) < 10 else 1
+
+
+def _place(rows) -> list[list[tuple[int, int]]]:
+    """(first column, end column) of every cell, after the cells beside it and those that reach down from above."""
+    busy: dict[int, int] = {}       # column -> first row below the cell that reaches down there
+    out = []
+    for r, cells in enumerate(rows):
+        at, places = 0, []
+        for cell, _ in cells:
+            while busy.get(at, 0) > r:
+                at += 1
+            wide, high = max(_span(cell, "colspan", 1000), 1), _span(cell, "rowspan", 65534) or len(rows)
+            if high > 1:
+                for k in range(at, at + wide):
+                    busy[k] = r + high
+            places.append((at, at + wide))
+            at += wide
+        out.append(places)
+    return out
+
+
 def _render_table(table: Node, shown: bool, depth: int) -> list[str]:
     captions, rows = _ordered_rows(table, shown)
     lines = []
     for c, v in captions:
         lines += _render(c, v, depth).split("\n")
-    grid = [[_render(c, v, depth).split("\n") if isinstance(c, Node) else [" ".join(c.split())] for c, v in cells] for cells in rows]
-    grid = [r for r in grid if any(x != [""] for x in r)]
-    widths: list[int] = []
+    places = _place(rows)
+    # only columns in which a cell begins are drawn
+    column = {c: k for k, c in enumerate(sorted({a for p in places for a, _ in p}))}
+    starts = list(column)
+    grid = []
+    for cells, p in zip(rows, places):
+        drawn = [_render(c, v, depth).split("\n") if isinstance(c, Node) else [" ".join(c.split())] for c, v in cells]
+        if any(x != [""] for x in drawn):
+            grid.append([(column[a], bisect_left(starts, z), cell) for (a, z), cell in zip(p, drawn)])
+    widths = [0] * len(starts)
+    for spanning in (False, True):
+        for r in grid:
+            for a, z, cell in r:
+                if (z - a > 1) == spanning:
+                    widths[z - 1] = max(widths[z - 1], max(map(len, cell)) - sum(min(w, MAX_PAD) + 2 for w in widths[a:z - 1]))
+    ends = [0]
+    for w in widths:
+        ends.append(ends[-1] + min(w, MAX_PAD) + 2)
     for r in grid:
-        for k, cell in enumerate(r):
-            w = max(map(len, cell))
-            if k == len(widths):
-                widths.append(w)
-            elif w > widths[k]:
-                widths[k] = w
-    for r in grid:
-        for h in range(max(map(len, r))):
-            cells = [cell[h] if h < len(cell) else "" for cell in r]
-            lines.append("  ".join(c.ljust(min(widths[k], MAX_PAD)) for k, c in enumerate(cells)).rstrip())
+        for h in range(max(len(cell) for _, _, cell in r)):
+            line, at = [], 0        # at: where the next cell would begin if none were missing
+            for a, z, cell in r:
+                line.append(" " * (ends[a] - at) + (cell[h] if h < len(cell) else "").ljust(ends[z] - ends[a] - 2) + "  ")
+                at = ends[z]
+            lines.append("".join(line).rstrip())
     return lines
 
 
+def _options(select: Node) -> tuple[list[Node], bool]:
+    """(options that a select shows, whether it is a list)."""
+    found, stack = [], list(reversed(select.kids))
+    while stack:
+        n = stack.pop()
+        if isinstance(n, Node) and visibility(n, True)[0]:
+            if n.tag == "option":
+                found.append(n)
+            else:
+                stack.extend(reversed(n.kids))
+    size = select.attrs.get("size", "").strip()
+    if "multiple" in select.attrs or (size.isascii() and size.isdigit() and int(size[:9]) > 1):
+        return found, True
+    chosen = [n for n in found if "selected" in n.attrs][-1:] or [n for n in found if "disabled" not in n.attrs][:1]
+    return chosen, False
+
+
 def _ordered_rows(table: Node, shown: bool):
     captions, rows = [], []
 
@@ -333,6 +407,18 @@ def _render(top: Node, shown: bool = True, depth: int = 0) -> str:
                 out.breaks = max(out.breaks, 0) + 1
             out.block(2)
             continue
+        if tag == "select":
+            options, listed = _options(item)
+            if not listed:      # inline, apart from its neighbours
+                out.text(" ")
+                stack.append((" ", True, False, lists))
+                stack.extend((k, v, False, lists) for n in options for k in reversed(n.kids))
+            else:
+                stack.extend((n, v, False, lists) for n in reversed(options))
+            continue
+        if tag in ("text", "mtext"):    # labels of a drawing or formula stand apart
+            out.text(" ")
+            stack.append((" ", True, False, lists))
         gap = 2 if tag in PARAGRAPH else 1 if tag in BLOCK else 0
         if tag in ("ul", "ol", "menu", "dir"):
             if lists:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ARROW_ROWS, held_out, release_caches, session_settings, staged
+from .common import ARROW_ROWS, free_name, held_out, release_caches, session_settings, staged
 
 MAX_ROWS = 20_000       # labelled rows learned from at most (bounded training sample)
 TOP_WORDS = 5           # strongest distinct words that count
@@ -279,14 +279,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int
     return docs.sparkSession.sparkContext.broadcast((model, *evidence_table(docs, labels, model, label, max_rows)))
 
 
-def scored(docs: DataFrame, labels: DataFrame, columns=("doc_id",)) -> DataFrame:
-    """``columns`` of docs and ``score`` in [0, 1]."""
+def scored(docs: DataFrame, labels: DataFrame, columns=("doc_id",), score: str = "_score") -> DataFrame:
+    """``columns`` of docs and ``score`` (a name that is not among them) in [0, 1]."""
     shared = fit(docs, labels)
     # the text crosses to Python once: as its column where that is kept as a string
     own = "text" in columns and docs.schema["text"].dataType.simpleString() == "string"
-    src = docs.select(*columns) if own else docs.select(*columns, F.col("text").cast("string").alias("_text"))
-    source = "text" if own else "_text"
-    kept = [f.name for f in src.schema.fields if f.name != "_text"]
+    source = "text" if own else free_name(columns, "_text")
+    src = docs.select(*columns) if own else docs.select(*columns, F.col("text").cast("string").alias(source))
+    fields = [f for f in src.schema.fields if own or f.name != source]
+    kept = [f.name for f in fields]
 
     def run(batches):
         import pyarrow as pa
@@ -294,10 +295,9 @@ def scored(docs: DataFrame, labels: DataFrame, columns=("doc_id",)) -> DataFrame
         scorer = Scorer(*shared.value)
         for rb in batches:
             s = [scorer.score(t) for t in rb.column(source).to_pylist()]
-            yield pa.RecordBatch.from_arrays([rb.column(c) for c in kept] + [pa.array(s, pa.float64())], names=kept + ["_score"])
+            yield pa.RecordBatch.from_arrays([rb.column(c) for c in kept] + [pa.array(s, pa.float64())], names=kept + [score])
     from pyspark.sql import types as T
-    schema = T.StructType([f for f in src.schema.fields if f.name != "_text"] + [T.StructField("_score", T.DoubleType())])
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, T.StructType(fields + [T.StructField(score, T.DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -309,4 +309,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5)
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Documents scored below ``threshold``, with all their columns."""
-    return scored(docs, labels, columns=tuple(docs.columns)).filter(F.col("_score") < threshold).drop("_score")
+    score = free_name(docs.columns, "_score")
+    return scored(docs, labels, columns=tuple(docs.columns), score=score).filter(F.col(score) < threshold).drop(score)

@@ -359,3 +359,83 @@ def test_exact_repeats_beside_verified_passages(spark):
         ids += [1 + k, 101 + k, 201 + k]
     rows = substring_dedup.repeated_passages(docs_of(spark, texts, ids)).collect()
     assert [k for k in range(60) if len(covered(rows, 201 + k)) < 112] == []
+
+
+def layout(path):
+    return {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in path.glob("shard=*")}
+
+
+def test_rewriting_a_layout_in_its_own_folder(spark, tmp_path):
+    from pyspark.sql import functions as F
+    out = tmp_path / "layout"
+    names = ("at", "slot", "_b", "row", "text")
+    first = spark.createDataFrame([(k, 10, i, f"{i}", None, i * 2, f"t{i}") for k, n in ((0, 6), (1, 2), (2, 4)) for i in range(n)],
+                                  "shard int, size long, at long, slot string, _b int, row int, text string")
+    first.write.partitionBy("shard").parquet(str(out))
+    before = layout(out)
+    want = sorted((r["at"], r["slot"], r["_b"], r["row"], r["text"]) for r in first.collect())
+
+    def rows():
+        return staged(with_row_id(spark.read.parquet(str(out)).withColumn("old_shard", F.col("shard"))), "t")
+    got = sharding.rewrite_layout(rows(), 3, [40, 40, 40], str(out))
+    assert got == ([0, 1], [], [])
+    back = spark.read.parquet(str(out))
+    assert sorted(tuple(r) for r in back.select(*names).collect()) == want       # no row lost, no column touched
+    assert {r["shard"]: r["count"] for r in back.groupBy("shard").count().collect()} == {0: 4, 1: 4, 2: 4}
+    assert layout(out)["shard=2"] == before["shard=2"] and {d.name for d in out.iterdir() if d.is_dir()} == {"shard=0", "shard=1", "shard=2"}
+    assert sharding.rewrite_layout(rows(), 2, [60, 60], str(out)) == ([0, 1], [], [2])     # fewer shards
+    assert sorted(tuple(r) for r in spark.read.parquet(str(out)).select(*names).collect()) == want and "shard=2" not in layout(out)
+    assert sharding.rewrite_layout(rows(), 2, [120, 0], str(out)) == ([0], [1], [])        # a shard left without rows
+    assert sorted(tuple(r) for r in spark.read.parquet(str(out)).select(*names).collect()) == want and set(layout(out)) == {"shard=0"}
+    assert sharding.rewrite_layout(rows(), 2, [120, 0], str(out)) == ([], [], [])          # nothing moves
+
+
+def test_jaccard_join_of_null_and_repeated_ids(spark):
+    base = prose(900, 60)
+    near = " ".join(base[:59] + ["other"])
+    texts = [" ".join(base), near, " ".join(base) + " tail", *[" ".join(prose(901, 40)), " ".join(prose(901, 39) + ["x"])], " ".join(prose(902, 30)), None, None]
+    ids = [None, 5, 7, None, None, 5, 5, None]
+    d = docs_of(spark, texts, ids)
+    comp, links = brute_jaccard(texts)[1:]
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["n_links"]) for r in ngram_join.jaccard_components(d).collect())
+    low = [min([j for j, c in zip(ids, comp) if c == comp[i] and j is not None], default=0) for i in range(len(ids))]
+    assert got == sorted((ids[i] or 0, low[i], links[i]) for i in range(len(ids))) and links[:5] == [2, 2, 2, 1, 1]
+    kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one_per_group(d).collect()]
+    assert (5, near) in kept and (5, texts[5]) in kept and (5, None) in kept and (None, None) in kept       # both texts of 5: their own groups
+    assert sum(t in texts[3:5] for _, t in kept) == 1 and len(kept) == 5
+    twice = docs_of(spark, [near, texts[0], texts[5]], [2, 1, 1])
+    assert sorted((r["doc_id"], r["text"]) for r in ngram_join.keep_one_per_group(twice).collect()) == sorted([(1, texts[0]), (1, texts[5])])
+    twice = docs_of(spark, [texts[0], near, texts[5]], [1, 2, 2])
+    assert sorted((r["doc_id"], r["text"]) for r in ngram_join.keep_one_per_group(twice).collect()) == sorted([(1, texts[0]), (2, texts[5])])
+
+
+def test_decontamination_of_items_without_id(spark):
+    import hashlib
+    item, other = prose(1, 10), prose(2, 12)
+    bench = spark.createDataFrame([(None, " ".join(item)), (7, " ".join(other)), (None, " ".join(prose(3, 11)))], "item_id long, text string")
+    d = docs_of(spark, [" ".join(prose(4, 5) + item), " ".join(item + other), " ".join(other), None])
+    for words in (400_000, 5):      # one block; one block for each item
+        blocks = list(decontaminate.item_blocks(bench, 10, block_words=words))
+        assert len(blocks) == (1 if words > 5 else 3)
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(decontaminate, "item_blocks", lambda *a, b=blocks: b)
+            out = {r["doc_id"]: r for r in decontaminate.contamination(d, bench).collect()}
+        sha = [hashlib.sha256(x).hexdigest() for x in (b"", b"7")]
+        assert [(out[i]["n_hit"], out[i]["n_items"], out[i]["items_sha256"], out[i]["contaminated"]) for i in range(4)] == [
+            (10, 1, sha[0], True), (22, 2, sha[1], True), (12, 1, sha[1], True), (0, 0, sha[0], False)]
+
+
+def test_columns_of_any_name_pass_the_filters(spark):
+    from pyspark.sql import functions as F
+    names = ["n_words", "hit_spans", "item_ids", "_n_words", "_score", "_text", "_sig", "_first", "_spans", "_k", "_d", "_s", "_fs", "row", "name", "id", "text_name", "sid"]
+    item, p = prose(1, 30), prose(2, 60)
+    texts = [" ".join(prose(3, 40) + p), " ".join(prose(4, 50) + p), " ".join(prose(5, 60) + item[:15]), " ".join(prose(6, 30)), " ".join(prose(6, 30)), None, ""]
+    d = docs_of(spark, texts)
+    d = d.select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    lab = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for out, ids in ((decontaminate.remove_hits(d, bench), range(7)), (substring_dedup.remove_repeats(d), range(7)),
+                     (ngram_join.keep_one_per_group(d), (0, 1, 2, 3, 5, 6)), (toxicity.keep_clean(d, lab, threshold=0.6), range(7))):
+        rows = out.collect()
+        assert out.columns == d.columns and sorted(r["doc_id"] for r in rows) == list(ids)
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)

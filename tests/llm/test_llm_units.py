@@ -286,7 +286,7 @@ def test_rendering():
 
 
 @pytest.mark.parametrize("html,text", [("", ""), ("  ", ""), ("<", "<"), ("<p", ""), ("<!--", ""), ("a<!-- b -->c", "ac"), ("<table><td>a", "a"),
-                                       ("1 < 2 &lt; 3", "1 < 2 < 3"), ("<P>A</P><SCRIPT>z</SCRIPT>B", "A\n\nB"), ("<select><option>a</select>q", "q"),
+                                       ("1 < 2 &lt; 3", "1 < 2 < 3"), ("<P>A</P><SCRIPT>z</SCRIPT>B", "A\n\nB"), ("<select><option>a</select>q", "a q"),
                                        ("<details><summary>S</summary>no</details>", "S"), ("x</div></p>y", "xy"), ("a&#65;&bogus;", "aA&bogus;")])
 def test_rendering_of_fragments(html, text):
     assert html_render.render(html) == text
@@ -321,3 +321,22 @@ def test_later_matches_pass_unrelated_anchor_and_chains():
                                         ("oh you/idiot there", "idiot"), ("such-idiots all", "idiots"), ("you...idiot", "idiot"), ("you,idiot", "idiot")])
 def test_word_boundaries_are_decoded(char_model, text, word):
     assert word in toxicity.Reader(char_model).words(text)
+
+
+@pytest.mark.parametrize("html,text", [
+    ("x <math><mi>a</mi><mo>+</mo><mi>b</mi><annotation>no</annotation></math> y", "x a+b y"),
+    ("<svg><title>t</title><path d='x'/><text>A</text><text>B</text><desc>no</desc></svg>z", "A B z"), ("<svg><g><p>out</p>in", "out\n\nin"),
+    ("a<select><option>one<option selected>two</select>b", "a two b"), ("<select><option disabled>no<option>a</select>", "a"),
+    ("<select><optgroup><option hidden>h<option>x</optgroup></select>", "x"), ("<select multiple><option>a<option>b</select>c", "a\nb\nc"), ("<select></select>q", "q")])
+def test_formulas_drawings_and_choices(html, text):
+    assert html_render.render(html) == text
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<tr><th colspan=2>Wide header cell<th>c<tr><td>a<td>b<td>d", "Wide header cell  c\na  b              d"),
+    ("<tr><td rowspan=2>a<td>b<tr><td>c", "a  b\n   c"), ("<tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d", "a  b\n   c\n   d"),
+    ("<tr><td colspan=1000>a<td>b<tr><td>q<td>r<td>s", "a        b\nq  r  s"),
+    ("<tr><td rowspan=2 colspan=2>big<td>1<tr><td>2<tr><td>x<td>y<td>3", "big   1\n      2\nx  y  3"),
+    ("<tr><td colspan=x rowspan=-1>a<td colspan=99999999999>b", "a  b"), ("<tr><td>a<td><td>c<tr><td><tr><td>longer<td>x", "a          c\nlonger  x")])
+def test_cells_span_columns_and_rows(html, text):
+    assert html_render.render(f"<table>{html}</table>") == text

@@ -246,12 +246,29 @@ def evaluate(model: FittedModel, test: DataFrame, name: str | None = None) -> Da
 
 def full_evaluation(model: FittedModel, test: DataFrame, name: str | None = None) -> dict:
     """L7 whole: ``summary`` row, ``confusion`` matrix and per-class ``report`` of the test rows, as frames."""
-    pred = model.transform(test).select("label", "prediction", "probability")
-    return {"summary": M.classification_summary(pred, "label", "prediction", "probability", name or model.name),
+    return evaluate_predictions(model.transform(test), name or model.name)
+
+
+def evaluate_predictions(pred: DataFrame, name: str = "Model") -> dict:
+    """``full_evaluation`` of rows that carry label, prediction and probability already."""
+    pred = pred.select("label", "prediction", "probability")
+    return {"summary": M.classification_summary(pred, "label", "prediction", "probability", name),
             "confusion": M.confusion_matrix(pred, "label", "prediction"),
             "report": M.classification_report(pred, "label", "prediction")}
 
 
+def evaluation_long(parts: dict) -> DataFrame:
+    """A whole evaluation as one table (part, row, metric, value); values that a row does not have are left out."""
+    keys = {"summary": "Model", "confusion": "label", "report": "class"}
+    frames = []
+    for part, key in keys.items():
+        df = parts[part]
+        cols = [c for c in df.columns if c != key]
+        long = df.select(F.col(key).cast("string").alias("row"), *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(["row"], cols, "metric", "value")
+        frames.append(long.filter("value IS NOT NULL").select(F.lit(part).alias("part"), "row", "metric", "value"))
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def _training_rows(data, folds, fold, use_smote, id_col):
     train = data.filter(F.col(folds) != fold).drop(folds)
     # the SMOTE plan is deep: checkpoint so each training pass plans a scan

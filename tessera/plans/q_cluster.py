@@ -228,3 +228,30 @@ def q_k1_cells(spark, sf):
 @query("k1_knn_many_cells_embeddings", KNN_SQL)
 def q_k1b_cells(spark, sf):
     return _knn(spark, sf, cell_target=64)
+
+
+# Rows of label 0 count as noise and leave every score
+def _clean_rows(cte):
+    return cte.replace("FROM embeddings", "FROM (SELECT * FROM embeddings WHERE label <> 0)")
+
+
+@query("k10_evaluate_with_noise_embeddings", f"""WITH {_clean_rows(SIL_CTE)}, {_clean_rows(CENT_CTE)}
+SELECT 'labels' AS Algorithm, CAST((SELECT count(DISTINCT label) FROM embeddings WHERE label <> 0) AS INTEGER) AS N_clusters,
+       round(silhouette, 6) AS Silhouette, round(dbi, 6) AS DBI, round(chi, 6) AS CHI,
+       (SELECT count(*) FROM embeddings WHERE label = 0) AS n_noise, CAST(NULL AS VARCHAR) AS error FROM sil, dbi, chi""")
+def q_k10_noise(spark, sf):
+    e = emb(spark, sf).withColumn("cluster", F.when(F.col("label") == 0, -1).otherwise(F.col("label")))
+    return r6(K.clustering_summary(e, "embedding", "cluster", "labels"))
+
+
+# K6 / K7: all components together only turn the space, so every row keeps its distance from the mean
+@query("k6_pca_all_components_embeddings", """
+WITH e AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+m AS (SELECT i, avg(x) AS m FROM e GROUP BY i)
+SELECT vec_id, round(sum((x - m) * (x - m)), 6) AS distance_sq FROM e JOIN m USING (i) GROUP BY vec_id""")
+def q_k6_all(spark, sf):
+    e = emb(spark, sf)
+    width = len(e.select("embedding").first()[0])
+    out = K.fit_pca(e, "embedding", width).transform(e, "embedding", ["vec_id"])
+    total = sum((F.col(f"pc{k + 1}") * F.col(f"pc{k + 1}") for k in range(width)), F.lit(0.0))
+    return r6(out.select("vec_id", total.alias("distance_sq")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import metrics as M
 from tessera.operators import sampling as S
-from tessera.plans.catalog import load, query, r6
+from tessera.plans.catalog import ORACLES, load, query, r6
 
 
 def ord_scored(spark, sf):
@@ -271,3 +271,36 @@ SELECT 'lineitem' AS Model, round(sum(tp) / sum(nt), 6) AS Accuracy, round(avg(p
        CAST(NULL AS DOUBLE) AS ROC_AUC, CAST(NULL AS DOUBLE) AS PR_AUC FROM pf""")
 def q_m4(spark, sf):
     return r6(M.classification_summary(li_scored(spark, sf), "y", "p", None, model_name="lineitem"))
+
+
+def _report_rows(table):
+    return "\nUNION ALL ".join(f"SELECT 'report' AS part, class AS row, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {table} WHERE {m} IS NOT NULL"
+                               for m in ("precision", "recall", "f1", "support"))
+
+
+@query("l7_whole_evaluation_fixed_predictions_lineitem", f"""
+WITH rep AS ({ORACLES["m6_classification_report_lineitem"]}),
+cf AS ({ORACLES["m5_confusion_matrix_lineitem"]}),
+sm AS ({ORACLES["m1_classification_summary_multiclass_lineitem"]})
+{_report_rows("rep")}
+UNION ALL SELECT 'confusion', CAST(label AS VARCHAR), metric, CAST(value AS DOUBLE) FROM (UNPIVOT cf ON pred_0, pred_1, pred_2 INTO NAME metric VALUE value)
+UNION ALL SELECT 'summary', Model, metric, value FROM (UNPIVOT sm ON Accuracy, Precision, Recall, F1, ROC_AUC, PR_AUC INTO NAME metric VALUE value)""")
+def q_l7_whole(spark, sf):
+    from tessera.operators.models import evaluate_predictions, evaluation_long
+    pred = li_scored(spark, sf).select(F.col("y").cast("double").alias("label"), F.col("p").cast("double").alias("prediction"), F.col("prob").alias("probability"))
+    return r6(evaluation_long(evaluate_predictions(pred, "lineitem")))
+
+
+# predictions of a price from its band of ten thousand: the middle, the lower end, twenty thousand below
+REGRESSION_GUESSES = {"middle": "s * 10 + 5", "lower": "s * 10", "shifted": "s * 10 - 20"}
+
+
+@query("t2_regression_table_fixed_predictions_orders", "\nUNION ALL ".join(f"""
+SELECT '{name}' AS Model, round(avg(abs(yt - yp)), 4) AS MAE, round(sqrt(avg((yt - yp) * (yt - yp))), 4) AS RMSE,
+       round(1 - sum((yt - yp) * (yt - yp)) / (var_pop(yt) * count(yt)), 4) AS R2
+FROM (SELECT o_totalprice / 1000 AS yt, {guess} AS yp FROM {ORD_SQL})""" for name, guess in REGRESSION_GUESSES.items()))
+def q_t2_fixed(spark, sf):
+    from tessera.plans.report import summarize_regression
+    d = ord_scored(spark, sf)
+    return summarize_regression([M.regression_summary(d.select((F.col("o_totalprice") / 1000).alias("yt"), F.expr(guess).alias("yp")), "yt", "yp", name)
+                                 for name, guess in REGRESSION_GUESSES.items()])

@@ -315,8 +315,29 @@ def q_s2(spark, sf):
 
 @query("s3_drop_extra_columns_customer", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")
 def q_s3(spark, sf):
-    c = load(spark, sf, "customer")
-    return c.drop(*[x for x in ("c_name", "c_mktsegment", "absent_column") if x in c.columns])
+    from tessera.sources.io import drop_extra
+    return drop_extra(load(spark, sf, "customer"), ["c_name", "c_mktsegment", "absent_column"])
+
+
+@query("e4_column_types_orders", """
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name AS "column",
+       CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS dtype
+FROM (DESCRIBE SELECT * FROM orders)""")
+def q_e4(spark, sf):
+    return E.column_types(load(spark, sf, "orders"))
+
+
+@query("f7_features_and_label_lineitem", """
+SELECT l_orderkey, l_linenumber, [round(l_quantity, 6), round(l_extendedprice, 6), round(l_discount, 6), round(l_tax, 6)] AS features,
+       CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS DOUBLE) AS label
+FROM lineitem""")
+def q_f7(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+
+    from tessera.operators.features import get_X_y
+    from tessera.plans.catalog import LI_NUM, li
+    out = get_X_y(li(spark, sf), [*LI_NUM[:2], "absent_column", *LI_NUM[2:]], target="label2", keep=["l_orderkey", "l_linenumber"])
+    return r6(out.withColumn("features", vector_to_array("features")))
 
 
 @query("s5_parquet_scan_orders", "SELECT * FROM orders")

@@ -29,7 +29,7 @@ def load_raw(spark: SparkSession, path: str, schema: str | T.StructType | None =
     r = spark.read.option("header", True)
     df = r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", True).csv(path)
     df = rename_columns(df, P.RENAMES if renames is None else renames)
-    df = df.drop(*[c for c in (P.DROP_IF_PRESENT if drop is None else drop) if c in df.columns])
+    df = drop_extra(df, P.DROP_IF_PRESENT if drop is None else drop)
     validate_schema(df, P.RAW_COLUMNS if required is None else required)
     return df
 
@@ -39,6 +39,11 @@ def rename_columns(df: DataFrame, renames: dict) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
+def drop_extra(df: DataFrame, names: list) -> DataFrame:
+    """Without the named columns; absent names are ignored."""
+    return df.drop(*[c for c in names if c in df.columns])
+
+
 def validate_schema(df: DataFrame, required: list) -> None:
     missing = [c for c in required if c not in df.columns]
     if missing:

@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -232,40 +232,139 @@ def clustering_summary(df: DataFrame, features: str, cluster: str = "cluster", a
 
 
 # ------------------------------------------------------------------ K2 / K0
-STARTS_AT_ONCE = 4
-
-
-def fit_kmeans(df: DataFrame, features: str, k: int = 3, n_init: int = 10, seed: int = 42, max_iter: int = 300,
-               tol: float = 1e-4):
-    """Best of ``n_init`` seeded k-means|| runs by training cost."""
+STARTS_AT_ONCE = 8
+BLOCK_ROWS = 1_024            # rows of a packed block of vectors
+DRIVER_BYTES = 1 << 20        # sums of a pass that reach the driver as they are; more are added up by tasks first
+
+
+class KMeansFit:
+    """Centres of a k-means run and its training cost (of the last pass, as Spark's own summary gives it)."""
+
+    def __init__(self, centres: np.ndarray, cost: float):
+        self.centres, self.cost = centres, cost
+
+    def clusterCenters(self) -> list:
+        return list(self.centres)
+
+    def predict(self, x: Column) -> Column:
+        """Number of the nearest centre of an array column."""
+        origin = self.centres.mean(0)
+        centres = self.centres - origin
+
+        def nearest(v: pd.Series) -> pd.Series:
+            if not len(v):
+                return pd.Series([], dtype="int32")
+            return pd.Series(sq_distances(np.stack(v.to_numpy()).astype(float) - origin, centres).argmin(1).astype("int32"))
+        return F.pandas_udf(nearest, "int")(x)
+
+
+def _packed(df: DataFrame, features: str) -> RDD:
+    """Vectors of ``features`` packed in blocks of at most ``BLOCK_ROWS`` rows: the bytes of their doubles."""
+    def run(batches):
+        for pdf in batches:
+            for lo in range(0, len(pdf), BLOCK_ROWS):
+                yield pd.DataFrame({"b": [np.stack(pdf["x"].iloc[lo:lo + BLOCK_ROWS].to_numpy()).astype(float).tobytes()]})
+    return df.select(to_array(df, features).alias("x")).mapInPandas(run, "b binary").rdd.map(lambda r: bytes(r[0]))
+
+
+def _lloyd_pass(blocks: RDD, runs: list, origin: np.ndarray) -> tuple:
+    """One pass for several runs at once: (rows, sum of their vectors, sum of squared distances) of every centre, run after run."""
+    dim = len(origin)
+    cuts = np.cumsum([0] + [len(c) for c in runs])
+    shared = blocks.context.broadcast((np.concatenate(runs), cuts, origin))
+
+    def run(packed):
+        C, cuts, origin = shared.value
+        norm = (C * C).sum(1)
+        total = np.zeros((len(C), dim + 2))
+        for raw in packed:
+            X = np.frombuffer(raw).reshape(-1, dim) - origin
+            d = norm[None, :] - 2.0 * (X @ C.T)
+            own = np.zeros(d.shape)
+            at, sq = np.arange(len(X)), (X * X).sum(1)
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                own[at, lo + d[:, lo:hi].argmin(1)] = 1.0
+            total[:, 0] += own.sum(0)
+            total[:, 1] += (own * np.maximum(d + sq[:, None], 0.0)).sum(0)
+            total[:, 2:] += own.T @ X
+        yield total
+    parts = blocks.mapPartitions(run)
+    size = int(cuts[-1]) * (dim + 2) * 8
+    few = blocks.getNumPartitions() * size <= DRIVER_BYTES
+    out = sum(parts.collect()) if few else parts.treeReduce(lambda a, b: a + b)
+    shared.destroy()
+    return out[:, 0], out[:, 2:], out[:, 1], cuts
+
+
+def _lloyd(blocks: RDD, starts: list, max_iter: int, tol: float) -> list:
+    """(centres, cost) of a k-means run from each of ``starts`` (arrays of centres), all in the same passes over the rows.
+
+    A run ends when none of its centres moves by more than ``tol``; the others go on.  A centre without rows stays."""
+    origin = np.concatenate(starts).mean(0)
+    runs, cost = [c - origin for c in starts], [0.0] * len(starts)
+    going = list(range(len(runs)))
+    for _ in range(max_iter):
+        n, sums, sq, cuts = _lloyd_pass(blocks, [runs[r] for r in going], origin)
+        left = []
+        for p, r in enumerate(going):
+            part = slice(cuts[p], cuts[p + 1])
+            cost[r] = float(sq[part].sum())
+            has = n[part] > 0
+            new = runs[r].copy()
+            new[has] = sums[part][has] / n[part][has, None]
+            if (((new - runs[r]) ** 2).sum(1) > tol * tol).any():
+                left.append(r)
+            runs[r] = new
+        going = left
+        if not going:
+            break
+    return [(c + origin, v) for c, v in zip(runs, cost)]
+
+
+def fit_kmeans_of(df: DataFrame, features: str, ks, n_init: int = 10, seed: int = 42, max_iter: int = 300, tol: float = 1e-4) -> dict:
+    """{k: best of ``n_init`` seeded k-means|| runs by training cost}.  Spark ML chooses the starting
+    centres; the rounds of all runs share their passes, so a round of any number of runs is one job."""
     from pyspark.ml.clustering import KMeans
-    data = df.withColumn("_fv", array_to_vector(to_array(df, features))).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(array_to_vector(to_array(df, features)).alias("_fv")).persist(StorageLevel.MEMORY_AND_DISK)
 
-    def start(i):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="_fv", predictionCol="cluster").fit(data)
-        return m.summary.trainingCost, i, m
+    def start(run):
+        k, i = run
+        m = KMeans(k=k, seed=seed + i, maxIter=0, tol=tol, featuresCol="_fv", predictionCol="cluster").fit(data)
+        return np.array(m.clusterCenters(), dtype=float)
     data.count()                                   # one pass fills the cache for all starts
+    runs = [(k, i) for k in ks for i in range(n_init)]
     with ThreadPoolExecutor(max_workers=STARTS_AT_ONCE) as pool:
-        best = min(pool.map(start, range(n_init)), key=lambda r: r[:2])
+        starts = list(pool.map(start, runs))
     data.unpersist()
-    return best[2]
+    blocks = _packed(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    best = {}
+    for (k, i), (centres, cost) in zip(runs, _lloyd(blocks, starts, max_iter, tol)):
+        if k not in best or (cost, i) < best[k][:2]:
+            best[k] = (cost, i, centres)
+    blocks.unpersist()
+    return {k: KMeansFit(centres, cost) for k, (cost, _, centres) in best.items()}
+
+
+def fit_kmeans(df: DataFrame, features: str, k: int = 3, n_init: int = 10, seed: int = 42, max_iter: int = 300,
+               tol: float = 1e-4) -> KMeansFit:
+    """Best of ``n_init`` seeded k-means|| runs by training cost."""
+    return fit_kmeans_of(df, features, [k], n_init, seed, max_iter, tol)[k]
 
 
-def kmeans_labels(model, df: DataFrame, features: str, keep: list) -> DataFrame:
-    d = df.withColumn("_fv", array_to_vector(to_array(df, features)))
-    return model.transform(d).select(*keep, F.col("cluster").cast("int").alias("cluster"))
+def kmeans_labels(model: KMeansFit, df: DataFrame, features: str, keep: list) -> DataFrame:
+    return df.select(*keep, model.predict(to_array(df, features)).alias("cluster"))
 
 
 def k_selection(df: DataFrame, id_col: str, features: str, k_range=(2, 3, 4, 5, 6, 7), n_init: int = 10,
                 seed: int = 42) -> DataFrame:
     """k, inertia, silhouette (squared), DBI, CHI for every k (report only)."""
     base = df.select(id_col, features).persist(StorageLevel.MEMORY_AND_DISK)
+    fits = fit_kmeans_of(base, features, k_range, n_init, seed)
     rows = []
     for k in k_range:
-        m = fit_kmeans(base, features, k, n_init, seed)
-        lab = kmeans_labels(m, base, features, [id_col, features]).persist(StorageLevel.MEMORY_AND_DISK)
+        lab = kmeans_labels(fits[k], base, features, [id_col, features]).persist(StorageLevel.MEMORY_AND_DISK)
         st = cluster_stats(lab, features)
-        rows.append((k, float(m.summary.trainingCost), silhouette_sq(lab, features, stats=st),
+        rows.append((k, fits[k].cost, silhouette_sq(lab, features, stats=st),
                      davies_bouldin(lab, features, stats=st), calinski_harabasz(lab, features, stats=st)))
         lab.unpersist()
     base.unpersist()

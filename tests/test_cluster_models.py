@@ -136,6 +136,27 @@ def test_kmeans_invariants_and_pca(spark):
     assert abs(proj["pc1"].mean()) < 1e-9 and abs(proj["pc2"].mean()) < 1e-9  # centred
 
 
+def test_kmeans_runs_share_their_passes(spark, monkeypatch):
+    """Four runs of two k: the best of Spark's own runs per k, in as many passes as the longest run has rounds."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(14)
+    X = np.vstack([rng.normal(c, 0.6, (60, 3)) for c in (0, 3, 7)])
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(len(X))], "id int, v array<double>").repartition(3)
+    passes, real = [], K._lloyd_pass
+    monkeypatch.setattr(K, "_lloyd_pass", lambda *a: passes.append(len(a[1])) or real(*a))
+    got = K.fit_kmeans_of(df, "v", (2, 3), n_init=2, seed=5)
+    data = df.select(array_to_vector("v").alias("f"))
+    own = {k: [KMeans(k=k, seed=5 + i, maxIter=300, tol=1e-4, featuresCol="f").fit(data) for i in range(2)] for k in (2, 3)}
+    assert passes[0] == 4 and len(passes) == max(m.summary.numIter for ms in own.values() for m in ms)
+    for k, ms in own.items():
+        best = min(ms, key=lambda m: m.summary.trainingCost)
+        assert abs(got[k].cost - best.summary.trainingCost) < 1e-6 * best.summary.trainingCost
+        assert np.allclose(np.sort(got[k].centres, axis=0), np.sort(np.array(best.clusterCenters()), axis=0), atol=1e-6)
+    monkeypatch.setattr(K, "DRIVER_BYTES", 0)                      # sums added up by tasks first
+    assert np.allclose(np.sort(K.fit_kmeans(df, "v", 3, 2, 5).centres, axis=0), np.sort(got[3].centres, axis=0), atol=1e-6)
+
+
 def test_profile_and_names(spark):
     df = spark.createDataFrame([(0, 1, 2.0, 1), (0, 0, 4.0, 1), (1, 1, 6.0, 2), (2, 0, 1.0, 3)],
                                "cluster int, target int, x double, cp int")

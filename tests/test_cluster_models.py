@@ -104,6 +104,23 @@ def test_tiles_bound_every_group(spark):
     assert len(sizes) == 15 * 15 and max(sizes) <= 4 * 16
 
 
+def test_copies_grow_with_tiles_not_with_cells(spark, monkeypatch):
+    """Uniform rows, which no bound rules out: tiny cells are compared in blocks, and a row is copied once per block."""
+    rng = np.random.default_rng(15)
+    X = rng.normal(size=(400, 24))
+    df = spark.createDataFrame([(i, X[i].tolist()) for i in range(400)], "id int, v array<double>")
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    eps = float(np.quantile(D, 0.05))
+    copies, real = [], N.tile_pairs
+    monkeypatch.setattr(N, "DEFAULT_CELL_TARGET", 100)
+    monkeypatch.setattr(N, "tile_pairs", lambda *a: copies.append(real(*a).count()) or real(*a))
+    got = {(r.id_a, r.id_b) for r in N.radius_pairs(df, "id", "v", eps, cell_target=5).collect()}
+    assert got == {(i, j) for i, j in zip(*np.nonzero(D <= eps))}
+    kn = N.knn(df, "id", "v", 4, cell_target=5).toPandas().sort_values(["id", "rank"])
+    assert (kn.nbr_id.to_numpy().reshape(400, 4) == np.argsort(D + np.eye(400) * 1e9, axis=1, kind="stable")[:, :4]).all()
+    assert len(copies) == 3 and max(copies) <= 400 * 2 * 8        # 20 cells of 20 rows in at most 8 blocks
+
+
 def test_neighbors_far_from_the_origin(spark):
     """Distances come from differences, so a shift of 1e7 changes no neighbour."""
     rng = np.random.default_rng(6)

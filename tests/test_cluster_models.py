@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -232,6 +233,28 @@ def test_models_fit_predict(spark):
     assert all(len(r[0]) == 3 and abs(sum(r[0]) - 1) < 1e-6 for r in p)
 
 
+def test_boosted_trees_on_cells_equal_spark_on_rows(spark, monkeypatch):
+    """900 rows that share 120 cells: the fit sees cells only and predicts what Spark's own fit on the rows does."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.regression import GBTRegressor
+    rng = np.random.default_rng(16)
+    X = np.column_stack([rng.integers(0, 10, 900) / 4, rng.integers(0, 6, 900)]).astype(float)
+    df = spark.createDataFrame([(i, X[i].tolist(), float(X[i, 0] * X[i, 1] > 3 + rng.normal())) for i in range(900)], "id int, v array<double>, label double")
+    df = df.withColumn("features", array_to_vector("v")).drop("v").coalesce(1).cache()
+    trained, real = [], L._cells
+    monkeypatch.setattr(L, "_cells", lambda *a, **k: trained.append(real(*a, **k)) or trained[-1])
+    ours = [r["probability"] for r in L.fit_boosted_trees(df, n_rounds=4).transform(df).orderBy("id").collect()]
+    spark_own = GBTClassifier(maxIter=4, maxDepth=5, stepSize=0.1, seed=42).fit(df).transform(df).orderBy("id").collect()
+    assert np.allclose(ours, [r["probability"].toArray() for r in spark_own], atol=1e-9)
+    y = df.withColumn("label", F.col("label") * 3 + F.col("id") % 7)
+    model = L.fit_gbt_regressor(y, n_rounds=3)
+    own = GBTRegressor(maxIter=3, maxDepth=5, stepSize=0.1, seed=42).fit(y).transform(y).orderBy("id").collect()
+    assert np.allclose([r["prediction"] for r in model.transform(y).orderBy("id").collect()], [r["prediction"] for r in own], atol=1e-9)
+    assert [c.count() <= 120 for c in trained] == [True, True] and trained[1].agg(F.sum("_n")).first()[0] == 900
+    monkeypatch.setattr(L, "EXACT_ROWS", 500)                       # thresholds of a large table
+    assert len(L.fit_bins(df).getOrDefault("thresholds")) == 9 + 5
+
+
 def test_save_load_same_predictions(spark, tmp_path):
     from pyspark.ml.classification import RandomForestClassificationModel
     df = _toy(spark)

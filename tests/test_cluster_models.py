@@ -105,6 +105,17 @@ def test_tiles_bound_every_group(spark):
     assert len(sizes) == 15 * 15 and max(sizes) <= 4 * 16
 
 
+def test_repeated_ids_keep_their_neighbours(spark):
+    """Rows given twice: the pairs of an id with itself take no neighbour's place, in one block or several."""
+    rng = np.random.default_rng(17)
+    X = rng.normal(size=(60, 6))
+    rows = [(i, X[i].tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows + rows[:20], "id int, v array<double>")
+    want = N.knn(df, "id", "v", 4).toPandas().sort_values(["id", "rank"], ignore_index=True)     # one tile
+    got = N.knn(df, "id", "v", 4, cell_target=5).toPandas().sort_values(["id", "rank"], ignore_index=True)
+    assert len(got) == 60 * 4 and got.equals(want)
+
+
 def test_copies_grow_with_tiles_not_with_cells(spark, monkeypatch):
     """Uniform rows, which no bound rules out: tiny cells are compared in blocks, and a row is copied once per block."""
     rng = np.random.default_rng(15)

@@ -28,7 +28,7 @@ from tessera.operators.clean import CleanerModel
 from tessera.operators.ml_stages import Bins, FittedCleaner, OneVsRestScores, RandomFeatures, Scores
 from tessera.operators.neighbors import knn, to_array
 from tessera.operators.sampling import balanced_weights, rank_by_hash
-from tessera.session import cut_lineage, right_size
+from tessera.session import cut_lineage, right_size, spread
 
 # ---------------------------------------------------------------- wrappers
 
@@ -53,9 +53,17 @@ class FittedModel:
         return None
 
 
-def _weighted(df: DataFrame, balanced: bool, label: str = "label"):
+TREE_ROWS = 2_500            # a forest, whose levels cost all trees' work on every row, uses all cores beyond so many rows each
+
+
+def _weighted(df: DataFrame, balanced: bool, label: str = "label", rows_per_task: int | None = None):
     """Right-sized (small training sets stop paying per-task overhead on
-    every optimiser iteration) and, if asked, with balanced class weights."""
+    every optimiser iteration) and, if asked, with balanced class weights.
+    ``rows_per_task``: dealt evenly over the cores (:func:`tessera.session.spread`)."""
+    if rows_per_task:
+        n = df.count()
+        d = balanced_weights(df, label, "_w") if balanced else df
+        return spread(d, rows_per_task, n), "_w" if balanced else None
     df = right_size(df)
     if not balanced:
         return df, None
@@ -87,9 +95,12 @@ def fit_logistic(df: DataFrame, C: float = 1.0, max_iter: int = 1000, balanced:
 # L3
 def fit_random_forest(df: DataFrame, n_trees: int = 200, max_depth: int = 10, balanced: bool = True,
                       seed: int = 42, min_instances: int = 1) -> FittedModel:
-    d, w = _weighted(df, balanced)
+    """Spark's forest.  Rows are dealt over all cores, and each keeps the number of the
+    node it is in (``cacheNodeIds``), so a level neither sends the trees grown so far to
+    every task nor walks each row down from the root again; the trees are the same."""
+    d, w = _weighted(df, balanced, rows_per_task=TREE_ROWS)
     rf = RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
-                                minInstancesPerNode=min_instances)
+                                minInstancesPerNode=min_instances, cacheNodeIds=True)
     if w:
         rf.setWeightCol(w)
     return _spark_prob(rf.fit(d), "Random Forest", _classes(df))

@@ -60,14 +60,11 @@ def _weighted(df: DataFrame, balanced: bool, label: str = "label", rows_per_task
     """Right-sized (small training sets stop paying per-task overhead on
     every optimiser iteration) and, if asked, with balanced class weights.
     ``rows_per_task``: dealt evenly over the cores (:func:`tessera.session.spread`)."""
-    if rows_per_task:
-        n = df.count()
-        d = balanced_weights(df, label, "_w") if balanced else df
-        return spread(d, rows_per_task, n), "_w" if balanced else None
-    df = right_size(df)
-    if not balanced:
-        return df, None
-    return balanced_weights(df, label, "_w"), "_w"
+    n = df.count()
+    df, w = right_size(df, n), None
+    if balanced:
+        df, w = balanced_weights(df, label, "_w"), "_w"
+    return spread(df, rows_per_task, n) if rows_per_task else df, w
 
 
 def _classes(df: DataFrame, label: str = "label") -> list:

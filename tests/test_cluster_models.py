@@ -344,6 +344,44 @@ def test_self_training_invariants(spark):
     assert {"accuracy", "macro avg", "weighted avg"} < {r["class"] for r in whole["report"].collect()}
 
 
+def test_svm_rows_are_lifted_by_all_cores(spark, monkeypatch):
+    from pyspark.ml.classification import LinearSVC
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 3))
+    df = spark.createDataFrame([(Vectors.dense(r), float(r[0] * r[1] > 0)) for r in x.tolist()], ["features", "label"])
+    monkeypatch.setattr(L, "SVM_ROWS", 100)
+    lifts, spread, fit = [], L.spread, LinearSVC._fit
+    monkeypatch.setattr(L, "spread", lambda *a: lifts.append(spread(*a)) or lifts[-1])
+    fits = []
+    monkeypatch.setattr(LinearSVC, "_fit", lambda self, d: fits.append(d.rdd.getNumPartitions()) or fit(self, d))
+    L.fit_rbf_svm(df, n_components=20, max_iter=3)
+    assert [d.rdd.getNumPartitions() for d in lifts] == [4] and fits == [1]      # local[4]
+
+
+def test_random_features_are_those_of_the_formula(spark):
+    from tessera.operators.ml_stages import RandomFeatures
+    lift = RandomFeatures.rbf(3, 0.5, 7, 11)
+    x = np.random.default_rng(2).normal(size=(50, 3))
+    df = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(x.tolist())], ["id", "features"])
+    got = lift.transform(df)
+    assert got.schema["_rff"].dataType == df.schema["features"].dataType
+    w, b = np.array(lift.getOrDefault(lift.weights)).reshape(7, 3), np.array(lift.getOrDefault(lift.offsets))
+    assert np.allclose([r["_rff"].toArray() for r in got.orderBy("id").collect()], np.sqrt(2 / 7) * np.cos(x @ w.T + b), atol=1e-12)
+    assert lift.transform(df.filter("id < 0")).collect() == []
+
+
+def test_self_training_does_not_fit_the_same_rows_twice(spark):
+    rows = [(i, Vectors.dense([float(i % 2), float(i)]), i % 2 if i < 20 else -1) for i in range(40)]
+    df = spark.createDataFrame(rows, ["id", "features", "partial_label"])
+    fits = []
+
+    def fit(d):
+        fits.append(d.count())
+        return L.fit_logistic(d)
+    model, pseudo = P.self_training(df, fit, threshold=1.0)      # no row is that sure: the first model is the last
+    assert fits == [20] and model is not None and pseudo.filter("pseudo_label = -1").count() == 20
+
+
 def test_h24_pseudo_label_risk(spark):
     df = spark.createDataFrame(list(zip([-1, -1, -1, 1], [-1, 0, 1, 1], [1, 0, 0, 1])), "p int, s int, t int")
     r = P.pseudo_label_risk(df, "p", "s", "t").first()

@@ -126,7 +126,9 @@ class WordTokenizer:
             if t and not CONTROL(t):
                 words += t.split()
             until.append(len(words))
-        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        coded = pa.array(words, pa.large_string())
+        del words           # a batch's largest part: gone before the next ones come
+        coded = coded.dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         seen, cuts = self.words, self.cuts
         self._learn([w for w in distinct if w not in cuts and w not in seen])
@@ -137,9 +139,14 @@ class WordTokenizer:
         at = coded.indices.to_numpy(zero_copy_only=False)
         n = sizes[at]
         stops = np.concatenate([[0], np.cumsum(n)])
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[at] - stops[:-1], n) + np.arange(stops[-1])].tobytes()
+        del known, distinct, coded
+        place = np.arange(stops[-1])
+        place += np.repeat((np.cumsum(sizes) - sizes)[at] - stops[:-1], n)
+        del at, n
+        ids = flat[place].view("u1")
+        del place
         ends = (4 * stops[[0, *until]]).tolist()
-        return [self._ids([t])[0] if t and CONTROL(t) else ids[lo:hi] for t, lo, hi in zip(texts, ends, ends[1:])]
+        return [self._ids([t])[0] if t and CONTROL(t) else ids[lo:hi].tobytes() for t, lo, hi in zip(texts, ends, ends[1:])]
 
 
 def worker_tokenizer(path: str) -> WordTokenizer:

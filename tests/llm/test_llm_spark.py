@@ -409,6 +409,26 @@ def test_jaccard_join_of_null_and_repeated_ids(spark):
     assert sorted((r["doc_id"], r["text"]) for r in ngram_join.keep_one_per_group(twice).collect()) == sorted([(1, texts[0]), (2, texts[5])])
 
 
+def test_jaccard_join_makes_each_set_where_its_text_is(spark, monkeypatch):
+    base = prose(950, 60)
+    texts = [" ".join(base), " ".join(base), " ".join(base[:59] + ["other"]), " ".join(prose(951, 60)), " ".join(base).upper()]
+    d = docs_of(spark, texts, [3, 3, 4, 5, None])
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        out = staged(df, name)
+        if name == "join-kept":
+            plans["rows"] = sorted((r["id"], r["copies"], r["n"]) for r in out.collect())
+        return out
+    monkeypatch.setattr(ngram_join, "staged", noted)
+    comp, links = brute_jaccard(texts)[1:]
+    got = sorted((r["doc_id"] or 0, r["component_id"], r["n_links"]) for r in ngram_join.jaccard_components(d).collect())
+    assert got == [(0, 3, 3), (3, 3, 3), (3, 3, 3), (4, 3, 3), (5, 5, 0)] and links == [3, 3, 3, 0, 3] and comp[4] == comp[0]
+    assert plans["rows"] == [(3, 3, 56), (4, 1, 56)]                    # one row per class, whichever of its rows was read
+    assert "Exchange" not in plans["join-kept"].split("MapInArrow")[0]  # the packed sets were shuffled once more before
+
+
 def test_decontamination_of_items_without_id(spark):
     import hashlib
     item, other = prose(1, 10), prose(2, 12)

@@ -5,6 +5,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from tessera import session
 from tessera.operators import cluster as K
 from tessera.operators import models as L
 from tessera.operators import neighbors as N
@@ -233,6 +234,64 @@ def test_smote_invariants(spark):
         L.smote(_toy(spark, 40, 5), "id")  # H27: 5 rows or fewer is an error
 
 
+def test_smote_of_many_rows_broadcasts_no_rows(spark, monkeypatch):
+    df = _toy(spark)
+    few = L.smote(df, "id")
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    many = L.smote(df, "id")
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2                             # rows with their neighbours, then with the neighbours' vectors
+    def rows(d):
+        return sorted((r["id"], r["label"], r["synthetic"], tuple(r["features"])) for r in d.collect())
+    assert rows(many) == rows(few)
+
+
+def test_neighbour_radii_of_many_rows_are_not_broadcast(spark, monkeypatch):
+    g = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, g.normal(size=2).tolist()) for i in range(400)], "id long, v array<double>")
+    monkeypatch.setattr(N, "DEFAULT_CELL_TARGET", 40)                   # several blocks of cells
+    few = sorted(map(tuple, N.knn(df, "id", "v", 3, cell_target=40).select("id", "rank", "nbr_id").collect()))
+    hints = []
+    join = session.join_rows
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(N, "join_rows", lambda *a: hints.append(a[3]) or join(*a))
+    assert sorted(map(tuple, N.knn(df, "id", "v", 3, cell_target=40).select("id", "rank", "nbr_id").collect())) == few
+    assert hints == [400]
+
+
+def test_balanced_weights_send_the_classes_not_the_rows(spark):
+    rows = spark.range(5000).selectExpr("cast(id % 3 = 0 as double) as label").checkpoint()
+    w = S.balanced_weights(rows, "label")
+    joins = [x for x in w._jdf.queryExecution().executedPlan().toString().split("\n") if "BroadcastHashJoin" in x]
+    assert len(joins) == 1 and "BuildRight" in joins[0]
+    got = {r["label"]: (r["w"], r["n"]) for r in w.groupBy("label").agg(F.max("weight").alias("w"), F.count("*").alias("n")).collect()}
+    assert got == {1.0: (pytest.approx(5000 / (2 * 1667)), 1667), 0.0: (pytest.approx(5000 / (2 * 3333)), 3333)}
+
+
+def test_training_rows_are_made_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(x):
+        seen.add(1)
+        return x
+    monkeypatch.setattr(L, "smote", lambda df, id_col: df.withColumn("id", F.udf(note, "long")("id")))
+    df = _toy(spark)
+    assert L.smote_rows(df, "id").count() == df.count() == seen.value
+    seen.value = 0
+    L.ModelRegistry().train_final(df, "Logistic Regression", id_col="id")
+    assert seen.value == df.count()
+
+
+def test_document_statistics_parse_the_texts_once(spark, monkeypatch, tmp_path):
+    from tessera.plans import q_models as Q
+    spark.createDataFrame([(i, f"w{i} b!\nc", 7) for i in range(12)], "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    plans, scale = [], Q.C.scale
+    monkeypatch.setattr(Q.C, "scale", lambda d, *a: plans.append(d._jdf.queryExecution().executedPlan().toString()) or scale(d, *a))
+    assert Q.doc_stats(spark, str(tmp_path)).count() == 12
+    assert "split" not in plans[0] and "Scan ExistingRDD" in plans[0]
+
+
 def test_models_fit_predict(spark):
     df = _toy(spark)
     for m in (L.fit_logistic(df), L.fit_random_forest(df, n_trees=10), L.fit_boosted_trees(df, n_rounds=5),

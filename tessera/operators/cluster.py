@@ -6,7 +6,7 @@ and mean distance to it), so any number of clusters works:
 
 * silhouette: with squared Euclidean distance from that table (the mean of
   |x - y|^2 over a cluster is |x - c|^2 plus the cluster's mean square), or
-  ``mode="euclidean"``, exact, which compares all rows in tile pairs: n^2
+  ``mode="euclidean"``, exact, which compares all rows in pairs of blocks: n^2 / 2
   distances, for tables where that is affordable;
 * Davies-Bouldin: tiles of clusters against tiles of clusters;
 * Calinski-Harabasz and inertia: sums over the table.
@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.order_stats import ordered_cumsum
+from tessera.operators.block_pairs import SCREEN_CELLS, NearPairs, each_pair, pack_blocks, paired, place_rows
 from tessera.operators.components import connected_components
-from tessera.operators.neighbors import compare_tiles, radius_pairs, sq_dist, to_array
+from tessera.operators.neighbors import _exact, block_rows, compare_tiles, sq_dist, to_array
 from tessera.operators.pivot_tree import sq_distances
-from tessera.session import write_shared
+from tessera.session import drop_shared, join_rows, write_shared
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -133,33 +134,149 @@ def silhouette_sq(df: DataFrame, features: str, cluster: str = "cluster", stats:
     return scored.agg(F.avg(_score(F.col("a"), F.col("b")))).first()[0]
 
 
-def silhouette_euclidean(df: DataFrame, features: str, cluster: str = "cluster", stats: DataFrame | None = None) -> float | None:
+class _Members:
+    """A packed block of rows in order of their clusters (val: cluster's number, its rows, 1 if it is cut over blocks)."""
+
+    def __init__(self, block):
+        order = np.argsort(block.val[:, 0], kind="stable")
+        self.b, self.X, self.centre = block.b, block.X[order], block.centre
+        val = block.val[order]
+        self.start = np.flatnonzero(np.r_[True, val[1:, 0] != val[:-1, 0]])
+        self.number, self.size = val[self.start, 0], val[self.start, 1]
+        self.cut = bool(val[0, 2])
+        self.own = np.repeat(np.arange(len(self.start)), np.diff(np.r_[self.start, len(val)]))
+
+
+def _distances(A: _Members, B: _Members, lo: int, hi: int) -> np.ndarray:
+    """Euclidean distances of rows lo..hi of A to all of B; small ones from differences, so no digits are lost."""
+    origin = (A.centre + B.centre) / 2
+    P, Q = A.X[lo:hi] - origin, B.X - origin
+    pn, qn = (P * P).sum(1), (Q * Q).sum(1)
+    d = P @ Q.T
+    d *= -2.0
+    d += pn[:, None]
+    d += qn[None, :]
+    i, j = np.nonzero(d <= 1e-4 * (pn.max() + qn.max()))
+    np.sqrt(np.maximum(d, 0.0, out=d), out=d)
+    d[i, j] = _exact(A.X[lo:hi], B.X, i, j)
+    return d
+
+
+def _silhouette_parts(pairs):
+    """((block, cluster, its rows, whether its own), sums of distances) for clusters cut over blocks, and for those
+    that lie whole in a block ((block, -1, 0, False), smallest mean distance) and ((block, -2, 0, True), own mean distance)."""
+    out = {}
+
+    def put(key, value, how):
+        out[key] = how(out[key], value) if key in out else value
+
+    def take(M, sums, N):
+        """``sums`` (rows of M x clusters of N) of all of N's rows, or of some if N's cluster is cut."""
+        if N.cut:
+            put((M.b, N.number[0], N.size[0], M.cut and M.number[0] == N.number[0]), sums[:, 0], np.add)
+
+    last = None
+    for x, y in each_pair(pairs):
+        A = last if last is not None and last.b == x.b else _Members(x)
+        last = A
+        B = A if x is y else _Members(y)
+        step = max(1, SCREEN_CELLS // len(B.X))
+        to_b, best_a, own_a = [], [], []
+        best_b, carry, sums_b = np.full(len(B.X), np.inf), 0.0, np.zeros(len(B.X))
+        for lo in range(0, len(A.X), step):
+            hi = min(lo + step, len(A.X))
+            d = _distances(A, B, lo, hi)
+            sums = np.add.reduceat(d, B.start, axis=1)
+            if B.cut:
+                to_b.append(sums)
+            else:
+                if A is B:
+                    at, own = np.arange(hi - lo), A.own[lo:hi]
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        own_a.append(np.where(B.size[own] > 1, sums[at, own] / (B.size[own] - 1), np.nan))
+                    sums[at, own] = np.inf
+                best_a.append((sums / B.size).min(1))
+            if A is B:
+                continue
+            if A.cut:
+                sums_b += d.sum(0)
+                continue
+            # clusters of A that end here; one that goes on is carried to the next rows
+            groups = np.arange(A.own[lo], A.own[hi - 1] + 1)
+            back = np.add.reduceat(d, np.maximum(A.start[groups] - lo, 0), axis=0)
+            back[0] += carry
+            done = len(groups) if hi == len(A.X) or A.own[hi] != A.own[hi - 1] else len(groups) - 1
+            carry = back[done] if done < len(groups) else 0.0
+            if done:
+                best_b = np.minimum(best_b, (back[:done] / A.size[groups[:done], None]).min(0))
+        if B.cut:
+            take(A, np.concatenate(to_b), B)
+        else:
+            put((A.b, -1.0, 0.0, False), np.concatenate(best_a), np.minimum)
+            if A is B:
+                put((A.b, -2.0, 0.0, True), np.concatenate(own_a), np.minimum)
+        if A is not B:
+            if A.cut:
+                take(B, sums_b[:, None], A)
+            else:
+                put((B.b, -1.0, 0.0, False), best_b, np.minimum)
+    return list(out.items())
+
+
+def _mean_of(part):
+    """(block, (own mean distance or None, mean distance to another cluster or None)) of a part whose sums are whole."""
+    (b, number, n, own), v = part
+    if number >= 0:
+        v = v / n if not own else v / (n - 1) if n > 1 else np.full(len(v), np.nan)
+    return b, ((v, None) if own else (None, v))
+
+
+def _block_score(part) -> tuple:
+    """(sum of the rows' silhouettes, rows) of a block."""
+    a, b = part
+    with np.errstate(invalid="ignore", divide="ignore"):
+        s = np.where(np.isnan(a) | ~(np.maximum(a, b) > 0), 0.0, (b - a) / np.maximum(a, b))
+    return float(s.sum()), len(s)
+
+
+def silhouette_euclidean(df: DataFrame, features: str, cluster: str = "cluster", stats: DataFrame | None = None,
+                         tile_rows: int | None = None) -> float | None:
     """Mean silhouette with Euclidean distance, exact (noise excluded, singletons score 0).
 
-    All rows are compared in pairs of row tiles: n^2 distances in all, at most two
-    tiles in a task, and only each row's sum per cluster of a tile leaves it."""
+    All rows are compared: n^2 / 2 distances in all, in pairs of blocks of rows
+    (:mod:`tessera.operators.block_pairs`), so neither rows nor distances are copied to disk.
+    Clusters larger than a block are cut over blocks of their own, the others lie whole in
+    one, so a pair of blocks leaves a number per row whatever the number of clusters."""
     stats = cluster_stats(df, features, cluster) if stats is None else stats
     if stats.count() < 2:
         return None
-    dim = len(stats.select("c").first()[0])
-    rows = _members(df, features, cluster).join(stats.select("k", "j"), "k").select("x", "j")
-    held = write_shared(rows.withColumn("_id", F.monotonically_increasing_id()), "members")
-    points = held.select("_id", F.concat("x", F.array(F.col("j").cast("double"))).alias("_v"))
-
-    def tile(home, ask):
-        H, Q = np.stack(home["_v"].to_numpy()), np.stack(ask["_v"].to_numpy())
-        groups, member = np.unique(H[:, dim], return_inverse=True)
-        sums = np.zeros((len(Q), len(groups)))
-        for i in range(len(Q)):                   # from differences: no digits are lost
-            sums[i] = np.bincount(member, weights=np.sqrt(((H[:, :dim] - Q[i, :dim]) ** 2).sum(1)), minlength=len(groups))
-        return pd.DataFrame({"_id": np.repeat(ask["_id"].to_numpy(), len(groups)), "own": np.repeat(Q[:, dim], len(groups)).astype("i8"),
-                             "j": np.tile(groups.astype("i8"), len(Q)), "d": sums.ravel()})
-    per = (compare_tiles(points, None, tile, "_id long, own long, j long, d double").groupBy("_id", "own", "j").agg(F.sum("d").alias("d"))
-           .join(stats.select("j", "n"), "j"))
-    same = F.col("own") == F.col("j")
-    scored = per.groupBy("_id").agg(F.max(F.when(same & (F.col("n") > 1), F.col("d") / (F.col("n") - 1))).alias("a"),
-                                    F.min(F.when(~same, F.col("d") / F.col("n"))).alias("b"))
-    return scored.agg(F.avg(_score(F.col("a"), F.col("b")))).first()[0]
+    head = stats.agg(F.max(F.size("c")), F.sum("n")).first()
+    n = int(head[1])
+    room = tile_rows or block_rows(n, head[0], 1)
+    one = stats.select("k", "j", F.col("n").cast("double").alias("n"), F.when(F.col("n") > room, F.ceil(F.col("n") / room)).otherwise(0).cast("double").alias("pieces"))
+    one = ordered_cumsum(one.withColumn("own", F.when(F.col("pieces") > 0, 0.0).otherwise(F.col("n"))), "j", ["own", "pieces"])
+    # whole clusters share even numbers of blocks; pieces of a cut one have odd ones
+    shared = 2 * F.floor((F.col("cum_own") - F.col("own")) / room)
+    piece = 2 * (F.col("cum_pieces") - 1 - F.pmod(F.xxhash64("_id"), F.greatest(F.col("pieces"), F.lit(1.0)).cast("long"))) + 1
+    cut = F.col("pieces") > 0
+    rows = _members(df, features, cluster).join(one, "k").withColumn("_id", F.monotonically_increasing_id())
+    held = write_shared(rows.select("_id", F.col("x").alias("_v"), "pieces", "n", "cum_pieces", "cum_own", "own", F.col("row_in_group").cast("double").alias("number")), "members")
+    packed = pack_blocks(held.select("_id", "_v", F.when(cut, piece).otherwise(shared).cast("long").alias("b"),
+                                     F.array("number", "n", cut.cast("double")).alias("val")))
+    drop_shared(held)
+    records, pairs = paired(packed, n)
+    parts = records.getNumPartitions()
+
+    # the smallest mean (a negative number) is no sum
+    sums = (pairs.mapPartitions(_silhouette_parts).map(lambda p: (p[0], (p[0][1] >= 0, p[1])))
+            .reduceByKey(lambda x, y: (x[0], x[1] + y[1] if x[0] else np.minimum(x[1], y[1])), parts).mapValues(lambda v: v[1]))
+
+    def nearer(x, y):
+        return (y[0] if x[0] is None else x[0], y[1] if x[1] is None else x[1] if y[1] is None else np.minimum(x[1], y[1]))
+    total, count = sums.map(_mean_of).reduceByKey(nearer, parts).values().map(_block_score).reduce(lambda x, y: (x[0] + y[0], x[1] + y[1]))
+    records.unpersist()
+    drop_shared(packed)
+    return total / count
 
 
 def silhouette(df: DataFrame, features: str, cluster: str = "cluster", mode: str = "squared") -> float | None:
@@ -408,9 +525,11 @@ def vector_to_array_col(c: str) -> Column:
 
 # ------------------------------------------------------------------ K5
 def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samples: int = 5,
-           cell_target: int = 4_000, max_rounds: int | None = None) -> DataFrame:
+           cell_target: int = 4_000, max_rounds: int | None = None, tile_rows: int | None = None) -> DataFrame:
     """(id, cluster) with noise = -1.  Identical vectors are collapsed first
-    (their count is a weight), so a hot group of copies is one point.
+    (their count is a weight), so a hot group of copies is one point.  The pairs
+    within eps are never a table: one pass over pairs of blocks of rows
+    (:mod:`tessera.operators.block_pairs`) counts neighbours, another links cores.
 
     core: weighted neighbour count (itself included) >= min_samples;
     clusters: connected components of core-core edges (star steps, every round
@@ -419,22 +538,23 @@ def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samp
     x = df.select(F.col(id_col).alias("_id"), to_array(df, features).alias("_x"))
     distinct = x.groupBy("_x").agg(F.min("_id").alias("vid"), F.count(F.lit(1)).alias("w"))
     distinct = write_shared(distinct, "vectors")
-    pairs = radius_pairs(distinct.withColumnRenamed("_x", "vec"), "vid", "vec", eps, cell_target=cell_target)
-    pairs = write_shared(pairs.select("id_a", "id_b"), "pairs")
-    wts = distinct.select(F.col("vid").alias("id_b"), "w")
-    deg = pairs.join(wts, "id_b").groupBy("id_a").agg(F.sum("w").alias("deg"))
-    core = deg.filter(F.col("deg") >= min_samples).select(F.col("id_a").alias("vid"))
-    core = write_shared(core, "cores")
-    ce = (pairs.join(core.withColumnRenamed("vid", "id_a"), "id_a")
-               .join(core.withColumnRenamed("vid", "id_b"), "id_b").filter(F.col("id_a") < F.col("id_b")))
-    lab = write_shared(connected_components(core.select("vid"), ce, max_rounds), "labels")
+    points = distinct.filter("vid IS NOT NULL AND _x IS NOT NULL").select(F.col("vid").cast("long").alias("_id"), F.col("_x").alias("_v"))
+    placed, n = place_rows(points, cell_target, tile_rows)
+    weight = distinct.groupBy(F.col("vid").alias("_id")).agg(F.array(F.sum("w").cast("double")).alias("val"))
+    near = NearPairs(placed, n, float(eps))
+    deg = near.sums(weight, 1, lambda d: np.ones(len(d)))
+    core = write_shared(deg.filter(F.col("s")[0] >= min_samples).select(F.col("i").alias("vid")), "cores")
+    drop_shared(deg)
+    flagged = join_rows(weight.select("_id"), core.select(F.col("vid").alias("_id"), F.lit(1.0).alias("core")), "_id", n, "left").select("_id", F.array(F.coalesce("core", F.lit(0.0))).alias("val"))
+    links = near.core_links(flagged)
+    near.close()
+    lab = write_shared(connected_components(core.select("vid"), links.filter("core"), max_rounds), "labels")
     # number clusters 0.. by smallest core id (distributed rank over the distinct labels)
     roots = lab.select("lab").distinct()
     nr = roots.count()
     ranks = ordered_cumsum(roots, "lab", [], n_rows=nr).select("lab", (F.col("row_in_group") - 1).cast("int").alias("cid"))
     core_c = lab.join(ranks, "lab").select("vid", "cid")
-    border = (pairs.join(core_c.withColumnRenamed("vid", "id_b"), "id_b")
-                   .join(core.withColumnRenamed("vid", "id_a"), "id_a", "left_anti")
+    border = (links.filter("NOT core").join(core_c.withColumnRenamed("vid", "id_b"), "id_b")
                    .groupBy(F.col("id_a").alias("vid")).agg(F.min("cid").alias("cid")))
     vlab = core_c.unionByName(border)
     per_vec = distinct.join(vlab, "vid", "left").select("_x", F.coalesce("cid", F.lit(-1)).alias("cluster"))
